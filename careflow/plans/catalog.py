@@ -84,12 +84,74 @@ mart_query("m8_daily_ops", "agg_daily_ops", DAILY_DOUBLES, sources=("lineitem",
 mart_query("m9_segment_waits", "agg_segment_waits", SEG_DOUBLES, sources=("lineitem", "events"))
 
 
-def queries() -> dict[str, QueryFn]:
-    from careflow.operators import metrics  # noqa: F401  (registers the metric queries)
 
+def _metric_functions() -> dict[str, Callable[[Warehouse], DataFrame]]:
+    from careflow.operators import metrics as m
+
+    fns: dict[str, Callable[[Warehouse], DataFrame]] = {
+        "q01_kpi_summary": m.kpi_summary,
+        "q02_monthly_trend": m.monthly_trend,
+        "q03_demand_by_weekday": m.demand_by_weekday,
+        "q04_demand_by_hour": m.demand_by_hour,
+        "q05_demand_heatmap": m.demand_heatmap,
+        "q05p_heatmap_matrix": m.demand_heatmap_matrix,
+        "q06_demand_volume_stats": m.demand_volume_stats,
+        "q07_wait_summary_stats": m.wait_summary_stats,
+        "q08_wait_histogram": m.wait_histogram,
+        "q09_wait_within_target": m.wait_within_target,
+        "q10_wait_daily_trend": m.wait_daily_trend,
+        "q11_load_vs_wait_hourly": m.load_vs_wait_hourly,
+        "q12_load_vs_wait_correlation": m.load_vs_wait_correlation,
+        "q12f_load_vs_wait_fit": m.load_vs_wait_fit,
+        "q13_load_quintiles": m.load_vs_wait_quintiles,
+        "q14_spc_wait_chart": m.spc_wait_chart,
+        "q15_spc_admit_chart": m.spc_admit_chart,
+        "q16_spc_signal_days": m.spc_signal_days,
+        "q17_satisfaction_overview": m.satisfaction_overview,
+        "q18_satisfaction_by_wait_bucket": m.satisfaction_by_wait_bucket,
+        "q19_satisfaction_by_admitted": m.satisfaction_by_admitted,
+        "q20a_nonresponse_bias": m.satisfaction_nonresponse_bias,
+        "q20b_response_groups": m.satisfaction_by_response_group,
+        "q22_equity_extremes": m.segment_equity_extremes,
+        "q23_low_n_summary": m.segment_low_n_summary,
+        "q24_row_counts": m.row_counts,
+        "q25_null_report": m.null_report,
+        "q26_date_coverage": m.date_coverage_check,
+        "q27_duplicate_check": m.duplicate_check,
+        "q28_invalid_values": m.invalid_value_check,
+        "q31_extremes_chart": m.extremes_chart_frame,
+    }
+    for dim in m.EQUITY_DIMENSIONS:
+        fns[f"q21_equity_{dim}"] = lambda wh, _d=dim: m.segment_equity_by(wh, _d)
+    for col in m.DISTRIBUTION_COLUMNS:
+        fns[f"q30_dist_{col}"] = lambda wh, _c=col: m.category_distribution(wh, _c)
+    return fns
+
+
+_LOADED = False
+
+
+def _load() -> None:
+    global _LOADED
+    if _LOADED:
+        return
+    fns = _metric_functions()
+    for name, (source, body, doubles) in oracle.METRICS.items():
+        base = name[:-3] if name.endswith("_ev") else name
+        register(name, body, source, doubles)(fns[base])
+    from careflow.operators import measures, profile, quality  # noqa: F401
+
+    for mod in (measures, quality, profile):
+        for name, (source, body, doubles, fn) in getattr(mod, "QUERIES", {}).items():
+            register(name, body, source, doubles)(fn)
+    _LOADED = True
+
+
+def queries() -> dict[str, QueryFn]:
+    _load()
     return {name: q.build for name, q in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    queries()
+    _load()
     return {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
