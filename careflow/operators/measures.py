@@ -1,2 +1,178 @@
-"""placeholder"""
-QUERIES = {}
+"""BI roll-up and time-intelligence measures, evaluated for a grouping context.
+
+A BI measure is evaluated in whatever filter context a report sets; here the context
+is a list of calendar columns ``by`` (``month_start``, ``year``, ``day_of_week_num``,
+... or none for the grand total). The fact is first rolled up to additive daily sums
+(map-side partial aggregation, one row per day), so everything after that works on
+calendar-bounded tables: the daily, hourly and calendar marts.
+
+Prior-month measures (``*_pm``) join the monthly table to itself shifted by one month;
+a month outside the calendar gives NULL.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from careflow.functions.stats import ratio
+
+_ALL = "_context"
+
+MEASURE_COLUMNS = [
+    "visits", "within_target_visits", "pct_within_target", "admissions", "admission_rate",
+    "satisfaction_responses", "satisfaction_response_rate", "mean_satisfaction", "mean_wait",
+    "median_wait_daily_avg", "p90_wait_daily_avg", "wait_centre_line", "wait_ucl", "wait_lcl",
+    "out_of_control_days", "arrivals_per_hour", "peak_hour_arrivals",
+]
+
+
+def calendar(wh) -> DataFrame:
+    d = wh.dim_date
+    return d.withColumns({"month_start": F.trunc("date_day", "month"), _ALL: F.lit(1)})
+
+
+def daily_rollup(wh) -> DataFrame:
+    """Additive per-day sums of the fact (the only fact-sized step)."""
+    f = wh.fct_er_visit
+    return f.groupBy("visit_date").agg(
+        F.count(F.lit(1)).alias("visits"),
+        F.count_if(F.col("within_target_flag")).alias("within_target_visits"),
+        F.count_if(F.col("admitted_flag")).alias("admissions"),
+        F.count("satisfaction_score").alias("satisfaction_responses"),
+        F.sum("satisfaction_score").alias("_score_sum"),
+        F.sum("wait_minutes").alias("_wait_sum"),
+        F.count("wait_minutes").alias("_wait_n"),
+    )
+
+
+def measures(wh, by: Sequence[str] = ("month_start",)) -> DataFrame:
+    """X1-X9 for every value combination of ``by`` present in the calendar."""
+    keys = list(by) or [_ALL]
+    cal = calendar(wh)
+    spine = cal.select(*keys).distinct()
+    on_day = cal.select("date_day", *keys)
+
+    fact = daily_rollup(wh).join(on_day, F.col("visit_date") == F.col("date_day")).groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("visits", "within_target_visits", "admissions",
+                                      "satisfaction_responses", "_score_sum", "_wait_sum", "_wait_n")]
+    )
+    daily = wh.agg_daily_ops.join(on_day, F.col("visit_date") == F.col("date_day")).groupBy(*keys).agg(
+        F.avg("median_wait_minutes").alias("median_wait_daily_avg"),
+        F.avg("p90_wait_minutes").alias("p90_wait_daily_avg"),
+        F.avg("wait_centre_line").alias("wait_centre_line"),
+        F.avg("wait_ucl").alias("wait_ucl"),
+        F.avg("wait_lcl").alias("wait_lcl"),
+        F.count("spc_signal").alias("out_of_control_days"),
+    )
+    hourly = wh.agg_hourly_arrivals.join(on_day, F.col("visit_date") == F.col("date_day"))
+    per_hour = hourly.groupBy(*keys, "hour_of_day").agg(
+        F.avg("arrivals").alias("_mean_arrivals"), F.sum("arrivals").alias("_sum"), F.count(F.lit(1)).alias("_n")
+    )
+    hours = per_hour.groupBy(*keys).agg(
+        ratio(F.sum("_sum"), F.sum("_n")).alias("arrivals_per_hour"),
+        F.max("_mean_arrivals").alias("peak_hour_arrivals"),
+    )
+    out = spine.join(fact, keys, "left").join(daily, keys, "left").join(hours, keys, "left")
+    visits = F.coalesce(F.col("visits"), F.lit(0)).cast("bigint")
+    res = out.select(
+        *keys,
+        visits.alias("visits"),
+        F.coalesce(F.col("within_target_visits"), F.lit(0)).cast("bigint").alias("within_target_visits"),
+        ratio(F.col("within_target_visits"), F.col("visits")).alias("pct_within_target"),
+        F.coalesce(F.col("admissions"), F.lit(0)).cast("bigint").alias("admissions"),
+        ratio(F.col("admissions"), F.col("visits")).alias("admission_rate"),
+        F.coalesce(F.col("satisfaction_responses"), F.lit(0)).cast("bigint").alias("satisfaction_responses"),
+        ratio(F.col("satisfaction_responses"), F.col("visits")).alias("satisfaction_response_rate"),
+        ratio(F.col("_score_sum"), F.col("satisfaction_responses")).alias("mean_satisfaction"),
+        ratio(F.col("_wait_sum"), F.col("_wait_n")).alias("mean_wait"),
+        "median_wait_daily_avg", "p90_wait_daily_avg", "wait_centre_line", "wait_ucl", "wait_lcl",
+        F.coalesce(F.col("out_of_control_days"), F.lit(0)).cast("bigint").alias("out_of_control_days"),
+        "arrivals_per_hour", "peak_hour_arrivals",
+    )
+    return res.drop(_ALL) if not by else res
+
+
+def monthly_measures(wh) -> DataFrame:
+    """X1/X4 time intelligence: monthly measures with prior month, MoM % and delta."""
+    m = measures(wh, ("month_start",))
+    prior = m.select(
+        F.add_months("month_start", 1).alias("month_start"),
+        F.col("visits").alias("visits_pm"),
+        F.col("pct_within_target").alias("pct_within_target_pm"),
+    )
+    joined = m.join(prior, "month_start", "left")
+    return joined.withColumns({
+        "visits_mom_pct": ratio(F.col("visits") - F.col("visits_pm"), F.col("visits_pm")),
+        "pct_within_target_delta": F.col("pct_within_target") - F.col("pct_within_target_pm"),
+    })
+
+
+def _measures_sql(by: str | None) -> str:
+    key = f"{by} as ctx" if by else "1 as ctx"
+    return f"""
+with cal as (select *, date_trunc('month', date_day)::date as month_start from dim_date),
+ctx as (select distinct {key} from cal),
+f as (
+    select {key}, count(*) as visits,
+           count(*) filter (where x.within_target_flag) as within_target_visits,
+           count(*) filter (where x.admitted_flag) as admissions,
+           count(x.satisfaction_score) as satisfaction_responses,
+           avg(x.satisfaction_score) as mean_satisfaction,
+           avg(x.wait_minutes) as mean_wait
+    from fct_er_visit x join cal on x.visit_date = cal.date_day group by 1
+),
+d as (
+    select {key}, avg(median_wait_minutes) as median_wait_daily_avg, avg(p90_wait_minutes) as p90_wait_daily_avg,
+           avg(wait_centre_line) as wait_centre_line, avg(wait_ucl) as wait_ucl, avg(wait_lcl) as wait_lcl,
+           count(spc_signal) as out_of_control_days
+    from agg_daily_ops o join cal on o.visit_date = cal.date_day group by 1
+),
+h as (
+    select ctx, sum(s)::double / sum(n) as arrivals_per_hour, max(m) as peak_hour_arrivals
+    from (select {key}, hour_of_day, avg(arrivals) as m, sum(arrivals) as s, count(*) as n
+          from agg_hourly_arrivals a join cal on a.visit_date = cal.date_day group by 1, 2)
+    group by 1
+)
+select ctx.ctx,
+       coalesce(f.visits, 0) as visits,
+       coalesce(f.within_target_visits, 0) as within_target_visits,
+       f.within_target_visits::double / nullif(f.visits, 0) as pct_within_target,
+       coalesce(f.admissions, 0) as admissions,
+       f.admissions::double / nullif(f.visits, 0) as admission_rate,
+       coalesce(f.satisfaction_responses, 0) as satisfaction_responses,
+       f.satisfaction_responses::double / nullif(f.visits, 0) as satisfaction_response_rate,
+       f.mean_satisfaction, f.mean_wait,
+       d.median_wait_daily_avg, d.p90_wait_daily_avg, d.wait_centre_line, d.wait_ucl, d.wait_lcl,
+       coalesce(d.out_of_control_days, 0) as out_of_control_days,
+       h.arrivals_per_hour, h.peak_hour_arrivals
+from ctx left join f using (ctx) left join d using (ctx) left join h using (ctx)
+"""
+
+
+_DOUBLES = ("pct_within_target", "admission_rate", "satisfaction_response_rate", "mean_satisfaction",
+            "mean_wait", "median_wait_daily_avg", "p90_wait_daily_avg", "wait_centre_line", "wait_ucl",
+            "wait_lcl", "arrivals_per_hour", "peak_hour_arrivals")
+
+_MONTHLY_SQL = f"""
+select m.* exclude (ctx), m.ctx as month_start,
+       p.visits as visits_pm, p.pct_within_target as pct_within_target_pm,
+       (m.visits - p.visits)::double / nullif(p.visits, 0) as visits_mom_pct,
+       m.pct_within_target - p.pct_within_target as pct_within_target_delta
+from ({_measures_sql("month_start")}) m
+left join ({_measures_sql("month_start")}) p on p.ctx = m.ctx - interval 1 month
+"""
+
+_TOTAL_SQL = f"select * exclude (ctx) from ({_measures_sql(None)})"
+_WEEKDAY_SQL = f"select * exclude (ctx), ctx as day_of_week_num from ({_measures_sql('day_of_week_num')})"
+
+QUERIES = {
+    "x1_x9_monthly_measures": ("lineitem", _MONTHLY_SQL,
+                               _DOUBLES + ("pct_within_target_pm", "visits_mom_pct", "pct_within_target_delta"),
+                               monthly_measures),
+    "x1_x9_total_measures": ("lineitem", _TOTAL_SQL, _DOUBLES, lambda wh: measures(wh, ())),
+    "x1_x9_total_measures_ev": ("events", _TOTAL_SQL, _DOUBLES, lambda wh: measures(wh, ())),
+    "x1_x9_weekday_measures": ("lineitem", _WEEKDAY_SQL, _DOUBLES, lambda wh: measures(wh, ("day_of_week_num",))),
+}

@@ -30,6 +30,7 @@ class Warehouse:
     dim_patient_segment: DataFrame
     dim_department: DataFrame
     stg_er_visits: DataFrame | None = None
+    raw_visits: DataFrame | None = None
     params: MeasureParams = field(default=DEFAULT_PARAMS)
 
     def marts(self) -> dict[str, DataFrame]:
@@ -48,6 +49,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, params: MeasureParams =
     seg = dims.dim_patient_segment(stg)
     return Warehouse(
         spark=spark,
+        raw_visits=raw,
         stg_er_visits=stg,
         fct_er_visit=fct,
         agg_daily_ops=spc.agg_daily_ops(fct, params),
