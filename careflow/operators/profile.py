@@ -1,2 +1,256 @@
-"""placeholder"""
+"""Profile of a raw text table (any columns), before any model is written.
+
+Input: a DataFrame of text columns with missing-value tokens already NULL
+(``sources.raw_csv.read_csv_for_profile`` / ``apply_na_values``). Column types are
+inferred from the values the way a dataframe library would (integers, floats,
+booleans, else text) inside the profile's own aggregation, without a separate
+schema-inference pass over the file.
+
+Plan shape, independent of the column count:
+
+* one pre-aggregated long table ``(column, value, n)`` (explode + partial
+  aggregation; a hot value costs one row per task) feeds R2, R3 and R7;
+* R6 is one ``groupBy(all columns)``;
+* R4 exact quantiles use a range-partitioned sort of the numeric values and a rank
+  lookup (no aggregation buffer holds all distinct values of a column); ``exact=False``
+  uses ``percentile_approx`` in one pass instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from careflow.functions.stats import ratio
+from careflow.operators.ranking import global_row_index
+
+# Text spellings read as booleans, and the describe() percentiles.
+TRUE_TEXT = ["True", "TRUE", "true"]
+FALSE_TEXT = ["False", "FALSE", "false"]
+DESCRIBE_PERCENTILES = [0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
+MAX_LOW_CARDINALITY = 15
+TOP_VALUES = 15
+DATE_SHARE = 0.9
+# Timestamp layouts tried for text columns (first match wins).
+DATE_PATTERNS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd",
+                 "d-M-yyyy H:m", "d-M-yyyy", "M/d/yyyy H:m", "M/d/yyyy"]
+
+_INT_RE = r"^[+-]?[0-9]+$"
+
+
+def long_values(df: DataFrame) -> DataFrame:
+    """(column, value) for every cell, as text."""
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+        for c in df.columns
+    ])).alias("cell")
+    return df.select(cells).select("cell.column", "cell.value")
+
+
+def value_counts(df: DataFrame) -> DataFrame:
+    """(column, value, n): one row per distinct value (NULL included) per column."""
+    return long_values(df).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _is_float_text(v: Column) -> Column:
+    return v.try_cast("double").isNotNull()
+
+
+def column_summary(df: DataFrame) -> DataFrame:
+    """R2 + R7: per column dtype, NULLs, NULL %, distinct (non-null) values, and for
+    columns whose name contains 'id' the duplicated values (NULL counted as a value)."""
+    vc = value_counts(df)
+    v = F.col("value")
+    per_col = vc.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(v.isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count("value").alias("distinct"),
+        F.count(F.lit(1)).alias("_distinct_with_null"),
+        F.bool_and(v.isNull() | v.rlike(_INT_RE)).alias("_all_int"),
+        F.bool_and(v.isNull() | _is_float_text(v)).alias("_all_float"),
+        F.bool_and(v.isNull() | v.isin(TRUE_TEXT + FALSE_TEXT)).alias("_all_bool"),
+    )
+    has_null = F.col("nulls") > 0
+    dtype = (
+        F.when(F.col("distinct") == 0, F.lit("float64"))
+        .when(F.col("_all_int"), F.when(has_null, F.lit("float64")).otherwise(F.lit("int64")))
+        .when(F.col("_all_float"), F.lit("float64"))
+        .when(F.col("_all_bool"), F.when(has_null, F.lit("object")).otherwise(F.lit("bool")))
+        .otherwise(F.lit("object"))
+    )
+    order = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column"))
+    return per_col.select(
+        order.cast("int").alias("position"),
+        "column",
+        dtype.alias("dtype"),
+        F.col("nulls").cast("bigint").alias("nulls"),
+        F.round(ratio(F.col("nulls"), F.col("rows")) * 100, 1).alias("null_pct"),
+        F.col("distinct").cast("bigint").alias("distinct"),
+        F.when(F.lower(F.col("column")).contains("id"),
+               (F.col("rows") - F.col("_distinct_with_null")).cast("bigint")).alias("duplicate_values"),
+    )
+
+
+def low_cardinality_values(df: DataFrame, max_distinct: int = MAX_LOW_CARDINALITY,
+                           top: int = TOP_VALUES) -> DataFrame:
+    """Value counts (NULL included) of columns with 1..max_distinct non-null
+    values, the ``top`` most frequent per column (ties: value order, NULL first)."""
+    vc = value_counts(df)
+    by_col = Window.partitionBy("column")
+    ranked = vc.withColumn("_distinct", F.count("value").over(by_col)).filter(
+        (F.col("_distinct") >= 1) & (F.col("_distinct") <= max_distinct)
+    ).withColumn("rank", F.row_number().over(
+        Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())))
+    return ranked.filter(F.col("rank") <= top).select(
+        "column", "value", F.col("n").cast("bigint").alias("n"), F.col("rank").cast("int").alias("rank"))
+
+
+def _numeric_columns(df: DataFrame) -> DataFrame:
+    return column_summary(df).filter(F.col("dtype").isin("int64", "float64")).select("column")
+
+
+def numeric_describe(df: DataFrame, exact: bool = True) -> DataFrame:
+    """Count, mean, std, min, percentiles, max of every numeric column."""
+    nums = long_values(df).select("column", F.col("value").try_cast("double").alias("x")).filter(
+        F.col("x").isNotNull()
+    ).join(F.broadcast(_numeric_columns(df)), "column")  # one row per column: bounded
+    moments = nums.groupBy("column").agg(
+        F.count(F.lit(1)).alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"), F.max("x").alias("max"),
+    )
+    names = [f"p{int(p * 100)}" for p in DESCRIBE_PERCENTILES]
+    if not exact:
+        q = nums.groupBy("column").agg(
+            F.percentile_approx("x", DESCRIBE_PERCENTILES, 100000).alias("_q"))
+        q = q.select("column", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+        return moments.join(q, "column")
+    # Exact: global rank of (column, x); the ranks of a column are contiguous, so each
+    # quantile is read off at rank start + floor/ceil((n - 1) p) and interpolated.
+    ranked = global_row_index(nums, ["column", "x"], "_g")
+    first = ranked.groupBy("column").agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    wanted = first.select(
+        F.col("column").alias("_col"), "_start",
+        F.explode(F.array(*[F.struct(F.lit(n).alias("q"), F.lit(p).alias("p"))
+                            for n, p in zip(names, DESCRIBE_PERCENTILES)])).alias("w"),
+        ((F.col("_n") - 1)).alias("_last"),
+    ).select("_col", F.col("w.q").alias("q"), (F.col("_last") * F.col("w.p")).alias("h"), "_start")
+    wanted = wanted.select(
+        "_col", "q", (F.col("h") - F.floor("h")).alias("frac"),
+        (F.col("_start") + F.floor("h")).cast("bigint").alias("_g_lo"),
+        (F.col("_start") + F.ceil("h")).cast("bigint").alias("_g_hi"),
+    )
+    at = ranked.select("_g", "x")
+    # ``wanted`` has (columns x percentiles) rows, a fixed bound: broadcast lookups.
+    lo = at.join(F.broadcast(wanted), at._g == wanted._g_lo).select("_col", "q", "frac", F.col("x").alias("x_lo"))
+    at_hi = ranked.select(F.col("_g").alias("_gh"), F.col("x").alias("x_hi"))
+    hi = at_hi.join(F.broadcast(wanted.select("_col", "q", "_g_hi")), F.col("_gh") == F.col("_g_hi")).select(
+        "_col", "q", "x_hi")
+    qv = lo.join(hi, ["_col", "q"]).select(
+        F.col("_col").alias("column"), "q",
+        (F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))).alias("v"))
+    wide = qv.groupBy("column").pivot("q", names).agg(F.first("v"))
+    return moments.join(wide, "column").select("column", "count", "mean", "std", "min", *names, "max")
+
+
+def parse_any_timestamp(v: Column) -> Column:
+    return F.coalesce(*[F.try_to_timestamp(v, F.lit(p)) for p in DATE_PATTERNS]).cast("timestamp_ntz")
+
+
+def datetime_columns(df: DataFrame, share: float = DATE_SHARE) -> DataFrame:
+    """Text columns where more than ``share`` of all rows parse as a timestamp."""
+    vc = value_counts(df).join(
+        F.broadcast(column_summary(df).filter(F.col("dtype") == "object").select("column")), "column")
+    parsed = vc.withColumn("_ts", parse_any_timestamp(F.col("value")))
+    agg = parsed.groupBy("column").agg(
+        ratio(F.sum(F.when(F.col("_ts").isNotNull(), F.col("n"))), F.sum("n")).alias("parsed_share"),
+        F.min("_ts").alias("min"), F.max("_ts").alias("max"),
+    )
+    return agg.filter(F.col("parsed_share") > share)
+
+
+def overview(df: DataFrame) -> DataFrame:
+    """R1 + R6: rows, columns and fully duplicated rows (occurrences after the first)."""
+    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(
+        F.sum("_n").cast("bigint").alias("rows"),
+        F.sum(F.col("_n") - 1).cast("bigint").alias("fully_duplicated_rows"),
+    ).select(F.coalesce("rows", F.lit(0)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
+             F.coalesce("fully_duplicated_rows", F.lit(0)).cast("bigint").alias("fully_duplicated_rows"))
+
+
+# ---------------------------------------------------------------- registered queries
+
+def _raw(wh) -> DataFrame:
+    from careflow.sources.raw_csv import apply_na_values
+
+    return apply_na_values(wh.raw_visits)
+
+
+def _oracle_sql() -> dict[str, str]:
+    from careflow.schema import RAW_COLUMNS
+    from careflow.sources.raw_csv import PANDAS_NA_VALUES
+
+    na = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_NA_VALUES)
+    cleaned = ",\n".join(f"case when {c} in ({na}) then null else {c} end as {c}" for c in RAW_COLUMNS)
+    base = f"clean as (select {cleaned} from raw)"
+    bools = ", ".join(f"'{b}'" for b in TRUE_TEXT + FALSE_TEXT)
+    per_col = " union all ".join(
+        f"""select {i + 1} as position, '{c}' as "column", count(*) as rows, count(*) - count({c}) as nulls,
+            count(distinct {c}) as "distinct",
+            bool_and({c} is null or regexp_full_match({c}, '[+-]?[0-9]+')) as all_int,
+            bool_and({c} is null or try_cast({c} as double) is not null) as all_float,
+            bool_and({c} is null or {c} in ({bools})) as all_bool
+            from clean"""
+        for i, c in enumerate(RAW_COLUMNS))
+    colsum = f"""colsum as (
+        select position, "column",
+            case when "distinct" = 0 then 'float64'
+                 when all_int then case when nulls > 0 then 'float64' else 'int64' end
+                 when all_float then 'float64'
+                 when all_bool then case when nulls > 0 then 'object' else 'bool' end
+                 else 'object' end as dtype,
+            nulls, round(nulls * 100.0 / nullif(rows, 0), 1) as null_pct, "distinct",
+            case when lower("column") like '%id%'
+                 then rows - "distinct" - case when nulls > 0 then 1 else 0 end end as duplicate_values
+        from ({per_col}))"""
+    pre = f", {base}, {colsum} "
+    vcs = " union all ".join(
+        f"""select '{c}' as "column", {c} as value, count(*) as n from clean group by 2""" for c in RAW_COLUMNS)
+    r3 = f"""select "column", value, n, rank from (
+        select *, count(value) over (partition by "column") as d,
+               row_number() over (partition by "column" order by n desc, value asc nulls first)::int as rank
+        from ({vcs})) where d between 1 and {MAX_LOW_CARDINALITY} and rank <= {TOP_VALUES}"""
+    pct = ", ".join(f"quantile_cont(x, {p}) as p{int(p * 100)}" for p in DESCRIBE_PERCENTILES)
+    r4 = " union all ".join(
+        f"""select '{c}' as "column", count(x) as "count", avg(x) as mean, stddev_samp(x) as std,
+                   min(x) as "min", {pct}, max(x) as "max"
+            from (select try_cast({c} as double) as x from clean where try_cast({c} as double) is not null)
+            where (select dtype from colsum where "column" = '{c}') in ('int64', 'float64')
+            having count(x) > 0"""
+        for c in RAW_COLUMNS)
+    fmts = "['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M', '%Y-%m-%d', '%d-%m-%Y %H:%M', '%d-%m-%Y', '%m/%d/%Y %H:%M', '%m/%d/%Y']"
+    r5 = " union all ".join(
+        f"""select '{c}' as "column", count(try_strptime({c}, {fmts}))::double / nullif(count(*), 0) as parsed_share,
+                   min(try_strptime({c}, {fmts})) as "min", max(try_strptime({c}, {fmts})) as "max"
+            from clean where (select dtype from colsum where "column" = '{c}') = 'object'
+            having count(try_strptime({c}, {fmts}))::double / nullif(count(*), 0) > {DATE_SHARE}"""
+        for c in RAW_COLUMNS)
+    cols = ", ".join(RAW_COLUMNS)
+    r1 = f"""select sum(k)::bigint as rows, {len(RAW_COLUMNS)} as columns, sum(k - 1)::bigint as fully_duplicated_rows
+             from (select count(*) as k from clean group by {cols})"""
+    return {"pre": pre, "r1": r1, "r2": "select * from colsum", "r3": r3, "r4": r4, "r5": r5}
+
+
+_SQL = _oracle_sql()
 QUERIES = {}
+for _src, _sfx in (("lineitem", ""), ("events", "_ev")):
+    QUERIES[f"r1_r6_profile_overview{_sfx}"] = (_src, _SQL["r1"], (), lambda wh: overview(_raw(wh)), _SQL["pre"])
+    QUERIES[f"r2_r7_profile_columns{_sfx}"] = (_src, _SQL["r2"], ("null_pct",),
+                                              lambda wh: column_summary(_raw(wh)), _SQL["pre"])
+    QUERIES[f"r3_value_counts{_sfx}"] = (_src, _SQL["r3"], (), lambda wh: low_cardinality_values(_raw(wh)),
+                                        _SQL["pre"])
+    QUERIES[f"r4_numeric_describe{_sfx}"] = (
+        _src, _SQL["r4"], ("mean", "std", "min", "p25", "p50", "p75", "p90", "p95", "p99", "max"),
+        lambda wh: numeric_describe(_raw(wh), exact=True), _SQL["pre"])
+    QUERIES[f"r5_datetime_columns{_sfx}"] = (_src, _SQL["r5"], ("parsed_share",),
+                                            lambda wh: datetime_columns(_raw(wh)), _SQL["pre"])

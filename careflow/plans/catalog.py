@@ -43,14 +43,15 @@ REGISTRY: dict[str, Query] = {}
 
 
 def register(name: str, sql_body: str | None, source: str = "lineitem",
-             doubles: tuple[str, ...] = ()):
+             doubles: tuple[str, ...] = (), extra_ctes: str = ""):
     """Decorator: ``fn(wh) -> DataFrame`` becomes a (spark, sf_dir) query."""
 
     def deco(fn: Callable[[Warehouse], DataFrame]):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
             return round_doubles(fn(warehouse(spark, sf_dir, source)))
 
-        sql = oracle.with_models(sql_body, source, doubles) if sql_body is not None else None
+        sql = (oracle.with_models(sql_body, source, doubles, extra_ctes)
+               if sql_body is not None else None)
         REGISTRY[name] = Query(name, build, sql)
         return fn
 
@@ -142,8 +143,9 @@ def _load() -> None:
     from careflow.operators import measures, profile, quality  # noqa: F401
 
     for mod in (measures, quality, profile):
-        for name, (source, body, doubles, fn) in getattr(mod, "QUERIES", {}).items():
-            register(name, body, source, doubles)(fn)
+        for name, spec in getattr(mod, "QUERIES", {}).items():
+            source, body, doubles, fn = spec[:4]
+            register(name, body, source, doubles, spec[4] if len(spec) > 4 else "")(fn)
     _LOADED = True
 
 

@@ -47,6 +47,16 @@ def read_raw_visits(spark: SparkSession, path: str, check: bool = True) -> DataF
     )
 
 
+def apply_na_values(df: DataFrame, na_values: list[str] | None = None) -> DataFrame:
+    """Every column as text, values in ``na_values`` (default: pandas' list) as NULL."""
+    na = PANDAS_NA_VALUES if na_values is None else na_values
+    return df.select(*[
+        F.when(F.col(f"`{c}`").cast("string").isin(na), F.lit(None).cast("string"))
+        .otherwise(F.col(f"`{c}`").cast("string")).alias(c)
+        for c in df.columns
+    ])
+
+
 def read_csv_for_profile(spark: SparkSession, path: str,
                          na_values: list[str] | None = None) -> DataFrame:
     """S3: any CSV with a header, every column as text, ``na_values`` tokens as NULL.
@@ -54,10 +64,5 @@ def read_csv_for_profile(spark: SparkSession, path: str,
     Types are not inferred by a separate read pass; the profile decides numeric
     columns itself in its single aggregation pass (see ``operators.profile``).
     """
-    na = PANDAS_NA_VALUES if na_values is None else na_values
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return df.select(*[
-        F.when(F.col(f"`{c}`").isin(na), F.lit(None).cast("string"))
-        .otherwise(F.col(f"`{c}`")).alias(c)
-        for c in df.columns
-    ])
+    return apply_na_values(df, na_values)
