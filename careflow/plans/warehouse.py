@@ -75,11 +75,16 @@ def materialize(wh: Warehouse, path: str) -> Warehouse:
     if wh.stg_er_visits is not None:
         wh.stg_er_visits.write.mode("overwrite").parquet(f"{base}/stg_er_visits")
         stg = spark.read.parquet(f"{base}/stg_er_visits")
-        wh = build_warehouse(spark, raw=None, params=wh.params, stg=stg)
+        wh = build_warehouse(spark, raw=wh.raw_visits, params=wh.params, stg=stg)
+    raw = wh.raw_visits
     sinks.write_marts(wh.marts(), base)
-    return load_warehouse(spark, base, wh.params)
+    out = load_warehouse(spark, base, wh.params, with_staging=True)
+    out.raw_visits = raw
+    return out
 
 
-def load_warehouse(spark: SparkSession, path: str, params: MeasureParams = DEFAULT_PARAMS) -> Warehouse:
+def load_warehouse(spark: SparkSession, path: str, params: MeasureParams = DEFAULT_PARAMS,
+                   with_staging: bool = False) -> Warehouse:
     tables = sinks.read_marts(spark, path)
-    return Warehouse(spark=spark, params=params, **tables)
+    stg = spark.read.parquet(f"{path.rstrip('/')}/stg_er_visits") if with_staging else None
+    return Warehouse(spark=spark, params=params, stg_er_visits=stg, **tables)
