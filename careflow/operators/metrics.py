@@ -353,6 +353,20 @@ def segment_equity_by(wh, dimension: str) -> DataFrame:
     )
 
 
+def segment_equity_by_age_band_ordered(wh) -> DataFrame:
+    """Equity by age band in band order, bands without plausible waits shown with
+    n = 0 (left join from the 5-row band spine; the NULL band is not listed)."""
+    from careflow.functions.parsing import AGE_BAND_ORDER
+
+    spine = wh.spark.createDataFrame(
+        [(i, b) for i, b in enumerate(AGE_BAND_ORDER)], "band_order int, segment_value string")
+    eq = segment_equity_by(wh, "age_band")
+    return spine.join(eq, "segment_value", "left").select(
+        "band_order", "segment_value", "median_wait", "mean_wait",
+        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
+    ).orderBy("band_order")
+
+
 EXTREME_COLUMNS = ["age_band", "gender", "race", "n_plausible", "median_wait_minutes", "ci_lower", "ci_upper"]
 
 

@@ -113,6 +113,7 @@ def _metric_functions() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "q19_satisfaction_by_admitted": m.satisfaction_by_admitted,
         "q20a_nonresponse_bias": m.satisfaction_nonresponse_bias,
         "q20b_response_groups": m.satisfaction_by_response_group,
+        "q21o_equity_age_band_ordered": m.segment_equity_by_age_band_ordered,
         "q22_equity_extremes": m.segment_equity_extremes,
         "q23_low_n_summary": m.segment_low_n_summary,
         "q24_row_counts": m.row_counts,
