@@ -1,0 +1,11 @@
+"""Incremental ingestion of the raw landing folder with Structured Streaming.
+
+The batch warehouse has no streaming semantics to rebuild (no event-time windows, no
+late data); what is incremental is *adopting new raw files*: each CSV dropped into the
+landing folder is typed once into the staging table, exactly once, and the marts are
+rebuilt from staging.
+"""
+
+from careflow.streaming.landing import ingest_landing, rebuild_from_staging
+
+__all__ = ["ingest_landing", "rebuild_from_staging"]
