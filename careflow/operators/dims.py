@@ -49,14 +49,14 @@ def dim_time_of_day(spark: SparkSession, stg: DataFrame) -> DataFrame:
     median is one scalar, compared against 0).
     """
     totals = hourly_totals(stg)
-    median = totals.agg(F.median("arrivals").alias("median_arrivals"))
+    median = totals.agg(F.median("arrivals")).scalar()  # one scalar subquery
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour_of_day"))
-    # hours: 24 rows, median: 1 row - fixed sizes, broadcast is bounded.
-    joined = hours.join(F.broadcast(totals), "hour_of_day", "left").crossJoin(F.broadcast(median))
+    # totals has at most 24 rows (one per hour): a bounded broadcast.
+    joined = hours.join(F.broadcast(totals), "hour_of_day", "left")
     return joined.select(
         "hour_of_day",
         shift_band(F.col("hour_of_day")).alias("shift"),
-        F.coalesce(F.col("arrivals") >= F.col("median_arrivals"), F.lit(False)).alias("is_peak"),
+        F.coalesce(F.col("arrivals") >= median, F.lit(False)).alias("is_peak"),
     )
 
 

@@ -96,10 +96,14 @@ def low_cardinality_values(df: DataFrame, max_distinct: int = MAX_LOW_CARDINALIT
     """Value counts (NULL included) of columns with 1..max_distinct non-null
     values, the ``top`` most frequent per column (ties: value order, NULL first)."""
     vc = value_counts(df)
-    by_col = Window.partitionBy("column")
-    ranked = vc.withColumn("_distinct", F.count("value").over(by_col)).filter(
+    # Distinct counts per column by a plain aggregate (partial, fixed-size buffers); the
+    # result has one row per column, so broadcasting it to pick the low-cardinality
+    # columns is bounded. Only their <= max_distinct + 1 rows reach the ranking window,
+    # never the values of an id-like column.
+    low = vc.groupBy("column").agg(F.count("value").alias("_distinct")).filter(
         (F.col("_distinct") >= 1) & (F.col("_distinct") <= max_distinct)
-    ).withColumn("rank", F.row_number().over(
+    ).select("column")
+    ranked = vc.join(F.broadcast(low), "column").withColumn("rank", F.row_number().over(
         Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())))
     return ranked.filter(F.col("rank") <= top).select(
         "column", "value", F.col("n").cast("bigint").alias("n"), F.col("rank").cast("int").alias("rank"))
