@@ -35,7 +35,7 @@ DATE_SHARE = 0.9
 DATE_PATTERNS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd",
                  "d-M-yyyy H:m", "d-M-yyyy", "M/d/yyyy H:m", "M/d/yyyy"]
 
-_INT_RE = r"^[+-]?[0-9]+$"
+_INT_RE = r"^\s*[+-]?[0-9]+\s*$"
 
 
 def long_values(df: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def long_values(df: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame) -> DataFrame:
-    """(column, value, n): one row per distinct value (NULL included) per column."""
+    """(column, value, n): one row per distinct raw text (NULL included) per column."""
     return long_values(df).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -56,33 +56,59 @@ def _is_float_text(v: Column) -> Column:
     return v.try_cast("double").isNotNull()
 
 
-def column_summary(df: DataFrame) -> DataFrame:
-    """R2 + R7: per column dtype, NULLs, NULL %, distinct (non-null) values, and for
-    columns whose name contains 'id' the duplicated values (NULL counted as a value)."""
-    vc = value_counts(df)
+def column_types(vc: DataFrame) -> DataFrame:
+    """Per column: rows, NULLs and the inferred dtype, from the distinct-text table."""
     v = F.col("value")
     per_col = vc.groupBy("column").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(v.isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count("value").alias("distinct"),
-        F.count(F.lit(1)).alias("_distinct_with_null"),
+        F.count("value").alias("_texts"),
         F.bool_and(v.isNull() | v.rlike(_INT_RE)).alias("_all_int"),
         F.bool_and(v.isNull() | _is_float_text(v)).alias("_all_float"),
         F.bool_and(v.isNull() | v.isin(TRUE_TEXT + FALSE_TEXT)).alias("_all_bool"),
     )
     has_null = F.col("nulls") > 0
     dtype = (
-        F.when(F.col("distinct") == 0, F.lit("float64"))
+        F.when(F.col("_texts") == 0, F.lit("float64"))
         .when(F.col("_all_int"), F.when(has_null, F.lit("float64")).otherwise(F.lit("int64")))
         .when(F.col("_all_float"), F.lit("float64"))
         .when(F.col("_all_bool"), F.when(has_null, F.lit("object")).otherwise(F.lit("bool")))
         .otherwise(F.lit("object"))
     )
+    return per_col.select("column", "rows", "nulls", dtype.alias("dtype"))
+
+
+def typed_value_counts(df: DataFrame) -> DataFrame:
+    """(column, value, n) over *typed* values: texts that are the same number or the
+    same boolean are one value (e.g. '1' and ' 1' in an integer column), written as
+    the canonical text of the type. Derived from the distinct-text table, so this
+    second pass costs one row per distinct text, not per cell."""
+    vc = value_counts(df)
+    types = column_types(vc).select("column", "dtype")
+    v, dt = F.col("value"), F.col("dtype")
+    canonical = (
+        F.when(v.isNull(), F.lit(None).cast("string"))
+        .when(dt == "int64", F.trim(v).try_cast("bigint").cast("string"))
+        .when(dt == "float64", v.try_cast("double").cast("string"))
+        .when(dt == "bool", F.when(v.isin(TRUE_TEXT), F.lit("True")).otherwise(F.lit("False")))
+        .otherwise(v)
+    )
+    # one row per column: broadcasting the type table is bounded by the column count
+    return vc.join(F.broadcast(types), "column").groupBy("column", canonical.alias("value")).agg(
+        F.sum("n").alias("n"))
+
+
+def column_summary(df: DataFrame) -> DataFrame:
+    """R2 + R7: per column dtype, NULLs, NULL %, distinct (non-null, typed) values, and
+    for columns whose name contains 'id' the duplicated values (NULL counted as a value)."""
+    types = column_types(value_counts(df))
+    typed = typed_value_counts(df).groupBy("column").agg(
+        F.count("value").alias("distinct"), F.count(F.lit(1)).alias("_distinct_with_null"))
     order = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column"))
-    return per_col.select(
+    return types.join(typed, "column").select(
         order.cast("int").alias("position"),
         "column",
-        dtype.alias("dtype"),
+        "dtype",
         F.col("nulls").cast("bigint").alias("nulls"),
         F.round(ratio(F.col("nulls"), F.col("rows")) * 100, 1).alias("null_pct"),
         F.col("distinct").cast("bigint").alias("distinct"),
@@ -93,9 +119,9 @@ def column_summary(df: DataFrame) -> DataFrame:
 
 def low_cardinality_values(df: DataFrame, max_distinct: int = MAX_LOW_CARDINALITY,
                            top: int = TOP_VALUES) -> DataFrame:
-    """Value counts (NULL included) of columns with 1..max_distinct non-null
+    """Value counts (NULL included) of columns with 1..max_distinct non-null typed
     values, the ``top`` most frequent per column (ties: value order, NULL first)."""
-    vc = value_counts(df)
+    vc = typed_value_counts(df)
     # Distinct counts per column by a plain aggregate (partial, fixed-size buffers); the
     # result has one row per column, so broadcasting it to pick the low-cardinality
     # columns is bounded. Only their <= max_distinct + 1 rows reach the ranking window,
@@ -110,7 +136,7 @@ def low_cardinality_values(df: DataFrame, max_distinct: int = MAX_LOW_CARDINALIT
 
 
 def _numeric_columns(df: DataFrame) -> DataFrame:
-    return column_summary(df).filter(F.col("dtype").isin("int64", "float64")).select("column")
+    return column_types(value_counts(df)).filter(F.col("dtype").isin("int64", "float64")).select("column")
 
 
 def numeric_describe(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -162,8 +188,8 @@ def parse_any_timestamp(v: Column) -> Column:
 
 def datetime_columns(df: DataFrame, share: float = DATE_SHARE) -> DataFrame:
     """Text columns where more than ``share`` of all rows parse as a timestamp."""
-    vc = value_counts(df).join(
-        F.broadcast(column_summary(df).filter(F.col("dtype") == "object").select("column")), "column")
+    vc = value_counts(df)
+    vc = vc.join(F.broadcast(column_types(vc).filter(F.col("dtype") == "object").select("column")), "column")
     parsed = vc.withColumn("_ts", parse_any_timestamp(F.col("value")))
     agg = parsed.groupBy("column").agg(
         ratio(F.sum(F.when(F.col("_ts").isNotNull(), F.col("n"))), F.sum("n")).alias("parsed_share"),
@@ -200,43 +226,56 @@ def _oracle_sql() -> dict[str, str]:
     bools = ", ".join(f"'{b}'" for b in TRUE_TEXT + FALSE_TEXT)
     per_col = " union all ".join(
         f"""select {i + 1} as position, '{c}' as "column", count(*) as rows, count(*) - count({c}) as nulls,
-            count(distinct {c}) as "distinct",
-            bool_and({c} is null or regexp_full_match({c}, '[+-]?[0-9]+')) as all_int,
+            count(distinct {c}) as texts,
+            bool_and({c} is null or regexp_full_match({c}, '\\s*[+-]?[0-9]+\\s*')) as all_int,
             bool_and({c} is null or try_cast({c} as double) is not null) as all_float,
             bool_and({c} is null or {c} in ({bools})) as all_bool
             from clean"""
         for i, c in enumerate(RAW_COLUMNS))
-    colsum = f"""colsum as (
-        select position, "column",
-            case when "distinct" = 0 then 'float64'
+    trues = ", ".join(f"'{b}'" for b in TRUE_TEXT)
+    types = f"""types as (
+        select position, "column", rows, nulls,
+            case when texts = 0 then 'float64'
                  when all_int then case when nulls > 0 then 'float64' else 'int64' end
                  when all_float then 'float64'
                  when all_bool then case when nulls > 0 then 'object' else 'bool' end
-                 else 'object' end as dtype,
-            nulls, round(nulls * 100.0 / nullif(rows, 0), 1) as null_pct, "distinct",
-            case when lower("column") like '%id%'
-                 then rows - "distinct" - case when nulls > 0 then 1 else 0 end end as duplicate_values
+                 else 'object' end as dtype
         from ({per_col}))"""
-    pre = f", {base}, {colsum} "
-    vcs = " union all ".join(
-        f"""select '{c}' as "column", {c} as value, count(*) as n from clean group by 2""" for c in RAW_COLUMNS)
+    tvc = " union all ".join(
+        f"""select '{c}' as "column",
+               case when {c} is null then null
+                    when t.dtype = 'int64' then try_cast(trim({c}) as bigint)::varchar
+                    when t.dtype = 'float64' then try_cast({c} as double)::varchar
+                    when t.dtype = 'bool' then case when {c} in ({trues}) then 'True' else 'False' end
+                    else {c} end as value,
+               count(*) as n
+            from clean, (select dtype from types where "column" = '{c}') t group by 2"""
+        for c in RAW_COLUMNS)
+    colsum = f"""tvc as ({tvc}),
+    colsum as (
+        select t.position, t."column", t.dtype, t.nulls,
+               round(t.nulls * 100.0 / nullif(t.rows, 0), 1) as null_pct, d."distinct",
+               case when lower(t."column") like '%id%' then t.rows - d.dwn end as duplicate_values
+        from types t join (select "column", count(value) as "distinct", count(*) as dwn from tvc group by 1) d
+          on t."column" = d."column")"""
+    pre = f", {base}, {types}, {colsum} "
     r3 = f"""select "column", value, n, rank from (
         select *, count(value) over (partition by "column") as d,
                row_number() over (partition by "column" order by n desc, value asc nulls first)::int as rank
-        from ({vcs})) where d between 1 and {MAX_LOW_CARDINALITY} and rank <= {TOP_VALUES}"""
+        from tvc) where d between 1 and {MAX_LOW_CARDINALITY} and rank <= {TOP_VALUES}"""
     pct = ", ".join(f"quantile_cont(x, {p}) as p{int(p * 100)}" for p in DESCRIBE_PERCENTILES)
     r4 = " union all ".join(
         f"""select '{c}' as "column", count(x) as "count", avg(x) as mean, stddev_samp(x) as std,
                    min(x) as "min", {pct}, max(x) as "max"
             from (select try_cast({c} as double) as x from clean where try_cast({c} as double) is not null)
-            where (select dtype from colsum where "column" = '{c}') in ('int64', 'float64')
+            where (select dtype from types where "column" = '{c}') in ('int64', 'float64')
             having count(x) > 0"""
         for c in RAW_COLUMNS)
     fmts = "['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M', '%Y-%m-%d', '%d-%m-%Y %H:%M', '%d-%m-%Y', '%m/%d/%Y %H:%M', '%m/%d/%Y']"
     r5 = " union all ".join(
         f"""select '{c}' as "column", count(try_strptime({c}, {fmts}))::double / nullif(count(*), 0) as parsed_share,
                    min(try_strptime({c}, {fmts})) as "min", max(try_strptime({c}, {fmts})) as "max"
-            from clean where (select dtype from colsum where "column" = '{c}') = 'object'
+            from clean where (select dtype from types where "column" = '{c}') = 'object'
             having count(try_strptime({c}, {fmts}))::double / nullif(count(*), 0) > {DATE_SHARE}"""
         for c in RAW_COLUMNS)
     cols = ", ".join(RAW_COLUMNS)
