@@ -62,6 +62,32 @@ def rows_of(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=repr)
 
 
+def _spark_kind(dt) -> str:
+    n = dt.typeName()
+    if n in ("integer", "short", "byte"):
+        return "int32"
+    if n == "long":
+        return "int64"
+    if n in ("double", "float", "decimal"):
+        return "float"
+    if n.startswith("timestamp"):
+        return "timestamp"
+    return {"string": "string", "boolean": "bool", "date": "date"}.get(n, n)
+
+
+def _duck_kind(t) -> str:
+    n = str(t).upper()
+    if n in ("INTEGER", "SMALLINT", "TINYINT"):
+        return "int32"
+    if n in ("BIGINT", "HUGEINT", "UBIGINT", "UINTEGER"):
+        return "int64"
+    if n in ("DOUBLE", "FLOAT") or n.startswith("DECIMAL"):
+        return "float"
+    if n.startswith("TIMESTAMP"):
+        return "timestamp"
+    return {"VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date"}.get(n, n)
+
+
 def compare(spark, name: str, sf_dir: str, con=None) -> tuple[bool, str]:
     import __spark_entry__ as E
 
@@ -71,7 +97,14 @@ def compare(spark, name: str, sf_dir: str, con=None) -> tuple[bool, str]:
     if sql is None:
         return True, f"rows={len(left)} (no oracle)"
     con = con or duck(sf_dir)
-    right = con.sql(sql).df()
+    rel = con.sql(sql)
+    kinds_l = {f.name: _spark_kind(f.dataType) for f in sdf.schema.fields}
+    kinds_r = {c: _duck_kind(t) for c, t in zip(rel.columns, rel.types)}
+    if kinds_l != kinds_r:
+        bad = {c: (kinds_l.get(c), kinds_r.get(c)) for c in set(kinds_l) | set(kinds_r)
+               if kinds_l.get(c) != kinds_r.get(c)}
+        return False, f"types differ: {bad}"
+    right = rel.df()
     if sorted(left.columns) != sorted(right.columns):
         return False, f"columns differ: {sorted(left.columns)} vs {sorted(right.columns)}"
     if len(left) != len(right):
