@@ -75,7 +75,18 @@ def measures(wh, by: Sequence[str] = ("month_start",)) -> DataFrame:
         ratio(F.sum("_sum"), F.sum("_n")).alias("arrivals_per_hour"),
         F.max("_mean_arrivals").alias("peak_hour_arrivals"),
     )
-    out = spine.join(fact, keys, "left").join(daily, keys, "left").join(hours, keys, "left")
+    if by:
+        out = spine.join(fact, keys, "left").join(daily, keys, "left").join(hours, keys, "left")
+    else:
+        # Grand total: three one-row aggregates combined as scalar subqueries (a join on
+        # a constant key would be planned as a nested-loop join).
+        d_row = daily.drop(_ALL)
+        h_row = hours.drop(_ALL)
+        out = fact.select(
+            "*",
+            *[d_row.select(c).scalar().alias(c) for c in d_row.columns],
+            *[h_row.select(c).scalar().alias(c) for c in h_row.columns],
+        )
     visits = F.coalesce(F.col("visits"), F.lit(0)).cast("bigint")
     res = out.select(
         *keys,
