@@ -106,13 +106,38 @@ def measures(wh, by: Sequence[str] = ("month_start",)) -> DataFrame:
     return res.drop(_ALL) if not by else res
 
 
+def prior_month_dates(wh) -> DataFrame:
+    """(month_start, pm_date): the dates a one-month-back date shift selects for each
+    calendar month, as the BI date table does it: each date of the month's (contiguous)
+    range moves back one month, end-of-month days clamp, and a range that ends on the
+    last day of its month extends to the last day of the target month (so a whole month
+    maps to the whole previous month). Only dates present in the calendar count.
+
+    The shifted ranges are exploded to dates (calendar-bounded rows), so the lookup is
+    an equi-join on the date, not a range join.
+    """
+    cal = calendar(wh)
+    ctx = cal.groupBy("month_start").agg(F.min("date_day").alias("lo"), F.max("date_day").alias("hi"))
+    s_lo = F.add_months("lo", -1)
+    s_hi = F.when(F.col("hi") == F.last_day("hi"), F.last_day(F.add_months("hi", -1))).otherwise(
+        F.add_months("hi", -1))
+    dates = ctx.select("month_start", F.explode(F.sequence(s_lo, s_hi)).alias("pm_date"))
+    return dates.join(cal.select(F.col("date_day").alias("pm_date")), "pm_date")
+
+
 def monthly_measures(wh) -> DataFrame:
-    """X1/X4 time intelligence: monthly measures with prior month, MoM % and delta."""
+    """X1/X4 time intelligence: monthly measures with prior month, MoM % and delta.
+
+    A prior-month measure over a set of dates without visits is blank (NULL).
+    """
     m = measures(wh, ("month_start",))
-    prior = m.select(
-        F.add_months("month_start", 1).alias("month_start"),
-        F.col("visits").alias("visits_pm"),
-        F.col("pct_within_target").alias("pct_within_target_pm"),
+    per_day = daily_rollup(wh).select("visit_date", "visits", "within_target_visits")
+    pm = prior_month_dates(wh).join(per_day, F.col("pm_date") == F.col("visit_date")).groupBy(
+        "month_start").agg(F.sum("visits").alias("_v"), F.sum("within_target_visits").alias("_w"))
+    prior = pm.select(
+        "month_start",
+        F.when(F.col("_v") > 0, F.col("_v")).cast("bigint").alias("visits_pm"),
+        ratio(F.col("_w"), F.col("_v")).alias("pct_within_target_pm"),
     )
     joined = m.join(prior, "month_start", "left")
     return joined.withColumns({
@@ -169,11 +194,29 @@ _DOUBLES = ("pct_within_target", "admission_rate", "satisfaction_response_rate",
 
 _MONTHLY_SQL = f"""
 select m.* exclude (ctx), m.ctx as month_start,
-       p.visits as visits_pm, p.pct_within_target as pct_within_target_pm,
-       (m.visits - p.visits)::double / nullif(p.visits, 0) as visits_mom_pct,
-       m.pct_within_target - p.pct_within_target as pct_within_target_delta
+       p.visits_pm, p.pct_within_target_pm,
+       (m.visits - p.visits_pm)::double / nullif(p.visits_pm, 0) as visits_mom_pct,
+       m.pct_within_target - p.pct_within_target_pm as pct_within_target_delta
 from ({_measures_sql("month_start")}) m
-left join ({_measures_sql("month_start")}) p on p.ctx = m.ctx - interval 1 month
+left join (
+    select r.month_start,
+           nullif(count(f.visit_date), 0) as visits_pm,
+           (count(*) filter (where f.within_target_flag))::double
+               / nullif(count(*) filter (where f.visit_date is not null), 0) as pct_within_target_pm
+    from (
+        select month_start,
+               unnest(generate_series(
+                   (lo - interval 1 month)::date,
+                   case when hi = last_day(hi) then last_day((hi - interval 1 month)::date)
+                        else (hi - interval 1 month)::date end,
+                   interval 1 day))::date as pm_date
+        from (select date_trunc('month', date_day)::date as month_start, min(date_day) as lo, max(date_day) as hi
+              from dim_date group by 1)
+    ) r
+    join dim_date c on c.date_day = r.pm_date
+    left join fct_er_visit f on f.visit_date = r.pm_date
+    group by 1
+) p on p.month_start = m.ctx
 """
 
 _TOTAL_SQL = f"select * exclude (ctx) from ({_measures_sql(None)})"

@@ -103,9 +103,20 @@ def test_quintiles_sizes(spark):
 
 
 def test_monthly_measures_prior_month(spark):
-    m = measures.monthly_measures(warehouse(spark, SF0001)).orderBy("month_start").collect()
-    assert m[0]["visits_pm"] is None
-    assert m[1]["visits_pm"] == m[0]["visits"]
+    wh = warehouse(spark, SF0001)
+    m = measures.monthly_measures(wh).orderBy("month_start").collect()
+    assert m[0]["visits_pm"] is None          # no earlier month in the calendar
+    assert m[1]["visits_pm"] == m[0]["visits"]  # a whole month maps to the whole previous one
+    # the last calendar month is partial: it is compared with the same days one month back
+    last, prev = m[-1], m[-2]
+    hi = wh.dim_date.agg(F.max("date_day")).first()[0]
+    lo_prev = hi.replace(day=1).replace(month=hi.month - 1) if hi.month > 1 else hi.replace(
+        year=hi.year - 1, month=12, day=1)
+    same_days = wh.fct_er_visit.filter(
+        (F.col("visit_date") >= F.lit(lo_prev)) & (F.col("visit_date") <= F.lit(hi.replace(
+            month=lo_prev.month, year=lo_prev.year)))).count()
+    assert last["visits_pm"] == (same_days or None)
+    assert last["visits_pm"] is None or last["visits_pm"] <= prev["visits"]
 
 
 def test_heatmap_matrix_shape(spark):
