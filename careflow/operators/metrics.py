@@ -88,7 +88,7 @@ def monthly_trend(wh) -> DataFrame:
         ratio(F.count_if(F.col("within_target_flag")), F.count_if(_eligible())).alias("pct_within_target"),
         ratio(F.count("satisfaction_score"), _n()).alias("satisfaction_response_rate"),
         F.avg("satisfaction_score").alias("mean_satisfaction"),
-    )
+    ).orderBy("month")
 
 
 # ---------------------------------------------------------------- demand
@@ -101,7 +101,7 @@ def demand_by_weekday(wh) -> DataFrame:
     return days.groupBy("day_of_week_num", "day_name").agg(
         F.sum("n").cast("bigint").alias("arrivals"),
         ratio(F.sum("n"), _n()).alias("avg_per_day"),
-    )
+    ).orderBy("day_of_week_num")
 
 
 def demand_by_hour(wh) -> DataFrame:
@@ -112,7 +112,7 @@ def demand_by_hour(wh) -> DataFrame:
     return wh.dim_time_of_day.join(per_hour, "hour_of_day", "left").select(
         "hour_of_day", "shift", "is_peak",
         F.coalesce(F.col("arrivals"), F.lit(0)).cast("bigint").alias("arrivals"),
-    )
+    ).orderBy("hour_of_day")
 
 
 def demand_heatmap(wh) -> DataFrame:
@@ -121,7 +121,14 @@ def demand_heatmap(wh) -> DataFrame:
     h = wh.agg_hourly_arrivals
     return h.join(d, h.visit_date == d.date_day).groupBy(
         "day_of_week_num", "day_name", "hour_of_day"
-    ).agg(F.sum("arrivals").cast("bigint").alias("arrivals"))
+    ).agg(F.sum("arrivals").cast("bigint").alias("arrivals")).orderBy("day_of_week_num", "hour_of_day")
+
+
+def heatmap_row_order(wh) -> DataFrame:
+    """Weekday row order of the heatmap (one row per weekday number). The name
+    depends on the number only, so keeping any duplicate is deterministic."""
+    return demand_heatmap(wh).dropDuplicates(["day_of_week_num"]).select(
+        "day_of_week_num", "day_name").orderBy("day_of_week_num")
 
 
 def demand_heatmap_matrix(wh) -> DataFrame:
@@ -131,7 +138,7 @@ def demand_heatmap_matrix(wh) -> DataFrame:
     # Pivot values are listed, so Spark needs no extra job to find them.
     return h.join(d, h.visit_date == d.date_day).groupBy("day_of_week_num", "day_name").pivot(
         "hour_of_day", list(range(24))
-    ).agg(F.sum("arrivals"))
+    ).agg(F.sum("arrivals")).orderBy("day_of_week_num")
 
 
 def demand_volume_stats(wh) -> DataFrame:
@@ -183,7 +190,8 @@ def wait_histogram(wh, bin_width: int = 5) -> DataFrame:
     if bin_width <= 0:
         raise ValueError("bin_width must be positive")
     start = (F.floor(F.col("wait_minutes") / bin_width) * bin_width).cast("int")
-    return _not_implausible(wh.fct_er_visit).groupBy(start.alias("bucket_start")).agg(_n().alias("n"))
+    return _not_implausible(wh.fct_er_visit).groupBy(start.alias("bucket_start")).agg(
+        _n().alias("n")).orderBy("bucket_start")
 
 
 def wait_within_target(wh) -> DataFrame:
@@ -198,7 +206,7 @@ def wait_within_target(wh) -> DataFrame:
 
 def wait_daily_trend(wh) -> DataFrame:
     """Q10."""
-    return wh.agg_daily_ops.select("visit_date", "median_wait_minutes", "p90_wait_minutes")
+    return wh.agg_daily_ops.select("visit_date", "median_wait_minutes", "p90_wait_minutes").orderBy("visit_date")
 
 
 # ---------------------------------------------------------------- load vs wait
@@ -241,7 +249,7 @@ def load_vs_wait_quintiles(wh) -> DataFrame:
         F.avg("arrivals").alias("avg_arrivals"),
         F.avg("median_wait_minutes").alias("avg_median_wait"),
         _n().alias("n_hours"),
-    )
+    ).orderBy("arrivals_quintile")
 
 
 # ---------------------------------------------------------------- SPC
@@ -251,7 +259,7 @@ def spc_wait_chart(wh) -> DataFrame:
     """Q14."""
     return wh.agg_daily_ops.select(
         "visit_date", "median_wait_minutes", "wait_centre_line", "wait_ucl", "wait_lcl", "spc_signal"
-    )
+    ).orderBy("visit_date")
 
 
 def spc_admit_chart(wh) -> DataFrame:
@@ -259,7 +267,7 @@ def spc_admit_chart(wh) -> DataFrame:
     return wh.agg_daily_ops.select(
         "visit_date", "admission_rate", "admit_centre_line", "admit_ucl", "admit_lcl",
         "admit_signal", "admit_limits_clipped",
-    )
+    ).orderBy("visit_date")
 
 
 def spc_signal_days(wh) -> DataFrame:
@@ -268,7 +276,7 @@ def spc_signal_days(wh) -> DataFrame:
     return d.filter(F.col("spc_signal").isNotNull() | F.col("admit_signal").isNotNull()).select(
         "visit_date", "median_wait_minutes", "wait_ucl", "wait_lcl", "spc_signal",
         "admission_rate", "admit_ucl", "admit_lcl", "admit_signal",
-    )
+    ).orderBy("visit_date")
 
 
 # ---------------------------------------------------------------- satisfaction
@@ -297,12 +305,13 @@ def satisfaction_by_wait_bucket(wh) -> DataFrame:
     """Q18: response and score for plausible waits within / over the target."""
     t = wh.params.wait_target_minutes
     bucket = F.when(F.col("wait_minutes") <= t, F.lit(f"<={t} min")).otherwise(F.lit(f">{t} min"))
-    return _not_implausible(wh.fct_er_visit).groupBy(bucket.alias("wait_bucket")).agg(*_satisfaction_aggs())
+    return _not_implausible(wh.fct_er_visit).groupBy(bucket.alias("wait_bucket")).agg(
+        *_satisfaction_aggs()).orderBy("wait_bucket")
 
 
 def satisfaction_by_admitted(wh) -> DataFrame:
     """Q19."""
-    return wh.fct_er_visit.groupBy("admitted_flag").agg(*_satisfaction_aggs())
+    return wh.fct_er_visit.groupBy("admitted_flag").agg(*_satisfaction_aggs()).orderBy("admitted_flag")
 
 
 def satisfaction_nonresponse_bias(wh) -> DataFrame:
@@ -350,7 +359,7 @@ def segment_equity_by(wh, dimension: str) -> DataFrame:
         F.percentile("wait_minutes", 0.5, F.col("cnt")).cast("double").alias("median_wait"),
         ratio(F.sum(F.col("wait_minutes") * F.col("cnt")), F.sum("cnt")).alias("mean_wait"),
         F.sum("cnt").cast("bigint").alias("n"),
-    )
+    ).orderBy(F.col("median_wait").desc_nulls_last(), F.col("segment_value").asc_nulls_first())
 
 
 def segment_equity_by_age_band_ordered(wh) -> DataFrame:
@@ -490,7 +499,9 @@ def category_distribution(wh, column: str) -> DataFrame:
     if column in ("gender", "race"):
         per_seg = wh.fct_er_visit.groupBy("segment_key").agg(_n().alias("cnt"))
         joined = per_seg.join(wh.dim_patient_segment, "segment_key")
-        return joined.groupBy(F.col(column).alias("value")).agg(F.sum("cnt").cast("bigint").alias("n"))
-    if column in ("department_referral", "admitted_flag"):
-        return wh.fct_er_visit.groupBy(F.col(column).alias("value")).agg(_n().alias("n"))
-    raise ValueError(f"unsupported column: {column}")
+        out = joined.groupBy(F.col(column).alias("value")).agg(F.sum("cnt").cast("bigint").alias("n"))
+    elif column in ("department_referral", "admitted_flag"):
+        out = wh.fct_er_visit.groupBy(F.col(column).alias("value")).agg(_n().alias("n"))
+    else:
+        raise ValueError(f"unsupported column: {column}")
+    return out.orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())

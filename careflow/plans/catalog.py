@@ -96,6 +96,7 @@ def _metric_functions() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "q04_demand_by_hour": m.demand_by_hour,
         "q05_demand_heatmap": m.demand_heatmap,
         "q05p_heatmap_matrix": m.demand_heatmap_matrix,
+        "q05o_heatmap_row_order": m.heatmap_row_order,
         "q06_demand_volume_stats": m.demand_volume_stats,
         "q07_wait_summary_stats": m.wait_summary_stats,
         "q08_wait_histogram": m.wait_histogram,
