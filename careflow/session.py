@@ -50,6 +50,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                "(checkpoints in a machine-local folder do not survive a lost executor)")
         current = tempfile.mkdtemp(prefix="careflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
