@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careflow.functions.stats import ratio
-from careflow.operators.ranking import global_row_index
+from careflow.operators.ranking import global_cumsum
 
 # Text spellings read as booleans, and the describe() percentiles.
 TRUE_TEXT = ["True", "TRUE", "true"]
@@ -140,7 +140,14 @@ def _numeric_columns(df: DataFrame) -> DataFrame:
 
 
 def numeric_describe(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Count, mean, std, min, percentiles, max of every numeric column."""
+    """Count, mean, std, min, percentiles, max of every numeric column.
+
+    Exact percentiles interpolate linearly between order statistics. They are read from
+    the *distinct* (column, value, count) table: a weighted running count along
+    (column, value) gives every distinct value its rank range, and each wanted rank is
+    found by an equi-join on the column plus a range filter. Only distinct values are
+    sorted, never all cells, and no aggregation buffer holds a column's values.
+    """
     nums = long_values(df).select("column", F.col("value").try_cast("double").alias("x")).filter(
         F.col("x").isNotNull()
     ).join(F.broadcast(_numeric_columns(df)), "column")  # one row per column: bounded
@@ -154,30 +161,32 @@ def numeric_describe(df: DataFrame, exact: bool = True) -> DataFrame:
             F.percentile_approx("x", DESCRIBE_PERCENTILES, 100000).alias("_q"))
         q = q.select("column", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
         return moments.join(q, "column")
-    # Exact: global rank of (column, x); the ranks of a column are contiguous, so each
-    # quantile is read off at rank start + floor/ceil((n - 1) p) and interpolated.
-    ranked = global_row_index(nums, ["column", "x"], "_g")
-    first = ranked.groupBy("column").agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    wanted = first.select(
-        F.col("column").alias("_col"), "_start",
+    counts = nums.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+    ranked = global_cumsum(counts, ["column", "x"], "n", "_before")
+    starts = ranked.groupBy("column").agg(F.min("_before").alias("_start"), F.sum("n").alias("_total"))
+    wanted = starts.select(
+        "column",
         F.explode(F.array(*[F.struct(F.lit(n).alias("q"), F.lit(p).alias("p"))
                             for n, p in zip(names, DESCRIBE_PERCENTILES)])).alias("w"),
-        ((F.col("_n") - 1)).alias("_last"),
-    ).select("_col", F.col("w.q").alias("q"), (F.col("_last") * F.col("w.p")).alias("h"), "_start")
-    wanted = wanted.select(
-        "_col", "q", (F.col("h") - F.floor("h")).alias("frac"),
-        (F.col("_start") + F.floor("h")).cast("bigint").alias("_g_lo"),
-        (F.col("_start") + F.ceil("h")).cast("bigint").alias("_g_hi"),
+        "_start", "_total",
+    ).select("column", F.col("w.q").alias("q"), ((F.col("_total") - 1) * F.col("w.p")).alias("h"), "_start")
+    lookups = wanted.select(
+        "column", "q", (F.col("h") - F.floor("h")).alias("frac"),
+        F.explode(F.array(
+            F.struct(F.lit("lo").alias("end"), (F.col("_start") + F.floor("h")).cast("bigint").alias("k")),
+            F.struct(F.lit("hi").alias("end"), (F.col("_start") + F.ceil("h")).cast("bigint").alias("k")),
+        )).alias("e"),
+    ).select("column", "q", "frac", "e.end", "e.k")
+    # lookups: columns x percentiles x 2 rows, a fixed bound; the range filter runs
+    # after a hash join on the column name.
+    hits = ranked.join(F.broadcast(lookups), "column").filter(
+        (F.col("k") >= F.col("_before")) & (F.col("k") < F.col("_before") + F.col("n")))
+    ends = hits.groupBy("column", "q").agg(
+        F.first("frac").alias("frac"),
+        F.max(F.when(F.col("end") == "lo", F.col("x"))).alias("x_lo"),
+        F.max(F.when(F.col("end") == "hi", F.col("x"))).alias("x_hi"),
     )
-    at = ranked.select("_g", "x")
-    # ``wanted`` has (columns x percentiles) rows, a fixed bound: broadcast lookups.
-    lo = at.join(F.broadcast(wanted), at._g == wanted._g_lo).select("_col", "q", "frac", F.col("x").alias("x_lo"))
-    at_hi = ranked.select(F.col("_g").alias("_gh"), F.col("x").alias("x_hi"))
-    hi = at_hi.join(F.broadcast(wanted.select("_col", "q", "_g_hi")), F.col("_gh") == F.col("_g_hi")).select(
-        "_col", "q", "x_hi")
-    qv = lo.join(hi, ["_col", "q"]).select(
-        F.col("_col").alias("column"), "q",
-        (F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))).alias("v"))
+    qv = ends.select("column", "q", (F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))).alias("v"))
     wide = qv.groupBy("column").pivot("q", names).agg(F.first("v"))
     return moments.join(wide, "column").select("column", "count", "mean", "std", "min", *names, "max")
 

@@ -63,3 +63,36 @@ def ntile(df: DataFrame, k: int, order_cols: Sequence[str], out_col: str = "ntil
     big = r * (q + 1)
     bucket = F.when(i < big, F.floor(i / (q + 1))).otherwise(r + F.floor((i - big) / q)) + 1
     return ranked.withColumn(out_col, bucket.cast("int")).drop("_i", "_n")
+
+
+def global_cumsum(df: DataFrame, order_cols: Sequence[str], weight_col: str,
+                  out_col: str = "cum_before", num_partitions: int | None = None) -> DataFrame:
+    """Exclusive running sum of ``weight_col`` along the total order ``order_cols``.
+
+    Range partitions are checkpointed with their partition id; the running sum inside a
+    partition is a window over that partition's rows (a balanced range partition, never a
+    key group), and partition offsets come from one small row per partition.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = (
+        df.repartitionByRange(n_parts, *order_cols)
+        .withColumn("_pid", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    totals = parts.groupBy("_pid").agg(F.sum(weight_col).alias("_w"))
+    offsets = totals.select(
+        "_pid",
+        F.coalesce(F.sum("_w").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_offset"),
+    )
+    inside = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum(weight_col).over(inside), F.lit(0))
+    # offsets: one row per range partition, a bounded broadcast
+    return (
+        parts.withColumn("_local", local)
+        .join(F.broadcast(offsets), "_pid")
+        .withColumn(out_col, F.col("_offset") + F.col("_local"))
+        .drop("_pid", "_local", "_offset")
+    )

@@ -35,3 +35,17 @@ def test_ntile_matches_sql_definition(spark):
         by_key = {(r["a"], r["d"], r["h"]): r["b"] for r in got}
         expect = dict(zip(sorted(rows), brute_ntile(n, k)))
         assert by_key == expect
+
+
+def test_global_cumsum_weighted(spark):
+    from careflow.operators.ranking import global_cumsum
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice("abc"), float(i), 1000 if i % 17 == 0 else rnd.randint(1, 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "c string, x double, n long")
+    got = {(r["c"], r["x"]): r["cb"] for r in global_cumsum(df, ["c", "x"], "n", "cb").collect()}
+    running, expect = 0, {}
+    for c, x, n in sorted(rows):
+        expect[(c, x)] = running
+        running += n
+    assert got == expect
