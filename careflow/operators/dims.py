@@ -41,12 +41,13 @@ def hourly_totals(stg: DataFrame) -> DataFrame:
     )
 
 
-def dim_time_of_day(spark: SparkSession, stg: DataFrame) -> DataFrame:
+def dim_time_of_day(spark: SparkSession, stg: DataFrame, empty_hours_peak: bool = False) -> DataFrame:
     """M3: 24 hours with shift band and ``is_peak``.
 
     ``is_peak``: the hour's total arrivals are at or above the median of the hourly
-    totals of hours that had arrivals. An hour with no arrivals is never a peak (the
-    median is one scalar, compared against 0).
+    totals of hours that had arrivals. An hour with no arrivals is not a peak;
+    ``empty_hours_peak=True`` reproduces the source system, where such an hour compares
+    0 >= 0 and is marked as a peak.
     """
     totals = hourly_totals(stg)
     median = totals.agg(F.median("arrivals")).scalar()  # one scalar subquery
@@ -56,7 +57,8 @@ def dim_time_of_day(spark: SparkSession, stg: DataFrame) -> DataFrame:
     return joined.select(
         "hour_of_day",
         shift_band(F.col("hour_of_day")).alias("shift"),
-        F.coalesce(F.col("arrivals") >= median, F.lit(False)).alias("is_peak"),
+        (F.when(F.col("arrivals").isNull(), F.lit(empty_hours_peak))
+         .otherwise(F.coalesce(F.col("arrivals") >= median, F.lit(False)))).alias("is_peak"),
     )
 
 

@@ -185,11 +185,19 @@ def wait_summary_stats(wh) -> DataFrame:
     )
 
 
-def wait_histogram(wh, bin_width: int = 5) -> DataFrame:
-    """Q8: counts of plausible waits per ``bin_width``-minute bin (bin start, INT)."""
+def wait_histogram(wh, bin_width: int = 5, source_bins: bool = False) -> DataFrame:
+    """Q8: counts of plausible waits per ``bin_width``-minute bin (bin start, INT).
+
+    ``source_bins=True`` reproduces the source system's result exactly: its
+    ``(wait / width) * width`` is true division there, so every minute is its own
+    "bin" and ``bucket_start`` is the wait as a DOUBLE.
+    """
     if bin_width <= 0:
         raise ValueError("bin_width must be positive")
-    start = (F.floor(F.col("wait_minutes") / bin_width) * bin_width).cast("int")
+    if source_bins:
+        start = (F.col("wait_minutes").cast("double") / bin_width) * bin_width
+    else:
+        start = (F.floor(F.col("wait_minutes") / bin_width) * bin_width).cast("int")
     return _not_implausible(wh.fct_er_visit).groupBy(start.alias("bucket_start")).agg(
         _n().alias("n")).orderBy("bucket_start")
 
@@ -335,6 +343,12 @@ def satisfaction_by_response_group(wh) -> DataFrame:
     )
 
 
+def satisfaction_nonresponse_report(wh) -> dict[str, DataFrame]:
+    """Q20 in the source's shape: the two correlations and the response-group table."""
+    return {"correlations": satisfaction_nonresponse_bias(wh),
+            "by_response_group": satisfaction_by_response_group(wh)}
+
+
 # ---------------------------------------------------------------- equity
 
 
@@ -391,6 +405,17 @@ def segment_equity_extremes(wh, n: int = 10) -> DataFrame:
     )
 
 
+def segment_equity_extremes_split(wh, n: int = 10) -> dict[str, DataFrame]:
+    """Q22 in the source's shape: ``{"top": ..., "bottom": ...}``."""
+    ext = segment_equity_extremes(wh, n)
+    return {
+        "top": ext.filter(F.col("extreme") == "top").drop("extreme")
+        .orderBy(F.col("median_wait_minutes").desc_nulls_last()),
+        "bottom": ext.filter(F.col("extreme") == "bottom").drop("extreme")
+        .orderBy(F.col("median_wait_minutes").asc_nulls_last()),
+    }
+
+
 def segment_low_n_summary(wh) -> DataFrame:
     """Q23."""
     low = F.count_if(F.col("low_n_flag"))

@@ -100,6 +100,7 @@ def _metric_functions() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "q06_demand_volume_stats": m.demand_volume_stats,
         "q07_wait_summary_stats": m.wait_summary_stats,
         "q08_wait_histogram": m.wait_histogram,
+        "q08s_wait_histogram_source_bins": lambda wh: m.wait_histogram(wh, 5, source_bins=True),
         "q09_wait_within_target": m.wait_within_target,
         "q10_wait_daily_trend": m.wait_daily_trend,
         "q11_load_vs_wait_hourly": m.load_vs_wait_hourly,

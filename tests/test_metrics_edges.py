@@ -128,3 +128,20 @@ def test_age_band_order_shows_missing_bands(edge_wh):
     rows = metrics.segment_equity_by_age_band_ordered(edge_wh).collect()
     assert [r["segment_value"] for r in rows] == ["0-17", "18-34", "35-49", "50-64", "65+"]
     assert rows[4]["n"] == 0 and rows[4]["median_wait"] is None  # 65+ has no plausible wait
+
+
+def test_source_quirk_switches(spark, edge_wh):
+    from careflow.operators import dims
+
+    t = {x["hour_of_day"]: x["is_peak"]
+         for x in dims.dim_time_of_day(spark, edge_wh.stg_er_visits, empty_hours_peak=True).collect()}
+    assert all(t[h] for h in (2, 3, 4, 5))
+    hist = {x["bucket_start"]: x["n"] for x in metrics.wait_histogram(edge_wh, source_bins=True).collect()}
+    assert hist[31.0] == 1 and hist[13.0] == 1 and sum(hist.values()) == 9
+
+
+def test_source_shaped_bundles(edge_wh):
+    split = metrics.segment_equity_extremes_split(edge_wh, 3)
+    assert set(split) == {"top", "bottom"} and "extreme" not in split["top"].columns
+    rep = metrics.satisfaction_nonresponse_report(edge_wh)
+    assert rep["by_response_group"].count() == 2
