@@ -65,10 +65,11 @@ def kpi_summary(wh) -> DataFrame:
         F.count_if(F.col("wait_implausible_flag")).alias("n_implausible_waits"),
     )
     # Scalar subqueries over the small daily mart (merged into one by the optimizer);
-    # the daily mart has exactly one row per distinct visit date.
+    # the daily mart has one row per distinct visit date (plus a NULL-date row only when
+    # lenient date parsing let unparseable dates through, which n_days leaves out).
     return row.select(
         "visits", "date_min", "date_max",
-        daily.agg(_n()).scalar().alias("n_days"),
+        daily.agg(F.count("visit_date")).scalar().alias("n_days"),
         "median_wait_minutes", "p90_wait_minutes", "mean_wait_minutes", "pct_within_target",
         "admission_rate", "satisfaction_response_rate", "mean_satisfaction", "n_implausible_waits",
         daily.agg(F.count("spc_signal")).scalar().alias("wait_signal_days"),

@@ -145,3 +145,17 @@ def test_source_shaped_bundles(edge_wh):
     assert set(split) == {"top", "bottom"} and "extreme" not in split["top"].columns
     rep = metrics.satisfaction_nonresponse_report(edge_wh)
     assert rep["by_response_group"].count() == 2
+
+
+def test_lenient_dates_kpi(spark, edge_wh):
+    from careflow.plans.warehouse import build_warehouse
+
+    bad = edge_wh.raw_visits.withColumn(
+        "admission_date_raw",
+        F.when(F.col("patient_id") == "P01", F.lit("not a date")).otherwise(F.col("admission_date_raw")))
+    wh = build_warehouse(spark, bad, strict_dates=False)
+    k = metrics.kpi_summary(wh).first()
+    assert k["visits"] == 14 and k["n_days"] == 4 and k["total_days"] == 5
+    s = {r["check_id"]: r["failures"] for r in __import__("careflow.operators.quality", fromlist=["x"])
+         .run_checks(wh).collect()}
+    assert s["fct_visit_date_not_null"] == 1 and s["stg_visit_date_not_null"] == 1
