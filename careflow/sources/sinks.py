@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from careflow.schema import MART_TABLES
 
 # Aggregates whose row count is bounded by the calendar or the segment count; they
-# are exported as one file each, the fact keeps its parallel layout.
+# are written as one file each (after their parallel aggregation), the fact keeps its
+# parallel layout.
 SMALL_MARTS = {
     "agg_daily_ops", "agg_segment_waits", "dim_date", "dim_time_of_day",
     "dim_patient_segment", "dim_department",
@@ -24,7 +25,7 @@ def _write_one(name: str, df: DataFrame, target: str, mode: str) -> None:
     if name == "fct_er_visit":
         df = df.sortWithinPartitions("visit_date", "visit_hour")
     elif name in SMALL_MARTS:
-        df = df.coalesce(1)
+        df = df.repartition(1)
     df.write.mode(mode).parquet(target)
 
 
@@ -58,15 +59,17 @@ def export_csv(marts: dict[str, DataFrame], out_dir: str,
                single_file_small: bool = True) -> dict[str, str]:
     """Every mart to ``out_dir/<name>/`` as CSV with a header row.
 
-    Small calendar/segment-bounded marts may go to one file (``coalesce(1)``); the
-    fact always stays partitioned. Row and column counts are reported by
+    Small calendar/segment-bounded marts may go to one file; the fact always stays
+    partitioned. One file is made with ``repartition(1)``, a shuffle of the finished
+    (small) rows, not ``coalesce(1)``, which would pull the upstream aggregation that
+    merges every map task's partial result into a single task. Row and column counts are reported by
     :func:`careflow.operators.quality.export_reconciliation`, not by collecting here.
     """
     out = {}
     for name, df in marts.items():
         target = f"{out_dir.rstrip('/')}/{name}"
         if single_file_small and name in SMALL_MARTS:
-            df = df.coalesce(1)
+            df = df.repartition(1)
         df.write.mode("overwrite").option("header", True).csv(target)
         out[name] = target
     return out
