@@ -19,7 +19,7 @@ from careflow.functions.stats import (
     sample_kurtosis,
     sample_skewness,
 )
-from careflow.operators.marts import plausible
+from careflow.operators.marts import plausible, wait_quantiles
 from careflow.operators.ranking import ntile
 
 EQUITY_DIMENSIONS = ("gender", "age_band", "race")
@@ -51,12 +51,11 @@ def kpi_summary(wh) -> DataFrame:
     """Q1: 12 headline KPIs over the fact plus signal counts of the daily mart."""
     f, w = wh.fct_er_visit, plausible()
     daily = wh.agg_daily_ops
+    q = wait_quantiles(f, (), {"median": 0.5, "p90": 0.9})
     row = f.agg(
         _n().alias("visits"),
         F.min("visit_date").alias("date_min"),
         F.max("visit_date").alias("date_max"),
-        F.median(w).cast("double").alias("median_wait_minutes"),
-        F.percentile(w, 0.9).cast("double").alias("p90_wait_minutes"),
         F.avg(w).alias("mean_wait_minutes"),
         ratio(F.count_if(F.col("within_target_flag")), F.count_if(_eligible())).alias("pct_within_target"),
         ratio(F.count_if(F.col("admitted_flag")), _n()).alias("admission_rate"),
@@ -70,7 +69,9 @@ def kpi_summary(wh) -> DataFrame:
     return row.select(
         "visits", "date_min", "date_max",
         daily.agg(F.count("visit_date")).scalar().alias("n_days"),
-        "median_wait_minutes", "p90_wait_minutes", "mean_wait_minutes", "pct_within_target",
+        q.select("median").scalar().alias("median_wait_minutes"),
+        q.select("p90").scalar().alias("p90_wait_minutes"),
+        "mean_wait_minutes", "pct_within_target",
         "admission_rate", "satisfaction_response_rate", "mean_satisfaction", "n_implausible_waits",
         daily.agg(F.count("spc_signal")).scalar().alias("wait_signal_days"),
         daily.agg(F.count("admit_signal")).scalar().alias("admit_signal_days"),
@@ -80,15 +81,19 @@ def kpi_summary(wh) -> DataFrame:
 
 def monthly_trend(wh) -> DataFrame:
     """Q2: per calendar month (first day of month, a DATE)."""
-    f = wh.fct_er_visit
-    return f.groupBy(F.trunc("visit_date", "month").alias("month")).agg(
+    f = wh.fct_er_visit.withColumn("month", F.trunc("visit_date", "month"))
+    main = f.groupBy("month").agg(
         _n().alias("visits"),
         F.count_if(F.col("admitted_flag")).alias("admissions"),
         ratio(F.count_if(F.col("admitted_flag")), _n()).alias("admission_rate"),
-        F.median(plausible()).cast("double").alias("median_wait_minutes"),
         ratio(F.count_if(F.col("within_target_flag")), F.count_if(_eligible())).alias("pct_within_target"),
         ratio(F.count("satisfaction_score"), _n()).alias("satisfaction_response_rate"),
         F.avg("satisfaction_score").alias("mean_satisfaction"),
+    )
+    med = wait_quantiles(f, ["month"], {"median_wait_minutes": 0.5})
+    return main.join(med, "month", "left").select(
+        "month", "visits", "admissions", "admission_rate", "median_wait_minutes", "pct_within_target",
+        "satisfaction_response_rate", "mean_satisfaction",
     ).orderBy("month")
 
 
@@ -171,19 +176,25 @@ def wait_summary_stats(wh) -> DataFrame:
     """Q7: distribution of plausible waits (sample sd, skewness and excess kurtosis)."""
     f, w = wh.fct_er_visit, plausible()
     wd = w.cast("double")
-    return f.agg(
+    q = wait_quantiles(f, (), {"median": 0.5, "p90": 0.9, "p99": 0.99})
+    row = f.agg(
         F.count_if(~F.col("wait_implausible_flag")).alias("n_plausible"),
         F.count_if(F.col("wait_implausible_flag")).alias("n_implausible"),
         F.min(w).alias("min_wait"),
-        F.median(w).cast("double").alias("median_wait"),
         F.avg(w).alias("mean_wait"),
-        F.percentile(w, 0.9).cast("double").alias("p90_wait"),
-        F.percentile(w, 0.99).cast("double").alias("p99_wait"),
         F.max(w).alias("max_wait"),
         F.stddev_samp(w).alias("sd_wait"),
         sample_skewness(wd).alias("skew_wait"),
         sample_kurtosis(wd).alias("kurt_wait"),
     )
+    return row.select(
+        "n_plausible", "n_implausible", "min_wait",
+        q.select("median").scalar().alias("median_wait"),
+        "mean_wait",
+        q.select("p90").scalar().alias("p90_wait"),
+        q.select("p99").scalar().alias("p99_wait"),
+        "max_wait", "sd_wait", "skew_wait", "kurt_wait",
+    )
 
 
 def wait_histogram(wh, bin_width: int = 5, source_bins: bool = False) -> DataFrame:
@@ -335,13 +346,10 @@ def satisfaction_nonresponse_bias(wh) -> DataFrame:
 
 def satisfaction_by_response_group(wh) -> DataFrame:
     """Plausible waits of responders and non-responders."""
-    return _not_implausible(wh.fct_er_visit).groupBy(
-        F.col("satisfaction_score").isNotNull().alias("responded")
-    ).agg(
-        F.avg("wait_minutes").alias("mean_wait"),
-        F.median("wait_minutes").cast("double").alias("median_wait"),
-        _n().alias("n"),
-    )
+    f = _not_implausible(wh.fct_er_visit).withColumn("responded", F.col("satisfaction_score").isNotNull())
+    main = f.groupBy("responded").agg(F.avg("wait_minutes").alias("mean_wait"), _n().alias("n"))
+    med = wait_quantiles(f, ["responded"], {"median_wait": 0.5})
+    return main.join(med, "responded", "left").select("responded", "mean_wait", "median_wait", "n")
 
 
 def satisfaction_nonresponse_report(wh) -> dict[str, DataFrame]:
