@@ -22,12 +22,19 @@ from careflow.session import checkpoint_dir
 
 def ingest_landing(spark: SparkSession, landing_dir: str, staging_dir: str,
                    checkpoint_location: str | None = None, params: MeasureParams = DEFAULT_PARAMS,
-                   available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest stream; returns the running query (``awaitTermination`` it)."""
+                   available_now: bool = True, max_files_per_trigger: int | None = None,
+                   archive_dir: str | None = None) -> StreamingQuery:
+    """Start the ingest stream; returns the running query (``awaitTermination`` it).
+
+    ``archive_dir``: move each file there once it is committed, so the landing folder
+    (and its listing on every trigger) does not grow without bound.
+    """
     ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/landing-ingest"
     reader = spark.readStream.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     raw = reader.csv(landing_dir).select(*RAW_COLUMNS)
     staged = stage_visits(raw, params, strict_dates=False)
     writer = (staged.writeStream.format("parquet").option("checkpointLocation", ckpt)

@@ -40,3 +40,15 @@ def test_write_and_read_marts(spark, edge_wh, tmp_path):
     back = read_marts(spark, str(tmp_path / "wh"))
     assert back["fct_er_visit"].count() == 14
     assert back["agg_daily_ops"].columns == edge_wh.agg_daily_ops.columns
+
+
+def test_landing_ingest_archives_processed_files(spark, tmp_path):
+    landing, staging, ckpt, arch = (tmp_path / n for n in ("landing", "staging", "ckpt", "archive"))
+    landing.mkdir()
+    shutil.copy(DATA / "edge_visits.csv", landing / "a.csv")
+    ingest_landing(spark, str(landing), str(staging), str(ckpt), archive_dir=str(arch)).awaitTermination()
+    assert spark.read.parquet(str(staging)).count() == 14
+    shutil.copy(DATA / "edge_visits.csv", landing / "b.csv")
+    ingest_landing(spark, str(landing), str(staging), str(ckpt), archive_dir=str(arch)).awaitTermination()
+    assert spark.read.parquet(str(staging)).count() == 28
+    assert not (landing / "a.csv").exists()  # moved to the archive after commit
