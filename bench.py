@@ -4,7 +4,7 @@ queries of the baseline over the written marts.
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Prints one JSON line: ``{"metric", "value", "unit", "queries": {name: sec}, "sf", ...}``.
-Each query: one warm-up run, then the median of 3 timed runs (results collected; they
+Each query: one warm-up run, then the median of 5 timed runs (results collected; they
 are small). ``value`` is the sum of the query medians; the one-off warehouse build
 (raw mapping -> staging -> 8 marts, written as parquet) is reported separately.
 """
@@ -43,7 +43,7 @@ def _run(result) -> None:
         df.collect()
 
 
-def _time(fn, wh, repeats: int = 3) -> float:
+def _time(fn, wh, repeats: int = 5) -> float:
     _run(fn(wh))  # warm-up
     samples = []
     for _ in range(repeats):
