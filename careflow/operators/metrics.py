@@ -299,6 +299,24 @@ def spc_signal_days(wh) -> DataFrame:
     ).orderBy("visit_date")
 
 
+def spc_summary(wh) -> DataFrame:
+    """Signal-day counts of both charts by rule, clipped-limit days and total days (the
+    one-row summary above the control charts)."""
+    from careflow.operators.spc import POINT_BEYOND_LIMIT, TWO_OF_THREE
+
+    d = wh.agg_daily_ops
+    sig = F.col("spc_signal")
+    return d.agg(
+        F.count("spc_signal").alias("wait_signal_days"),
+        F.count_if(sig == POINT_BEYOND_LIMIT).alias("point_beyond_limit_days"),
+        F.count_if(sig == wh.params.run_signal_label).alias("run_days"),
+        F.count_if(sig == TWO_OF_THREE).alias("two_of_three_days"),
+        F.count("admit_signal").alias("admit_signal_days"),
+        F.count_if(F.col("admit_limits_clipped")).alias("clipped_limit_days"),
+        _n().alias("total_days"),
+    )
+
+
 # ---------------------------------------------------------------- satisfaction
 
 

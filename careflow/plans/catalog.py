@@ -110,6 +110,7 @@ def _metric_functions() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "q14_spc_wait_chart": m.spc_wait_chart,
         "q15_spc_admit_chart": m.spc_admit_chart,
         "q16_spc_signal_days": m.spc_signal_days,
+        "q16s_spc_summary": m.spc_summary,
         "q17_satisfaction_overview": m.satisfaction_overview,
         "q18_satisfaction_by_wait_bucket": m.satisfaction_by_wait_bucket,
         "q19_satisfaction_by_admitted": m.satisfaction_by_admitted,
