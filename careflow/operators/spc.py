@@ -9,10 +9,11 @@
   volume, capped to [0, 1], with a flag when a cap was applied.
 
 ``series_keys`` names the columns that identify independent series (none = one series
-for the whole input). Every window is ``partitionBy(series_keys).orderBy(visit_date)``
-or the same partitioning without order, so the daily table is shuffled once. A series
-holds one row per observed day, so a window partition is bounded by the calendar
-span (a few thousand rows), not by the number of visits.
+for the whole input). The run rules need each day's predecessors, so the series is
+scanned in calendar-year segments: windows are ``partitionBy(series_keys, year)`` with
+two halo rows per segment, and what crosses a year boundary (positions, a run's start)
+goes through per-year tables of one row per series and year. No window partition holds
+more than 368 rows, and no task a whole series.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from careflow.functions.stats import ratio
 from careflow.operators.marts import plausible
 from careflow.params import DEFAULT_PARAMS, MeasureParams
+from careflow.session import checkpoint_dir
 
 POINT_BEYOND_LIMIT = "point_beyond_limit"
 TWO_OF_THREE = "two_of_three_beyond_2sigma"
@@ -47,67 +49,115 @@ def daily_series(fct: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def xmr_chart(daily: DataFrame, value: str = "median_wait_minutes",
-              series_keys: Sequence[str] = (), params: MeasureParams = DEFAULT_PARAMS,
-              prefix: str = "wait", signal_col: str = "spc_signal") -> DataFrame:
-    """M8b + M8c: XmR limits and rule signals for ``value`` of a daily series."""
+def _join_ns(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+    """Inner equi-join on ``cols`` where NULL matches NULL (a NULL series key or the
+    NULL-date bucket of leniently parsed input must not drop rows); planned as a hash
+    join like any equi-join."""
+    renamed = right.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(cols)],
+                           *[c for c in right.columns if c not in cols])
+    cond = [left[c].eqNullSafe(renamed[f"_r{i}"]) for i, c in enumerate(cols)]
+    return left.join(renamed, cond).drop(*[f"_r{i}" for i in range(len(cols))])
+
+
+def _attach(df: DataFrame, stats: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Add per-series statistics: an equi-join on the series keys, or, for a single
+    series, scalar subqueries (a join on no keys would be a nested-loop join)."""
+    if keys:
+        return _join_ns(df, stats.select(*keys, *cols), keys)
+    return df.select("*", *[stats.select(c).scalar().alias(c) for c in cols])
+
+
+def _bucketed(daily: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of each series split into calendar-year buckets, with their 1-based global
+    position in the series and the two rows that precede each bucket copied into it as
+    ``_halo`` rows (found by an equi-join on position), so that windows partitioned by
+    (series, year) see each row's two predecessors.
+
+    Windows over (series, year) hold at most 366 + 2 rows; the per-year tables (one row
+    per series and year) carry positions across years.
+    """
+    d = daily.withColumn("_b", F.year("visit_date"))
+    d = d.withColumn("_li", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("visit_date")))
+    sizes = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    d = _join_ns(d, offsets, [*keys, "_b"]).withColumn("_pos", F.col("_off") + F.col("_li")).drop("_li", "_off")
+    wanted = offsets.select(
+        *keys, F.col("_b").alias("_hb"),
+        F.explode(F.array(F.col("_off") - 1, F.col("_off"))).alias("_pos"),
+    ).filter(F.col("_pos") >= 1)
+    halo = _join_ns(d, wanted, [*keys, "_pos"]).drop("_b").withColumnRenamed("_hb", "_b")
+    return d.withColumn("_halo", F.lit(False)).unionByName(halo.withColumn("_halo", F.lit(True)))
+
+
+def xmr_chart(daily: DataFrame, value: str = "median_wait_minutes", series_keys: Sequence[str] = (),
+              params: MeasureParams = DEFAULT_PARAMS, prefix: str = "wait",
+              signal_col: str = "spc_signal") -> DataFrame:
+    """M8b + M8c: XmR limits and rule signals for ``value`` of a daily series.
+
+    A segmented scan: lag, the 3-row rule and run starts are windows over
+    (series, year) buckets with two halo rows each; the series centre and mean moving
+    range are ordinary aggregates; the start of a run that began in an earlier year is
+    carried by a running maximum over the per-year table. No task holds a whole series.
+    """
     keys = list(series_keys)
-    ordered = Window.partitionBy(*keys).orderBy("visit_date")
-    whole = Window.partitionBy(*keys)
-    last3 = ordered.rowsBetween(-2, Window.currentRow)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = F.col(value)
     k = F.lit(float(params.spc_sigma))
     centre, sigma = f"{prefix}_centre_line", f"_{prefix}_sigma"
+    ucl, lcl = f"{prefix}_ucl", f"{prefix}_lcl"
+    cols = daily.columns
+    w = Window.partitionBy(*keys, "_b").orderBy("_pos")
+
+    rows = _bucketed(daily, keys).withColumn("_mr", F.abs(x - F.lag(x).over(w)))
+    own = rows.filter(~F.col("_halo"))
+    stats = own.groupBy(*keys).agg(
+        F.avg(x).alias(centre), (F.avg("_mr") / F.lit(params.mr_d2)).alias(sigma))
+    rows = _attach(rows, stats, keys, [centre, sigma])
 
-    step1 = daily.withColumn("_mr", F.abs(x - F.lag(x).over(ordered)))
-    step2 = step1.withColumns({
-        centre: F.avg(x).over(whole),
-        sigma: F.avg("_mr").over(whole) / F.lit(params.mr_d2),
-        "_pos": F.row_number().over(ordered),
-    })
     cl, sg = F.col(centre), F.col(sigma)
     side = F.when(x > cl, 1).when(x < cl, -1).otherwise(0)
     beyond2 = F.when(x > cl + 2 * sg, 1).when(x < cl - 2 * sg, -1).otherwise(0)
-    step3 = step2.withColumns({
-        f"{prefix}_ucl": cl + k * sg,
-        f"{prefix}_lcl": F.greatest(cl - k * sg, F.lit(0.0)),
+    rows = rows.withColumns({
+        ucl: cl + k * sg,
+        lcl: F.greatest(cl - k * sg, F.lit(0.0)),
         "_side": side,
         "_b2": beyond2,
     })
-    # Gaps and islands on the centre side with one window spec: a run starts where the
-    # side differs from the previous row's; its start position is carried forward.
-    prev_side = F.lag("_side").over(ordered)
-    step4 = step3.withColumn(
-        "_run_start", F.when(prev_side.isNull() | (prev_side != F.col("_side")), F.col("_pos"))
-    )
-    step5 = step4.withColumns({
-        "_run_len": F.col("_pos") - F.max("_run_start").over(upto) + 1,
-        "_pos3": F.sum(F.when(F.col("_b2") == 1, 1).otherwise(0)).over(last3),
-        "_neg3": F.sum(F.when(F.col("_b2") == -1, 1).otherwise(0)).over(last3),
-    })
-    ucl, lcl = F.col(f"{prefix}_ucl"), F.col(f"{prefix}_lcl")
+    prev_side = F.lag("_side").over(w)
+    rows = rows.withColumn(
+        "_chg", F.when(~F.col("_halo") & (prev_side.isNull() | (prev_side != F.col("_side"))), F.col("_pos")))
+    rows = rows.withColumns({
+        "_run_from": F.max("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_pos3": F.sum(F.when(F.col("_b2") == 1, 1).otherwise(0)).over(w.rowsBetween(-2, Window.currentRow)),
+        "_neg3": F.sum(F.when(F.col("_b2") == -1, 1).otherwise(0)).over(w.rowsBetween(-2, Window.currentRow)),
+    }).filter(~F.col("_halo"))
+    # A run that started in an earlier year: the last change before this year.
+    last = rows.groupBy(*keys, "_b").agg(F.max("_chg").alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*keys, "_b", F.max("_last").over(earlier).alias("_carry"))
+    rows = _join_ns(rows, carry, [*keys, "_b"])
+    run_len = F.col("_pos") - F.greatest(F.col("_run_from"), F.col("_carry")) + 1
+
+    xu, xl = F.col(ucl), F.col(lcl)
     signal = (
-        F.when((x > ucl) | (x < lcl), F.lit(POINT_BEYOND_LIMIT))
-        .when((F.col("_side") != 0) & (F.col("_run_len") >= params.run_length),
-              F.lit(params.run_signal_label))
+        F.when((x > xu) | (x < xl), F.lit(POINT_BEYOND_LIMIT))
+        .when((F.col("_side") != 0) & (run_len >= params.run_length), F.lit(params.run_signal_label))
         .when((F.col("_pos3") >= 2) | (F.col("_neg3") >= 2), F.lit(TWO_OF_THREE))
     )
-    return step5.withColumn(signal_col, signal).drop(
-        "_mr", sigma, "_pos", "_side", "_b2", "_run_start", "_run_len", "_pos3", "_neg3"
-    )
+    return rows.withColumn(signal_col, signal).select(*cols, centre, ucl, lcl, signal_col)
 
 
 def p_chart(daily: DataFrame, series_keys: Sequence[str] = (),
             params: MeasureParams = DEFAULT_PARAMS) -> DataFrame:
-    """M8d: admission-rate p-chart with a pooled centre line per series."""
-    whole = Window.partitionBy(*series_keys)
+    """M8d: admission-rate p-chart with a pooled centre line per series (an aggregate
+    attached to the daily rows; no window)."""
+    keys = list(series_keys)
     k = F.lit(float(params.spc_sigma))
+    pooled = daily.groupBy(*keys).agg(
+        ratio(F.sum("admissions"), F.sum("visits")).alias("admit_centre_line"))
+    with_p = _attach(daily, pooled, keys, ["admit_centre_line"]).withColumn(
+        "admission_rate", ratio(F.col("admissions"), F.col("visits")))
     p = F.col("admit_centre_line")
-    with_p = daily.withColumns({
-        "admission_rate": ratio(F.col("admissions"), F.col("visits")),
-        "admit_centre_line": ratio(F.sum("admissions").over(whole), F.sum("visits").over(whole)),
-    })
     sig = F.sqrt(p * (1 - p) / F.col("visits"))
     upper, lower = p + k * sig, p - k * sig
     out = with_p.withColumns({
@@ -127,9 +177,15 @@ def agg_daily_ops(fct: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
     """M8: one row per observed day (per series) with both control charts.
 
     Both charts are computed on the same daily rows in one chain of projections, so
-    there is no self-join of two chart branches.
+    there is no self-join of two chart branches. Building it runs one job: the daily
+    aggregation, checkpointed.
     """
-    daily = daily_series(fct, series_keys)
+    # The daily table (one row per series and day) is read by several branches of the
+    # scan; it is computed once and its lineage cut with a reliable checkpoint in the
+    # shared checkpoint folder, so the fact is scanned once and a lost executor
+    # re-reads the checkpoint instead of re-aggregating the fact.
+    checkpoint_dir(fct.sparkSession)
+    daily = daily_series(fct, series_keys).checkpoint(eager=True)
     charted = p_chart(xmr_chart(daily, series_keys=series_keys, params=params),
                       series_keys=series_keys, params=params)
     return charted.select(

@@ -1,14 +1,15 @@
 """The warehouse build: raw visits -> staging -> 8 marts.
 
-``build_warehouse`` returns lazy DataFrames (nothing runs until a mart or metric is
-written or collected). ``materialize`` writes the marts as parquet tables to a shared
+``build_warehouse`` returns lazy DataFrames: nothing runs until a mart or metric is
+written or collected, except that the first access to the daily mart checkpoints its
+small daily table (one job). ``materialize`` writes the marts as parquet tables to a shared
 folder and returns a warehouse that scans them: the metric layer then reads small
 pre-aggregated tables, and a lost executor only recomputes from the written files.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,26 +19,41 @@ from careflow.schema import MART_TABLES
 from careflow.sources import sinks
 
 
-@dataclass
 class Warehouse:
-    spark: SparkSession
-    fct_er_visit: DataFrame
-    agg_daily_ops: DataFrame
-    agg_hourly_arrivals: DataFrame
-    agg_segment_waits: DataFrame
-    dim_date: DataFrame
-    dim_time_of_day: DataFrame
-    dim_patient_segment: DataFrame
-    dim_department: DataFrame
-    stg_er_visits: DataFrame | None = None
-    raw_visits: DataFrame | None = None
-    params: MeasureParams = field(default=DEFAULT_PARAMS)
+    """The staging table and the 8 marts of one build.
 
-    def marts(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in MART_TABLES}
+    Marts are given as DataFrames or as zero-argument builders; a builder runs on first
+    access only (building the daily mart checkpoints its daily table, a job that a
+    query not reading that mart should not pay for).
+    """
+
+    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]],
+                 stg_er_visits: DataFrame | None = None, raw_visits: DataFrame | None = None,
+                 params: MeasureParams = DEFAULT_PARAMS):
+        missing = set(MART_TABLES) - set(tables)
+        if missing:
+            raise ValueError(f"missing marts: {sorted(missing)}")
+        self.spark = spark
+        self.stg_er_visits = stg_er_visits
+        self.raw_visits = raw_visits
+        self.params = params
+        self._tables = dict(tables)
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
+        t = self._tables[name]
+        if not isinstance(t, DataFrame):
+            t = t()
+            self._tables[name] = t
+        return t
+
+    def __getattr__(self, name: str) -> DataFrame:
+        tables = self.__dict__.get("_tables", {})
+        if name in tables:
+            return self.table(name)
+        raise AttributeError(name)
+
+    def marts(self) -> dict[str, DataFrame]:
+        return {name: self.table(name) for name in MART_TABLES}
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
@@ -47,20 +63,17 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, params: MeasureParams =
         stg = staging.stage_visits(raw, params, strict_dates=strict_dates)
     fct = marts.fct_er_visit(stg, params)
     seg = dims.dim_patient_segment(stg)
-    return Warehouse(
-        spark=spark,
-        raw_visits=raw,
-        stg_er_visits=stg,
-        fct_er_visit=fct,
-        agg_daily_ops=spc.agg_daily_ops(fct, params),
-        agg_hourly_arrivals=marts.agg_hourly_arrivals(fct),
-        agg_segment_waits=marts.agg_segment_waits(fct, seg, params),
-        dim_date=dims.dim_date(stg),
-        dim_time_of_day=dims.dim_time_of_day(spark, stg),
-        dim_patient_segment=seg,
-        dim_department=dims.dim_department(stg),
-        params=params,
-    )
+    tables = {
+        "fct_er_visit": fct,
+        "agg_daily_ops": lambda: spc.agg_daily_ops(fct, params),
+        "agg_hourly_arrivals": marts.agg_hourly_arrivals(fct),
+        "agg_segment_waits": marts.agg_segment_waits(fct, seg, params),
+        "dim_date": dims.dim_date(stg),
+        "dim_time_of_day": dims.dim_time_of_day(spark, stg),
+        "dim_patient_segment": seg,
+        "dim_department": dims.dim_department(stg),
+    }
+    return Warehouse(spark, tables, stg_er_visits=stg, raw_visits=raw, params=params)
 
 
 def materialize(wh: Warehouse, path: str) -> Warehouse:
@@ -87,4 +100,4 @@ def load_warehouse(spark: SparkSession, path: str, params: MeasureParams = DEFAU
                    with_staging: bool = False) -> Warehouse:
     tables = sinks.read_marts(spark, path)
     stg = spark.read.parquet(f"{path.rstrip('/')}/stg_er_visits") if with_staging else None
-    return Warehouse(spark=spark, params=params, stg_er_visits=stg, **tables)
+    return Warehouse(spark, tables, stg_er_visits=stg, params=params)

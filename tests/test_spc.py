@@ -114,3 +114,42 @@ def test_p_chart(spark):
         assert out[d]["admit_limits_clipped"] == ((p + 3 * s > 1) or (p - 3 * s < 0))
     assert out[4]["admit_signal"] == "point_beyond_limit"
     assert out[2]["admit_signal"] is None
+
+
+def _dated(spark, dates, values):
+    rows = [(d, None if v is None else float(v)) for d, v in zip(dates, values)]
+    return spark.createDataFrame(rows, "visit_date date, median_wait_minutes double")
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_series_across_years_match_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    dates, d = [], dt.date(2015, 12, 20)
+    for _ in range(150):
+        d = d + dt.timedelta(days=rnd.choice([1, 1, 2, 30, 200, 400]))  # sparse years, 1-row years
+        dates.append(d)
+    # long runs on one side that cross year boundaries, plus noise and missing medians
+    vals = []
+    for i in range(150):
+        base = 40 if (i // 25) % 2 == 0 else 30
+        vals.append(None if rnd.random() < 0.04 else round(base + rnd.gauss(0, 2), 1))
+    out = xmr_chart(_dated(spark, dates, vals)).orderBy("visit_date").collect()
+    assert [r["spc_signal"] for r in out] == brute_xmr(vals)
+    assert len({d.year for d in dates}) > 5
+
+
+def test_run_crossing_new_year(spark):
+    dates = [dt.date(2023, 12, 20) + dt.timedelta(days=i) for i in range(30)]
+    vals = [25, 35] * 4 + [30] + [32] * 12 + [28] * 9   # the run of 32s spans 2023 -> 2024
+    out = xmr_chart(_dated(spark, dates, vals)).orderBy("visit_date").collect()
+    sig = [r["spc_signal"] for r in out]
+    assert sig == brute_xmr(vals)
+    assert sig[9 + 7] == "run_of_8" and dates[9 + 7].year == 2024 and dates[9].year == 2023
+
+
+def test_null_series_key_and_null_date_keep_rows(spark):
+    a = [30] * 3 + [31] * 9
+    df = _series(spark, a).withColumn("dept", F.lit(None).cast("string")).unionByName(
+        spark.createDataFrame([(None, 33.0, None)], "visit_date date, median_wait_minutes double, dept string"))
+    out = xmr_chart(df, series_keys=["dept"]).collect()
+    assert len(out) == 13
