@@ -58,7 +58,9 @@ def main(argv: list[str]) -> int:
            "list the columns actually read per table (column pruning). Registered queries rebuild "
            "the marts from the driver tables each time (the fixture mapping joins appear in every "
            "branch of multi-mart queries); a materialized warehouse (`plans.warehouse.materialize`) "
-           "reads the written marts instead.", "",
+           "reads the written marts instead. The daily SPC scan reads its checkpointed daily table "
+           "(one row per day) from several branches; those repeated small shuffles are the "
+           "cost of never holding a whole series in one task.", "",
            "| query | shuffles | single | broadcasts | joins | windows | scans (columns read) |",
            "|---|---|---|---|---|---|---|"]
     for name in sorted(E.queries()):
