@@ -70,24 +70,38 @@ def _attach(df: DataFrame, stats: DataFrame, keys: list[str], cols: list[str]) -
 def _bucketed(daily: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of each series split into calendar-year buckets, with their 1-based global
     position in the series and the two rows that precede each bucket copied into it as
-    ``_halo`` rows (found by an equi-join on position), so that windows partitioned by
-    (series, year) see each row's two predecessors.
+    ``_halo`` rows, so that windows partitioned by (series, year) see each row's two
+    predecessors.
 
-    Windows over (series, year) hold at most 366 + 2 rows; the per-year tables (one row
-    per series and year) carry positions across years.
+    Positions come from per-year row counts (one row per series and year). The halo
+    copies are emitted by the rows themselves: the last two rows of a year copy
+    themselves into the next year, and the last row also into the year after that when
+    the next year holds a single row. No join back onto the rows is needed.
     """
     d = daily.withColumn("_b", F.year("visit_date"))
     d = d.withColumn("_li", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("visit_date")))
     sizes = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    d = _join_ns(d, offsets, [*keys, "_b"]).withColumn("_pos", F.col("_off") + F.col("_li")).drop("_li", "_off")
-    wanted = offsets.select(
-        *keys, F.col("_b").alias("_hb"),
-        F.explode(F.array(F.col("_off") - 1, F.col("_off"))).alias("_pos"),
-    ).filter(F.col("_pos") >= 1)
-    halo = _join_ns(d, wanted, [*keys, "_pos"]).drop("_b").withColumnRenamed("_hb", "_b")
-    return d.withColumn("_halo", F.lit(False)).unionByName(halo.withColumn("_halo", F.lit(True)))
+    by_year = Window.partitionBy(*keys).orderBy("_b")
+    years = sizes.select(
+        *keys, "_b", "_n",
+        F.coalesce(F.sum("_n").over(by_year.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.lead("_b", 1).over(by_year).alias("_b1"),
+        F.lead("_n", 1).over(by_year).alias("_n1"),
+        F.lead("_b", 2).over(by_year).alias("_b2"),
+    )
+    d = _join_ns(d, years, [*keys, "_b"])
+    last_two = F.col("_li") >= F.col("_n") - 1
+    last = F.col("_li") == F.col("_n")
+    copies = F.array(
+        F.struct(F.col("_b").alias("b"), F.lit(False).alias("h")),
+        F.when(last_two & F.col("_b1").isNotNull(), F.struct(F.col("_b1").alias("b"), F.lit(True).alias("h"))),
+        F.when(last & (F.col("_n1") == 1) & F.col("_b2").isNotNull(),
+               F.struct(F.col("_b2").alias("b"), F.lit(True).alias("h"))),
+    )
+    out = d.withColumn("_pos", F.col("_off") + F.col("_li")).withColumn(
+        "_copy", F.explode(F.filter(copies, lambda c: c.isNotNull())))
+    return out.withColumns({"_b": F.col("_copy.b"), "_halo": F.col("_copy.h")}).drop(
+        "_li", "_n", "_off", "_b1", "_n1", "_b2", "_copy")
 
 
 def xmr_chart(daily: DataFrame, value: str = "median_wait_minutes", series_keys: Sequence[str] = (),
