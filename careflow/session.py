@@ -44,19 +44,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset, as
-    in local tests, a fresh local folder is created and registered.
+    in local tests, a fresh local folder is created and registered. Works for classic
+    sessions and, through the session conf alone, for Spark Connect sessions.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side SparkContext
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
                 "(checkpoints in a machine-local folder do not survive a lost executor)")
         current = tempfile.mkdtemp(prefix="careflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None:
+        sc.setCheckpointDir(current)
     return current
 
 
