@@ -159,3 +159,21 @@ def test_lenient_dates_kpi(spark, edge_wh):
     s = {r["check_id"]: r["failures"] for r in __import__("careflow.operators.quality", fromlist=["x"])
          .run_checks(wh).collect()}
     assert s["fct_visit_date_not_null"] == 1 and s["stg_visit_date_not_null"] == 1
+
+
+def test_suppression_edge_29_and_30(spark):
+    from careflow.plans.warehouse import build_warehouse
+    from careflow.schema import RAW_COLUMNS
+
+    rows = []
+    for i in range(29):   # segment A: 29 plausible waits (+1 implausible, which does not count)
+        rows.append((f"A{i}", "01-03-2024 08:00", "A", "B", "F", "20", "Asian", "None", "TRUE", None, str(20 + i), "0"))
+    rows.append(("A99", "01-03-2024 08:00", "A", "B", "F", "20", "Asian", "None", "TRUE", None, "500", "0"))
+    for i in range(30):   # segment B: exactly 30 plausible waits
+        rows.append((f"B{i}", "01-03-2024 09:00", "A", "B", "M", "70", "White", "None", "FALSE", None, str(10 + i), "0"))
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_COLUMNS))
+    seg = {r["gender"]: r for r in build_warehouse(spark, raw).agg_segment_waits.collect()}
+    assert (seg["F"]["n_visits"], seg["F"]["n_plausible"], seg["F"]["low_n_flag"]) == (30, 29, True)
+    assert seg["F"]["median_wait_minutes"] is None and seg["F"]["ci_lower"] is None
+    assert (seg["M"]["n_plausible"], seg["M"]["low_n_flag"]) == (30, False)
+    assert seg["M"]["median_wait_minutes"] == 24.5
