@@ -52,3 +52,18 @@ def test_landing_ingest_archives_processed_files(spark, tmp_path):
     ingest_landing(spark, str(landing), str(staging), str(ckpt), archive_dir=str(arch)).awaitTermination()
     assert spark.read.parquet(str(staging)).count() == 28
     assert not (landing / "a.csv").exists()  # moved to the archive after commit
+
+
+def test_landing_ingest_tolerates_bad_dates(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from careflow.schema import RAW_HEADER
+
+    landing, staging, ckpt = tmp_path / "landing", tmp_path / "staging", tmp_path / "ckpt"
+    landing.mkdir()
+    (landing / "bad.csv").write_text(
+        ",".join(RAW_HEADER) + "\nQ1,31-02-2024 25:00,A,B,M,3,White,None,TRUE,,10,0\n"
+        "Q2,01-03-2024 08:00,A,B,M,3,White,None,TRUE,,10,0\n")
+    ingest_landing(spark, str(landing), str(staging), str(ckpt)).awaitTermination()
+    stg = spark.read.parquet(str(staging))
+    assert stg.count() == 2 and stg.filter(F.col("visit_ts").isNull()).count() == 1
