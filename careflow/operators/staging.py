@@ -24,7 +24,7 @@ from careflow.schema import STAGING_COLUMNS
 def stage_visits(raw: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
                  strict_dates: bool = True) -> DataFrame:
     c = F.col
-    typed = raw.select(
+    parsed = raw.select(
         c("patient_id").alias("visit_id"),
         parse_visit_ts(c("admission_date_raw"), strict=strict_dates).alias("visit_ts"),
         c("first_initial"),
@@ -39,7 +39,7 @@ def stage_visits(raw: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
         (c("case_management_flag_raw") == F.lit("1")).alias("case_management_flag"),
     )
     band = age_band(c("age"))
-    staged = typed.withColumns({
+    staged = parsed.withColumns({
         "visit_date": F.to_date(c("visit_ts")),
         "visit_hour": F.hour(c("visit_ts")).cast("int"),
         "age_band": band,
