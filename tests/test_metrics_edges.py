@@ -177,3 +177,14 @@ def test_suppression_edge_29_and_30(spark):
     assert seg["F"]["median_wait_minutes"] is None and seg["F"]["ci_lower"] is None
     assert (seg["M"]["n_plausible"], seg["M"]["low_n_flag"]) == (30, False)
     assert seg["M"]["median_wait_minutes"] == 24.5
+
+
+def test_measures_contexts_add_up(spark):
+    wh = warehouse(spark, SF0001)
+    total = measures.measures(wh, ()).first()
+    for by in (("year",), ("day_of_week_num", "is_weekend"), ("month_start",)):
+        rows = measures.measures(wh, by).collect()
+        assert sum(r["visits"] for r in rows) == total["visits"], by
+        assert sum(r["admissions"] for r in rows) == total["admissions"], by
+        assert sum(r["out_of_control_days"] for r in rows) == total["out_of_control_days"], by
+    assert total["peak_hour_arrivals"] >= total["arrivals_per_hour"]
