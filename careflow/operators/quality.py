@@ -122,6 +122,10 @@ def run_checks(wh, checks: list[Check] | None = None) -> DataFrame:
     """All tests, one row each, as one lazy DataFrame (a union of small aggregates)."""
     checks = checks or CHECKS
     tables = _tables(wh)
+    absent = sorted({c.table for c in checks} - set(tables))
+    if absent:
+        raise ValueError(f"tables needed by the checks are not in the warehouse: {absent} "
+                         "(load it with_staging=True for the staging checks)")
     parts: list[DataFrame] = []
     # NULL and accepted-value tests: one scan per table.
     by_table: dict[str, list[Check]] = {}
