@@ -539,6 +539,30 @@ def data_quality_report(wh) -> dict[str, DataFrame]:
     }
 
 
+def data_quality_summary(wh) -> DataFrame:
+    """Q29 flattened: every number of the quality bundle as ``(section, item, value)``."""
+    def long(df: DataFrame, section: str, items: list[str]) -> DataFrame:
+        pairs = F.explode(F.array(*[
+            F.struct(F.lit(i).alias("item"), F.col(i).cast("bigint").alias("value")) for i in items
+        ])).alias("p")
+        return df.select(pairs).select(F.lit(section).alias("section"), "p.item", "p.value")
+
+    parts = [
+        row_counts(wh).select(F.lit("row_counts").alias("section"), F.col("table").alias("item"),
+                              F.col("row_count").cast("bigint").alias("value")),
+        null_report(wh).select(F.lit("nulls").alias("section"), F.col("column").alias("item"),
+                               F.col("n_null").cast("bigint").alias("value")),
+        long(date_coverage_check(wh), "date_coverage", ["span_days", "distinct_days", "gap_free"]),
+        long(duplicate_check(wh), "duplicates", ["n_rows", "n_distinct_ids", "n_duplicate_ids"]),
+        long(invalid_value_check(wh), "invalid_values",
+             ["implausible_waits", "negative_waits", "out_of_range_satisfaction", "null_admitted_flag"]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---------------------------------------------------------------- distributions
 
 

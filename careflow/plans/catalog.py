@@ -124,6 +124,7 @@ def _metric_functions() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "q26_date_coverage": m.date_coverage_check,
         "q27_duplicate_check": m.duplicate_check,
         "q28_invalid_values": m.invalid_value_check,
+        "q29_data_quality_summary": m.data_quality_summary,
         "q31_extremes_chart": m.extremes_chart_frame,
     }
     for dim in m.EQUITY_DIMENSIONS:
