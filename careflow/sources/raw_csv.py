@@ -29,7 +29,8 @@ def check_header(spark: SparkSession, path: str) -> None:
     is mapped by position, so a renamed column would silently shift otherwise)."""
     found = spark.read.option("header", True).csv(path).columns
     expected = [h.lower() for h in RAW_HEADER]
-    if len(found) != len(RAW_HEADER) or [c.strip().lower() for c in found] != expected:
+    names = [c.lstrip("\ufeff").strip().lower() for c in found]  # tolerate a UTF-8 BOM
+    if len(found) != len(RAW_HEADER) or names != expected:
         raise RawHeaderError(f"unexpected raw header: {found}")
 
 

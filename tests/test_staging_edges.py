@@ -95,3 +95,12 @@ def test_strict_dates_raise_and_lenient_counts(spark, tmp_path):
     lenient = staging.stage_visits(raw, strict_dates=False)
     assert lenient.filter(F.col("visit_ts").isNull()).count() == 1
     assert staging.unparseable_dates(raw).count() == 1
+
+
+def test_header_with_bom(spark, tmp_path):
+    from careflow.schema import RAW_HEADER
+
+    f = tmp_path / "bom.csv"
+    f.write_bytes(("﻿" + ",".join(RAW_HEADER) + "\nQ1,01-03-2024 08:00,A,B,M,3,White,None,TRUE,,10,0\n")
+                  .encode("utf-8"))
+    assert read_raw_visits(spark, str(f)).count() == 1
