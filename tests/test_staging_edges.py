@@ -101,6 +101,6 @@ def test_header_with_bom(spark, tmp_path):
     from careflow.schema import RAW_HEADER
 
     f = tmp_path / "bom.csv"
-    f.write_bytes(("﻿" + ",".join(RAW_HEADER) + "\nQ1,01-03-2024 08:00,A,B,M,3,White,None,TRUE,,10,0\n")
+    f.write_bytes(("\ufeff" + ",".join(RAW_HEADER) + "\nQ1,01-03-2024 08:00,A,B,M,3,White,None,TRUE,,10,0\n")
                   .encode("utf-8"))
     assert read_raw_visits(spark, str(f)).count() == 1
