@@ -68,6 +68,11 @@ def test_constant_indicator_correlation_is_null(spark, edge_wh):
     nobody = edge_wh.raw_visits.withColumn("satisfaction_score_raw", F.lit(None).cast("string"))
     r = metrics.satisfaction_nonresponse_bias(build_warehouse(spark, nobody)).first()
     assert r["corr_wait_responded"] is None and r["corr_admitted_responded"] is None
+    everybody = edge_wh.raw_visits.withColumn("satisfaction_score_raw", F.lit("7"))
+    r = metrics.satisfaction_nonresponse_bias(build_warehouse(spark, everybody)).first()
+    assert r["corr_wait_responded"] is None and r["corr_admitted_responded"] is None
+    o = metrics.satisfaction_overview(build_warehouse(spark, everybody)).first()
+    assert o["response_rate"] == 1.0 and o["sd_score"] == 0.0
 
 
 def test_equity_dimension_guard(edge_wh):
