@@ -229,4 +229,9 @@ QUERIES = {
     "x1_x9_total_measures": ("lineitem", _TOTAL_SQL, _DOUBLES, lambda wh: measures(wh, ())),
     "x1_x9_total_measures_ev": ("events", _TOTAL_SQL, _DOUBLES, lambda wh: measures(wh, ())),
     "x1_x9_weekday_measures": ("lineitem", _WEEKDAY_SQL, _DOUBLES, lambda wh: measures(wh, ("day_of_week_num",))),
+    "x1_x9_monthly_measures_ev": ("events", _MONTHLY_SQL,
+                                  _DOUBLES + ("pct_within_target_pm", "visits_mom_pct", "pct_within_target_delta"),
+                                  monthly_measures),
+    "x1_x9_weekday_measures_ev": ("events", _WEEKDAY_SQL, _DOUBLES,
+                                  lambda wh: measures(wh, ("day_of_week_num",))),
 }
