@@ -242,13 +242,13 @@ def _checks_sql() -> str:
 QUERIES = {
     "d1_d4_data_tests": ("lineitem", _checks_sql(), (), run_checks),
     "d1_d4_data_tests_ev": ("events", _checks_sql(), (), run_checks),
-    "d5_reconciliation": (
-        "lineitem",
-        "select (select count(*) from raw) as raw_rows, (select count(*) from stg) as staging_rows, "
-        "(select count(*) from fct_er_visit) as fact_rows, "
-        "(select count(*) from raw) = (select count(*) from stg) "
-        "and (select count(*) from stg) = (select count(*) from fct_er_visit) as reconciled",
-        (),
-        reconciliation,
-    ),
 }
+
+_RECONCILIATION_SQL = (
+    "select (select count(*) from raw) as raw_rows, (select count(*) from stg) as staging_rows, "
+    "(select count(*) from fct_er_visit) as fact_rows, "
+    "(select count(*) from raw) = (select count(*) from stg) "
+    "and (select count(*) from stg) = (select count(*) from fct_er_visit) as reconciled"
+)
+QUERIES["d5_reconciliation"] = ("lineitem", _RECONCILIATION_SQL, (), reconciliation)
+QUERIES["d5_reconciliation_ev"] = ("events", _RECONCILIATION_SQL, (), reconciliation)
