@@ -27,6 +27,7 @@ from careflow.llm.common import fold
 
 UNKNOWN = "und"
 PIECE = 4096
+_HASHES = 1 << 40
 LEVEL = 5
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -52,12 +53,16 @@ def learn(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g"),
                        (F.lit(True) if usable is None else usable).alias("ok"))
     rows = rows.where("ok and g is not null and t is not null")
-    langs = [r["g"] for r in rows.groupBy("g").count()
-             .orderBy(F.desc("count"), "g").limit(max_langs).collect()]
-    if not langs:
+    sizes = {r["g"]: r["count"] for r in rows.groupBy("g").count()
+             .orderBy(F.desc("count"), "g").limit(max_langs).collect()}
+    if not sizes:
         return LanguageModel((), ())
-    place = F.xxhash64("i", F.lit(11))
-    keys = (rows.where(F.col("g").isin(langs)).select("g", place.alias("h")).distinct()
+    langs = list(sizes)
+    # the hash thins a language to about four times the wanted rows before any row is moved
+    place = F.pmod(F.xxhash64("i", F.lit(11)), F.lit(_HASHES))
+    reach = F.create_map(*[F.lit(x) for g, n in sizes.items()
+                           for x in (g, min(_HASHES, 4 * docs_per_lang * _HASHES // n))])
+    keys = (rows.where(place < reach[F.col("g")]).select("g", place.alias("h")).distinct()
             .withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("h")))
             .where(F.col("n") <= docs_per_lang).select("g", "h"))
     start = F.pmod(F.xxhash64("i", F.lit(12)), F.greatest(F.length("t") - part_chars, F.lit(0)) + 1)

@@ -42,7 +42,7 @@ class Params:
     dim: int = 8
     grams: tuple[int, ...] = (3, 4, 5)
     window: int = 3
-    epochs: int = 30
+    epochs: int = 40
     rate: float = 0.3
     decay: float = 2e-6
     seed: int = 7
@@ -77,8 +77,8 @@ class Bag:
         room = np.repeat(offs + lens, lens) - np.arange(len(flat))  # symbols left in the word
         code = flat.copy()
         top = max(self.p.grams)
-        for n in range(2, top + 1):
-            code[:len(code) - n + 1] = code[:len(code) - n + 1] * np.uint64(1099511628211) + flat[n - 1:]
+        for n in range(2, min(top, len(flat)) + 1):
+            code[:len(flat) - n + 1] = code[:len(flat) - n + 1] * np.uint64(1099511628211) + flat[n - 1:]
             if n in self.p.grams:
                 at = np.flatnonzero(room >= n)
                 out.append(mix64(code[at] * np.uint64(16) + np.uint64(n)) % np.uint64(self.p.buckets))
@@ -162,15 +162,12 @@ def train(texts: list[str], toxic: list[int], p: Params = Params()) -> Model:
     E = rng.normal(0, 0.05, (p.buckets, p.dim)).astype(np.float32)
     u = rng.normal(0, 0.5, p.dim).astype(np.float32)
     bias = float(np.log(share / (1 - share)))
-    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
-    weight = np.sqrt(weight)  # half-way to balanced classes
-    weight /= weight.sum()
     sum_e, sum_u, sum_b = np.full(E.shape, 1e-8, np.float32), np.full(p.dim, 1e-8), 1e-8
     for _ in range(p.epochs):
         g = E @ u
         z = np.add.reduceat(g[bucket], offs) / n if len(n) else np.zeros(0)
         logit, lo, hi = _best_window(z[word], bag.first, p.window, bias)
-        err = (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - y) * weight
+        err = (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - y) / len(y)
         width = np.maximum(hi - lo, 1)
         at_words = ragged(lo, hi - lo)
         c_word = np.bincount(word[at_words], np.repeat(err / width, hi - lo), minlength=len(n))
