@@ -71,6 +71,41 @@ def _clean() -> None:
             return
 
 
+_BITS = 1 << 26  # 8 MB, whatever the number of ids
+_PART = 1 << 17
+
+
+def maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
+    """A filter of fixed size for a column of ids: the returned condition is false only for ids
+    (and NULL) that are not among ``ids``. It spares rows a shuffle before an exact join; the
+    more ids there are, the fewer rows it spares."""
+    spark = ids.sparkSession
+
+    def spot(col: Column) -> Column:
+        return F.pmod(F.xxhash64(col, F.lit(77)), F.lit(_BITS)).cast("int")
+
+    def part(group: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(_PART, bool)
+        bits[group["at"].to_numpy() % _PART] = True
+        return pd.DataFrame({"part": group["part"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
+
+    at = ids.select(spot(F.col(ids.columns[0])).alias("at")).distinct()
+    rows = by_key(at.withColumn("part", (F.col("at") / _PART).cast("int")), ["part"], part,
+                  "part int, bits binary").collect()
+    packed = np.zeros(_BITS // 8, np.uint8)
+    for r in rows:
+        packed[r["part"] * _PART // 8:(r["part"] + 1) * _PART // 8] = np.frombuffer(r["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(packed)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            x = batch.to_numpy()
+            yield pd.Series(shared.value[x >> 3] >> (7 - (x & 7)).astype(np.uint8) & 1 == 1)
+
+    test = F.pandas_udf(run, "boolean")
+    return lambda col: col.isNotNull() & test(spot(col))
+
+
 def fold(key: Column | str, mod: int) -> Column:
     """crc32 of a key's decimal text, modulo ``mod``; a NULL key counts as empty text."""
     col = F.col(key) if isinstance(key, str) else key

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.common import RangeHash, by_key, mix64, ragged, slices, stage, unstage
+from careflow.llm.common import RangeHash, by_key, maybe_in, mix64, ragged, slices, stage, unstage
 
 SLICE_BYTES = 1 << 21
 BLOCK_SETS = 2000
@@ -299,11 +299,12 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     blocks = members.groupBy("root").agg(
         F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS))
         .cast("int").alias("blocks"))
-    members = (members.join(blocks, "root")
-               .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    members = stage(members.join(blocks, "root").withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "members")
+    some = maybe_in(members.select("id"))  # most texts stand alone and need not move
     # a block meets itself and every other block of its region once
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = (rows.join(members, "id").select("root", "blocks", "block", "id", "t", other)
+    tasks = (rows.where(some(F.col("id"))).join(members, "id").select("root", "blocks", "block", "id", "t", other)
              .select("root", "blocks", "block", "id", "t", F.least("block", "other").alias("b1"),
                      F.greatest("block", "other").alias("b2")))
     links = stage(by_key(tasks, ["root", "b1", "b2"], _solve(p), "u long, v long, whole boolean"), "links")
@@ -326,7 +327,10 @@ def keep(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col
     smallest id (of repeated rows of one id, the first in column order)."""
     found = stage(near_duplicates(docs.select(id_col, text_col), p, id_col, text_col)
                   .select(id_col, "kept"), "kept")
-    out = docs.join(found.where("not kept").select(id_col), id_col, "left_anti").select(docs.columns)
+    gone = found.where("not kept").select(id_col)
+    some = maybe_in(gone)
+    near = docs.where(some(F.col(id_col))).join(gone, id_col, "left_anti").select(docs.columns)
+    out = docs.where(~some(F.col(id_col))).unionByName(near)
     again = stage(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
                   .select(id_col), "again")
     if again.take(1):

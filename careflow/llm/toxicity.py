@@ -37,7 +37,7 @@ _LOWER[0x41:0x5B] += 32
 @dataclass(frozen=True)
 class Params:
     rows_per_class: int = 1200
-    train_chars: int = 20_000
+    train_chars: int = 8_000
     buckets: int = 1 << 17
     dim: int = 8
     grams: tuple[int, ...] = (3, 4, 5)

@@ -170,10 +170,10 @@ def test_toxicity_of_held_out_rows(spark):
 def test_toxicity_of_unseen_misspellings():
     rng = random.Random(1)
     words = ["".join(rng.choice(string.ascii_lowercase) for _ in range(5)) for _ in range(300)]
-    clean = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(120)]
+    clean = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(400)]
     insults = ["pathetic", "worthless", "disgusting"]
-    toxic = [c.replace(" ", f" {rng.choice(insults)} ", 1) for c in clean[:60]]
-    model = toxicity.train(clean + toxic, [0] * 120 + [1] * 60)
+    toxic = [c.replace(" ", f" {rng.choice(insults)} ", 1) for c in clean[:200]]
+    model = toxicity.train(clean + toxic, [0] * 400 + [1] * 200)
     scores = model.scores([clean[0], clean[1] + " patheticc", clean[2] + " worthlesss", None, "", "x" * 100000])
     assert scores[1] > 0.3 and scores[2] > 0.3 and scores[0] < 0.3 and scores[3] == scores[4] < 0.3
 
