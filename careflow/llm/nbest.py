@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 
 from careflow.llm.common import RangeHash, ragged, slices
 
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 21
 SHORT = 40          # segments up to this length share the array passes
+_TOP = np.uint64(46)  # the hash bits that index the 2**18 flags of a table
 MARK = "▁"     # fixed value: the word mark
 
 
@@ -61,7 +62,9 @@ class PieceLattice:
                 at = np.arange(len(own)) * n
                 h = RangeHash(cp)(at, at + n)
                 order = np.argsort(h)
-                self.tables[n] = h[order], np.array([self.by_text[p] for p in own])[order]
+                maybe = np.zeros(1 << 18, bool)  # most places have no piece: one look rules them out
+                maybe[h >> _TOP] = True
+                self.tables[n] = maybe, h[order], np.array([self.by_text[p] for p in own])[order]
         # what each id decodes to
         raw = [bytes([int(names[i][3:-1], 16)]) if sp.is_byte(i) else
                b"" if special[i] else names[i].replace(MARK, " ").encode() for i in range(size)]
@@ -95,11 +98,13 @@ class PieceLattice:
         """Per piece length and position, the id (-1: none) and score of the piece there."""
         hash_of = RangeHash(cp)
         out = {}
-        for n, (keys, ids) in self.tables.items():
+        for n, (maybe, keys, ids) in self.tables.items():
             ident = np.full(len(cp), -1, np.int64)
             at = np.flatnonzero(room >= n)
             if len(at):
                 h = hash_of(at, at + n)
+                some = maybe[h >> _TOP]
+                at, h = at[some], h[some]
                 slot = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                 hit = keys[slot] == h
                 ident[at[hit]] = ids[slot[hit]]
@@ -140,9 +145,13 @@ class Segments:
         """Replace missing pieces (id -1 at position ``at``) by their spelling."""
         if (ids >= 0).all():
             return ids, owner
-        parts = [[i] if i >= 0 else self.lattice.spelled(chr(self.cp[p])) for i, p in zip(ids.tolist(), at.tolist())]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        return np.array([x for p in parts for x in p], np.int64), np.repeat(owner, sizes)
+        lost = np.flatnonzero(ids < 0)
+        size = np.ones(len(ids), np.int64)
+        spelled = [self.lattice.spelled(chr(c)) for c in self.cp[at[lost]].tolist()]
+        size[lost] = [len(x) for x in spelled]
+        out = np.repeat(ids, size)
+        out[np.repeat(ids < 0, size)] = [x for part in spelled for x in part]
+        return out, np.repeat(owner, size)
 
     def _together(self, which: np.ndarray):
         """Forward and backward passes over segments sorted by decreasing length."""
