@@ -18,9 +18,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from careflow.operators import metrics, profile, quality
+from careflow.params import DEFAULT_PARAMS, MeasureParams
 from careflow.plans.warehouse import build_warehouse, load_warehouse, materialize
 from careflow.session import configure
-from careflow.sources.raw_csv import read_csv_for_profile, read_raw_visits
+from careflow.sources.raw_csv import malformed_rows, read_csv_for_profile, read_raw_visits
 from careflow.sources.sinks import export_csv
 
 METRICS = {
@@ -62,6 +63,9 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--raw", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--lenient-dates", action="store_true")
+    b.add_argument("--target", type=int, default=DEFAULT_PARAMS.wait_target_minutes)
+    b.add_argument("--max-plausible", type=int, default=DEFAULT_PARAMS.max_plausible_wait_minutes)
+    b.add_argument("--sigma", type=float, default=DEFAULT_PARAMS.spc_sigma)
     e = sub.add_parser("export")
     e.add_argument("--warehouse", required=True)
     e.add_argument("--out", required=True)
@@ -78,7 +82,10 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "build":
         raw = read_raw_visits(spark, args.raw)
-        wh = materialize(build_warehouse(spark, raw, strict_dates=not args.lenient_dates), args.out)
+        malformed_rows(spark, args.raw).show(truncate=False)
+        params = MeasureParams(wait_target_minutes=args.target, max_plausible_wait_minutes=args.max_plausible,
+                               spc_sigma=args.sigma)
+        wh = materialize(build_warehouse(spark, raw, params, strict_dates=not args.lenient_dates), args.out)
         quality.reconciliation(wh).show(truncate=False)
     elif args.cmd == "export":
         wh = load_warehouse(spark, args.warehouse)

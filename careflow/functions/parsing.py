@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # minute parts are accepted as well as padded ones.
 VISIT_TS_PATTERN = "d-M-yyyy H:m"
 
+# A number in text: the engine's own cast also takes type suffixes ("45F"), which are not data.
+NUMBER_TEXT = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\s*$"
+
 # Age bands as (exclusive upper bound, label), open-ended last band.
 AGE_BANDS = [(18, "0-17"), (35, "18-34"), (50, "35-49"), (65, "50-64")]
 AGE_BAND_LAST = "65+"
@@ -27,15 +30,22 @@ def parse_visit_ts(raw: Column, strict: bool = True) -> Column:
     Strict raises on an unparseable non-null string (the build stops, as a typed cast
     in a warehouse would); lenient returns NULL and leaves counting to the caller.
     """
+    text = F.trim(raw)
     if strict:
-        return F.to_timestamp_ntz(raw, F.lit(VISIT_TS_PATTERN))
-    return F.try_to_timestamp(raw, F.lit(VISIT_TS_PATTERN)).cast("timestamp_ntz")
+        return F.to_timestamp_ntz(text, F.lit(VISIT_TS_PATTERN))
+    return F.try_to_timestamp(text, F.lit(VISIT_TS_PATTERN)).cast("timestamp_ntz")
+
+
+def parse_double(raw: Column) -> Column:
+    """Text -> DOUBLE for plain decimals, blanks around them ignored, and for inf and nan in
+    any case; other text, such as a number with a type suffix, is NULL."""
+    return F.when(raw.rlike(NUMBER_TEXT), raw.try_cast("double"))
 
 
 def parse_int_rounding(raw: Column) -> Column:
     """Text -> INT the lenient way: surrounding blanks ignored, decimals rounded half
     away from zero ('4.6' -> 5, '-4.5' -> -5), junk or overflow -> NULL."""
-    return F.round(raw.try_cast("double")).try_cast("int")
+    return F.round(parse_double(raw)).try_cast("int")
 
 
 def parse_bool_text(raw: Column) -> Column:

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from careflow.functions.parsing import parse_double
 from careflow.functions.stats import ratio
 from careflow.operators.ranking import global_cumsum
 
@@ -53,7 +54,7 @@ def value_counts(df: DataFrame) -> DataFrame:
 
 
 def _is_float_text(v: Column) -> Column:
-    return v.try_cast("double").isNotNull()
+    return parse_double(v).isNotNull()
 
 
 def column_types(vc: DataFrame) -> DataFrame:

@@ -191,8 +191,8 @@ def agg_daily_ops(fct: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
     """M8: one row per observed day (per series) with both control charts.
 
     Both charts are computed on the same daily rows in one chain of projections, so
-    there is no self-join of two chart branches. Building it runs one job: the daily
-    aggregation, checkpointed.
+    there is no self-join of two chart branches. Building it runs two checkpoints: the
+    daily aggregation and the charted rows.
     """
     # The daily table (one row per series and day) is read by several branches of the
     # scan; it is computed once and its lineage cut with a reliable checkpoint in the
@@ -202,10 +202,12 @@ def agg_daily_ops(fct: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
     daily = daily_series(fct, series_keys).checkpoint(eager=True)
     charted = p_chart(xmr_chart(daily, series_keys=series_keys, params=params),
                       series_keys=series_keys, params=params)
+    # The charted rows are checkpointed too: their readers, some of them several times in one
+    # plan, scan a small table instead of carrying the whole chart chain.
     return charted.select(
         *series_keys,
         "visit_date",
         F.col("visits").cast("bigint").alias("visits"),
         F.col("admissions").cast("bigint").alias("admissions"),
         *DAILY_OPS_COLUMNS[3:],
-    )
+    ).checkpoint(eager=True)

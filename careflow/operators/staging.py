@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from careflow.functions.parsing import (
     age_band,
     parse_bool_text,
+    parse_double,
     parse_int_rounding,
     parse_visit_ts,
     segment_key,
@@ -34,7 +35,7 @@ def stage_visits(raw: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
         F.trim(c("race_raw")).alias("race"),
         F.trim(c("department_referral_raw")).alias("department_referral"),
         parse_bool_text(c("admitted_flag_raw")).alias("admitted_flag"),
-        c("satisfaction_score_raw").try_cast("double").alias("satisfaction_score"),
+        parse_double(c("satisfaction_score_raw")).alias("satisfaction_score"),
         parse_int_rounding(c("wait_minutes_raw")).alias("wait_minutes"),
         (c("case_management_flag_raw") == F.lit("1")).alias("case_management_flag"),
     )

@@ -91,13 +91,16 @@ def materialize(wh: Warehouse, path: str) -> Warehouse:
         wh = build_warehouse(spark, raw=wh.raw_visits, params=wh.params, stg=stg)
     raw = wh.raw_visits
     sinks.write_marts(wh.marts(), base)
+    sinks.write_params(spark, wh.params, base)
     out = load_warehouse(spark, base, wh.params, with_staging=True)
     out.raw_visits = raw
     return out
 
 
-def load_warehouse(spark: SparkSession, path: str, params: MeasureParams = DEFAULT_PARAMS,
+def load_warehouse(spark: SparkSession, path: str, params: MeasureParams | None = None,
                    with_staging: bool = False) -> Warehouse:
+    """A written warehouse, with the parameters it was built with unless others are given."""
     tables = sinks.read_marts(spark, path)
+    params = params or sinks.read_params(spark, path)
     stg = spark.read.parquet(f"{path.rstrip('/')}/stg_er_visits") if with_staging else None
     return Warehouse(spark, tables, stg_er_visits=stg, params=params)

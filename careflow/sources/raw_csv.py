@@ -7,8 +7,12 @@ folder (every CSV in it is read, in parallel, one split per block) or a glob.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from careflow.schema import RAW_COLUMNS, RAW_HEADER, RAW_SCHEMA
 
@@ -25,13 +29,33 @@ class RawHeaderError(ValueError):
 
 
 def check_header(spark: SparkSession, path: str) -> None:
-    """Compare the file header with the expected source header (names only: the data
-    is mapped by position, so a renamed column would silently shift otherwise)."""
-    found = spark.read.option("header", True).csv(path).columns
+    """Compare every file's header with the expected source header (names only: the data
+    is mapped by position, so a renamed column would silently shift otherwise). Reads the
+    first line of each file."""
     expected = [h.lower() for h in RAW_HEADER]
-    names = [c.lstrip("\ufeff").strip().lower() for c in found]  # tolerate a UTF-8 BOM
-    if len(found) != len(RAW_HEADER) or names != expected:
-        raise RawHeaderError(f"unexpected raw header: {found}")
+
+    def first_line(file: str) -> tuple[str, list[str]]:
+        return file, spark.read.option("header", True).csv(unquote(file)).columns
+
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for file, found in pool.map(first_line, files):
+            names = [c.lstrip("\ufeff").strip().lower() for c in found]  # tolerate a UTF-8 BOM
+            if names != expected:
+                raise RawHeaderError(f"unexpected raw header in {file}: {found}")
+
+
+def malformed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, rows): per file the rows with too few or too many fields, which the typed read
+    fills up or cuts."""
+    schema = StructType([*RAW_SCHEMA.fields, StructField("_malformed", StringType())])
+    rows = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_malformed").csv(path)
+            .select("*", F.col("_metadata.file_path").alias("file")))
+    # every field is read: a reader that skips columns cannot tell how many a row has
+    whole = F.length(F.concat_ws("", *[F.col(c) for c in RAW_COLUMNS])) >= 0
+    found = F.count_if(whole & F.col("_malformed").isNotNull())
+    return rows.groupBy("file").agg(found.alias("rows")).where("rows > 0")
 
 
 def read_raw_visits(spark: SparkSession, path: str, check: bool = True) -> DataFrame:

@@ -7,23 +7,24 @@ lost executor or driver rewrites the same result.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from careflow.params import DEFAULT_PARAMS, MeasureParams
 from careflow.schema import MART_TABLES
 
-# Aggregates whose row count is bounded by the calendar or the segment count; they
-# are written as one file each (after their parallel aggregation), the fact keeps its
-# parallel layout.
-SMALL_MARTS = {
-    "agg_daily_ops", "agg_segment_waits", "dim_date", "dim_time_of_day",
-    "dim_patient_segment", "dim_department",
-}
+# Aggregates whose row count is bounded by the calendar; they are written as one file each
+# (after their parallel aggregation). Segments and departments are free text: unbounded.
+SMALL_MARTS = {"agg_daily_ops", "dim_date", "dim_time_of_day"}
 
 
 def _write_one(name: str, df: DataFrame, target: str, mode: str) -> None:
     if name == "fct_er_visit":
-        df = df.sortWithinPartitions("visit_date", "visit_hour")
+        # dates in ranges, so that a month's rows lie in few files; a crowded date is split by id
+        df = (df.repartitionByRange("visit_date", "visit_hour", "visit_id")
+              .sortWithinPartitions("visit_date", "visit_hour"))
     elif name in SMALL_MARTS:
         df = df.repartition(1)
     df.write.mode(mode).parquet(target)
@@ -31,8 +32,8 @@ def _write_one(name: str, df: DataFrame, target: str, mode: str) -> None:
 
 def write_marts(marts: dict[str, DataFrame], path: str, mode: str = "overwrite",
                 parallel_jobs: int = 4) -> dict[str, str]:
-    """Each mart to ``path/<name>`` as parquet. The fact is clustered by visit date
-    inside its files, so date filters skip row groups by their min/max statistics.
+    """Each mart to ``path/<name>`` as parquet. The fact is range-partitioned and
+    sorted by visit date, so date filters skip files and row groups by their statistics.
 
     The marts are independent jobs over the same input; up to ``parallel_jobs`` are
     submitted at once from driver threads (Spark schedules concurrent jobs), so small
@@ -73,3 +74,18 @@ def export_csv(marts: dict[str, DataFrame], out_dir: str,
         df.write.mode("overwrite").option("header", True).csv(target)
         out[name] = target
     return out
+
+
+def write_params(spark: SparkSession, params: MeasureParams, path: str) -> None:
+    """The measure parameters beside the marts, one row."""
+    target = f"{path.rstrip('/')}/measure_params"
+    spark.createDataFrame([asdict(params)]).coalesce(1).write.mode("overwrite").parquet(target)
+
+
+def read_params(spark: SparkSession, path: str) -> MeasureParams:
+    """The parameters a warehouse was built with; the defaults where none are stored."""
+    try:
+        row = spark.read.parquet(f"{path.rstrip('/')}/measure_params").first()
+    except AnalysisException:  # written before parameters were stored
+        return DEFAULT_PARAMS
+    return MeasureParams(**row.asDict())
