@@ -52,8 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no driver-side SparkContext
         sc = None
-    if not current and sc is not None:
-        current = sc.getCheckpointDir()
+    registered = sc.getCheckpointDir() if sc is not None else None
+    current = current or registered
     if not current:
         master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
         if not master.startswith("local"):
@@ -62,7 +62,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 "(checkpoints in a machine-local folder do not survive a lost executor)")
         current = tempfile.mkdtemp(prefix="careflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None:
+    if sc is not None and not registered:  # once: every call would add a folder of its own
         sc.setCheckpointDir(current)
     return current
 
@@ -78,6 +78,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="careflow-wh-"))
     )
     for key, value in (extra or {}).items():
