@@ -122,10 +122,10 @@ def compare(spark, name: str, sf_dir: str, con=None) -> tuple[bool, str]:
 
 def main(argv: list[str]) -> int:
     from careflow.session import local_session
-    import __spark_entry__ as E
+    from careflow.plans import catalog
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    names = argv[1:] or list(E.queries())
+    names = argv[1:] or list(catalog.queries())
     spark = local_session(shuffle_partitions=8)
     con = duck(sf_dir)
     bad = 0

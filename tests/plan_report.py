@@ -15,7 +15,8 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-import __spark_entry__ as E  # noqa: E402
+import __spark_entry__ as E
+from careflow.plans import catalog  # noqa: E402
 from careflow.session import local_session  # noqa: E402
 
 JOINS = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin",
@@ -63,7 +64,7 @@ def main(argv: list[str]) -> int:
            "cost of never holding a whole series in one task.", "",
            "| query | shuffles | single | broadcasts | joins | windows | scans (columns read) |",
            "|---|---|---|---|---|---|---|"]
-    for name in sorted(E.queries()):
+    for name in sorted(catalog.queries()):
         df = E.queries()[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()

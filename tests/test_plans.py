@@ -6,6 +6,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from careflow.plans import catalog
 
 from conftest import SF0001
 
@@ -17,7 +18,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_python_and_no_cross_join(spark, name):
     df = E.queries()[name](spark, SF0001)
     plan = _plan(df)
