@@ -1,10 +1,16 @@
 """BI roll-up and time-intelligence measures, evaluated for a grouping context.
 
 A BI measure is evaluated in whatever filter context a report sets; here the context
-is a list of calendar columns ``by`` (``month_start``, ``year``, ``day_of_week_num``,
-... or none for the grand total). The fact is first rolled up to additive daily sums
-(map-side partial aggregation, one row per day), so everything after that works on
-calendar-bounded tables: the daily, hourly and calendar marts.
+is a list of dimension columns ``by``: calendar (``month_start``, ``year``,
+``day_of_week_num``, ...), segment (``gender``, ``age_band``, ``race``),
+``department_referral``, hour (``hour_of_day``, ``shift``, ``is_peak``), any mixture of
+them, or none for the grand total. The fact is first rolled up to additive sums by the
+keys of the dimensions asked for (map-side partial aggregation), so the dimensions join
+aggregated rows, never visits.
+
+Measures of the daily mart (daily medians, control limits, signal days) have calendar
+contexts only, and arrivals per hour calendar and hour contexts: other dimensions do not
+filter those marts, so their columns are left out there.
 
 Prior-month measures (``*_pm``) join the monthly table to itself shifted by one month;
 a month outside the calendar gives NULL.
@@ -14,19 +20,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careflow.functions.stats import ratio
 
 _ALL = "_context"
 
-MEASURE_COLUMNS = [
-    "visits", "within_target_visits", "pct_within_target", "admissions", "admission_rate",
-    "satisfaction_responses", "satisfaction_response_rate", "mean_satisfaction", "mean_wait",
-    "median_wait_daily_avg", "p90_wait_daily_avg", "wait_centre_line", "wait_ucl", "wait_lcl",
-    "out_of_control_days", "arrivals_per_hour", "peak_hour_arrivals",
-]
+CALENDAR = ("date_day", "year", "month", "month_name", "month_start", "day_of_week_num", "day_name", "is_weekend")
+SEGMENT = ("gender", "age_band", "race")
+HOUR = ("hour_of_day", "shift", "is_peak")
+DEPARTMENT = ("department_referral",)
+_SUMS = ("visits", "within_target_visits", "admissions", "satisfaction_responses", "_score_sum", "_wait_sum",
+         "_wait_n")
 
 
 def calendar(wh) -> DataFrame:
@@ -34,10 +40,10 @@ def calendar(wh) -> DataFrame:
     return d.withColumns({"month_start": F.trunc("date_day", "month"), _ALL: F.lit(1)})
 
 
-def daily_rollup(wh) -> DataFrame:
-    """Additive per-day sums of the fact (the only fact-sized step)."""
+def rollup(wh, *keys: str) -> DataFrame:
+    """Additive sums of the fact per key combination (the only fact-sized step)."""
     f = wh.fct_er_visit
-    return f.groupBy("visit_date").agg(
+    return f.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("visits"),
         F.count_if(F.col("within_target_flag")).alias("within_target_visits"),
         F.count_if(F.col("admitted_flag")).alias("admissions"),
@@ -48,16 +54,85 @@ def daily_rollup(wh) -> DataFrame:
     )
 
 
+def daily_rollup(wh) -> DataFrame:
+    return rollup(wh, "visit_date")
+
+
+def _fact_measures() -> list[Column]:
+    """X1, X3-X6 from the additive sums."""
+    def count(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)
+
+    return [
+        count("visits"),
+        count("within_target_visits"),
+        ratio(F.col("within_target_visits"), F.col("visits")).alias("pct_within_target"),
+        count("admissions"),
+        ratio(F.col("admissions"), F.col("visits")).alias("admission_rate"),
+        count("satisfaction_responses"),
+        ratio(F.col("satisfaction_responses"), F.col("visits")).alias("satisfaction_response_rate"),
+        ratio(F.col("_score_sum"), F.col("satisfaction_responses")).alias("mean_satisfaction"),
+        ratio(F.col("_wait_sum"), F.col("_wait_n")).alias("mean_wait"),
+    ]
+
+
+def _hour_measures(hourly: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Arrivals per observed hour, and of the busiest hour of day on average."""
+    per_hour = hourly.groupBy(*keys, F.col("hour_of_day").alias("_hour")).agg(
+        F.avg("arrivals").alias("_mean_arrivals"), F.sum("arrivals").alias("_sum"), F.count(F.lit(1)).alias("_n")
+    )
+    return per_hour.groupBy(*keys).agg(
+        ratio(F.sum("_sum"), F.sum("_n")).alias("arrivals_per_hour"),
+        F.max("_mean_arrivals").alias("peak_hour_arrivals"),
+    )
+
+
+def _with_dimensions(df: DataFrame, wh, keys: Sequence[str]) -> DataFrame:
+    """Dimension columns joined to rows keyed by visit_date, segment_key or hour_of_day; rows
+    without a member in a dimension keep NULL there."""
+    if set(keys) & set(CALENDAR):
+        df = df.join(calendar(wh).drop(_ALL), F.col("visit_date") == F.col("date_day"), "left")
+    if set(keys) & set(SEGMENT):
+        df = df.join(wh.dim_patient_segment, "segment_key", "left")
+    if set(keys) & set(HOUR[1:]):
+        df = df.join(wh.dim_time_of_day, "hour_of_day", "left")
+    return df
+
+
+def dimension_measures(wh, by: Sequence[str]) -> DataFrame:
+    """The measures for every combination of ``by`` that has visits, any dimension."""
+    keys = list(by)
+    unknown = [k for k in keys if k not in CALENDAR + SEGMENT + HOUR + DEPARTMENT]
+    if unknown or not keys:
+        raise ValueError(f"not a dimension column: {unknown}")
+    grain = [key for key, columns in (("visit_date", CALENDAR), ("segment_key", SEGMENT),
+                                      ("visit_hour", HOUR), ("department_referral", DEPARTMENT))
+             if set(keys) & set(columns)]
+    rolled = rollup(wh, *grain)
+    if "visit_hour" in grain:
+        rolled = rolled.withColumnRenamed("visit_hour", "hour_of_day")
+    out = _with_dimensions(rolled, wh, keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+    if not set(keys) <= set(CALENDAR + HOUR):
+        return out.select(*keys, *_fact_measures())
+    hours = _hour_measures(_with_dimensions(wh.agg_hourly_arrivals, wh, keys), keys)
+    hours = hours.withColumnsRenamed({k: f"_h_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
+    return out.join(hours, same, "left").select(
+        *keys, *_fact_measures(), "arrivals_per_hour", "peak_hour_arrivals")
+
+
 def measures(wh, by: Sequence[str] = ("month_start",)) -> DataFrame:
-    """X1-X9 for every value combination of ``by`` present in the calendar."""
+    """X1-X9 for every value combination of ``by`` present in the calendar; contexts with
+    another dimension: see :func:`dimension_measures`."""
+    if not set(by) <= set(CALENDAR):
+        return dimension_measures(wh, by)
     keys = list(by) or [_ALL]
     cal = calendar(wh)
     spine = cal.select(*keys).distinct()
     on_day = cal.select("date_day", *keys)
 
     fact = daily_rollup(wh).join(on_day, F.col("visit_date") == F.col("date_day")).groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in ("visits", "within_target_visits", "admissions",
-                                      "satisfaction_responses", "_score_sum", "_wait_sum", "_wait_n")]
+        *[F.sum(c).alias(c) for c in _SUMS]
     )
     daily = wh.agg_daily_ops.join(on_day, F.col("visit_date") == F.col("date_day")).groupBy(*keys).agg(
         F.avg("median_wait_minutes").alias("median_wait_daily_avg"),
@@ -68,13 +143,7 @@ def measures(wh, by: Sequence[str] = ("month_start",)) -> DataFrame:
         F.count("spc_signal").alias("out_of_control_days"),
     )
     hourly = wh.agg_hourly_arrivals.join(on_day, F.col("visit_date") == F.col("date_day"))
-    per_hour = hourly.groupBy(*keys, "hour_of_day").agg(
-        F.avg("arrivals").alias("_mean_arrivals"), F.sum("arrivals").alias("_sum"), F.count(F.lit(1)).alias("_n")
-    )
-    hours = per_hour.groupBy(*keys).agg(
-        ratio(F.sum("_sum"), F.sum("_n")).alias("arrivals_per_hour"),
-        F.max("_mean_arrivals").alias("peak_hour_arrivals"),
-    )
+    hours = _hour_measures(hourly, keys)
     if by:
         out = spine.join(fact, keys, "left").join(daily, keys, "left").join(hours, keys, "left")
     else:
@@ -87,18 +156,9 @@ def measures(wh, by: Sequence[str] = ("month_start",)) -> DataFrame:
             *[d_row.select(c).scalar().alias(c) for c in d_row.columns],
             *[h_row.select(c).scalar().alias(c) for c in h_row.columns],
         )
-    visits = F.coalesce(F.col("visits"), F.lit(0)).cast("bigint")
     res = out.select(
         *keys,
-        visits.alias("visits"),
-        F.coalesce(F.col("within_target_visits"), F.lit(0)).cast("bigint").alias("within_target_visits"),
-        ratio(F.col("within_target_visits"), F.col("visits")).alias("pct_within_target"),
-        F.coalesce(F.col("admissions"), F.lit(0)).cast("bigint").alias("admissions"),
-        ratio(F.col("admissions"), F.col("visits")).alias("admission_rate"),
-        F.coalesce(F.col("satisfaction_responses"), F.lit(0)).cast("bigint").alias("satisfaction_responses"),
-        ratio(F.col("satisfaction_responses"), F.col("visits")).alias("satisfaction_response_rate"),
-        ratio(F.col("_score_sum"), F.col("satisfaction_responses")).alias("mean_satisfaction"),
-        ratio(F.col("_wait_sum"), F.col("_wait_n")).alias("mean_wait"),
+        *_fact_measures(),
         "median_wait_daily_avg", "p90_wait_daily_avg", "wait_centre_line", "wait_ucl", "wait_lcl",
         F.coalesce(F.col("out_of_control_days"), F.lit(0)).cast("bigint").alias("out_of_control_days"),
         "arrivals_per_hour", "peak_hour_arrivals",
@@ -232,6 +292,52 @@ QUERIES = {
     "x1_x9_monthly_measures_ev": ("events", _MONTHLY_SQL,
                                   _DOUBLES + ("pct_within_target_pm", "visits_mom_pct", "pct_within_target_delta"),
                                   monthly_measures),
+    "x1_x9_monthly_measures_dirty": ("orders", _MONTHLY_SQL,
+                                     _DOUBLES + ("pct_within_target_pm", "visits_mom_pct", "pct_within_target_delta"),
+                                     monthly_measures),
     "x1_x9_weekday_measures_ev": ("events", _WEEKDAY_SQL, _DOUBLES,
                                   lambda wh: measures(wh, ("day_of_week_num",))),
 }
+
+
+def _dimension_sql(by: Sequence[str]) -> str:
+    """The measures straight from the visits, each joined with its dimension rows."""
+    keys = ", ".join(by)
+    visits = f"""
+select {keys}, count(*) as visits,
+       count(*) filter (where within_target_flag) as within_target_visits,
+       avg(within_target_flag::int) as pct_within_target,
+       count(*) filter (where admitted_flag) as admissions,
+       avg(coalesce(admitted_flag, false)::int) as admission_rate,
+       count(satisfaction_score) as satisfaction_responses,
+       avg((satisfaction_score is not null)::int) as satisfaction_response_rate,
+       avg(satisfaction_score) as mean_satisfaction,
+       avg(wait_minutes) as mean_wait
+from (select *, date_trunc('month', visit_date)::date as month_start from fct_er_visit) f
+left join dim_patient_segment s on s.segment_key = f.segment_key
+left join dim_time_of_day t on t.hour_of_day = f.visit_hour
+group by all"""
+    if not set(by) <= set(CALENDAR + HOUR):
+        return visits
+    same = " and ".join(f"v.{k} is not distinct from h.{k}" for k in by)
+    return f"""
+select v.*, h.arrivals_per_hour, h.peak_hour_arrivals
+from ({visits}) v
+left join (
+    select {keys}, sum(total)::double / sum(n) as arrivals_per_hour, max(mean) as peak_hour_arrivals
+    from (select {", ".join("t." + k if k in HOUR else k for k in by)}, a.hour_of_day as clock_hour,
+                 sum(arrivals) as total, count(*) as n, avg(arrivals) as mean
+          from (select *, date_trunc('month', visit_date)::date as month_start from agg_hourly_arrivals) a
+          left join dim_time_of_day t on t.hour_of_day = a.hour_of_day
+          group by all)
+    group by all
+) h on {same}"""
+
+
+_FACT_DOUBLES = ("pct_within_target", "admission_rate", "satisfaction_response_rate", "mean_satisfaction", "mean_wait")
+for _name, _by in {"gender": ("gender",), "department": DEPARTMENT, "shift": ("shift",),
+                   "month_gender": ("month_start", "gender"), "month_shift": ("month_start", "shift")}.items():
+    _hours = ("arrivals_per_hour", "peak_hour_arrivals") if set(_by) <= set(CALENDAR + HOUR) else ()
+    for _src, _sfx in (("lineitem", ""), ("orders", "_dirty")):
+        QUERIES[f"x_measures_by_{_name}{_sfx}"] = (
+            _src, _dimension_sql(_by), _FACT_DOUBLES + _hours, lambda wh, _b=_by: measures(wh, _b))

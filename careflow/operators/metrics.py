@@ -91,8 +91,9 @@ def monthly_trend(wh) -> DataFrame:
         F.avg("satisfaction_score").alias("mean_satisfaction"),
     )
     med = wait_quantiles(f, ["month"], {"median_wait_minutes": 0.5})
-    return main.join(med, "month", "left").select(
-        "month", "visits", "admissions", "admission_rate", "median_wait_minutes", "pct_within_target",
+    # every month has a row on both sides, visits without a date included
+    return main.withColumnRenamed("month", "_month").join(med, F.col("_month").eqNullSafe(F.col("month"))).select(
+        F.col("_month").alias("month"), "visits", "admissions", "admission_rate", "median_wait_minutes", "pct_within_target",
         "satisfaction_response_rate", "mean_satisfaction",
     ).orderBy("month")
 

@@ -200,7 +200,7 @@ def datetime_columns(df: DataFrame, share: float = DATE_SHARE) -> DataFrame:
     """Text columns where more than ``share`` of all rows parse as a timestamp."""
     vc = value_counts(df)
     vc = vc.join(F.broadcast(column_types(vc).filter(F.col("dtype") == "object").select("column")), "column")
-    parsed = vc.withColumn("_ts", parse_any_timestamp(F.col("value")))
+    parsed = vc.withColumn("_ts", parse_any_timestamp(F.trim("value")))
     agg = parsed.groupBy("column").agg(
         ratio(F.sum(F.when(F.col("_ts").isNotNull(), F.col("n"))), F.sum("n")).alias("parsed_share"),
         F.min("_ts").alias("min"), F.max("_ts").alias("max"),
@@ -296,7 +296,7 @@ def _oracle_sql() -> dict[str, str]:
 
 _SQL = _oracle_sql()
 QUERIES = {}
-for _src, _sfx in (("lineitem", ""), ("events", "_ev")):
+for _src, _sfx in (("lineitem", ""), ("events", "_ev"), ("orders", "_dirty")):
     QUERIES[f"r1_r6_profile_overview{_sfx}"] = (_src, _SQL["r1"], (), lambda wh: overview(_raw(wh)), _SQL["pre"])
     QUERIES[f"r2_r7_profile_columns{_sfx}"] = (_src, _SQL["r2"], ("null_pct",),
                                               lambda wh: column_summary(_raw(wh)), _SQL["pre"])

@@ -242,6 +242,7 @@ def _checks_sql() -> str:
 QUERIES = {
     "d1_d4_data_tests": ("lineitem", _checks_sql(), (), run_checks),
     "d1_d4_data_tests_ev": ("events", _checks_sql(), (), run_checks),
+    "d1_d4_data_tests_dirty": ("orders", _checks_sql(), (), run_checks),
 }
 
 _RECONCILIATION_SQL = (
@@ -251,4 +252,5 @@ _RECONCILIATION_SQL = (
     "and (select count(*) from stg) = (select count(*) from fct_er_visit) as reconciled"
 )
 QUERIES["d5_reconciliation"] = ("lineitem", _RECONCILIATION_SQL, (), reconciliation)
+QUERIES["d5_reconciliation_dirty"] = ("orders", _RECONCILIATION_SQL, (), reconciliation)
 QUERIES["d5_reconciliation_ev"] = ("events", _RECONCILIATION_SQL, (), reconciliation)

@@ -30,6 +30,7 @@ from careflow.session import checkpoint_dir
 
 POINT_BEYOND_LIMIT = "point_beyond_limit"
 TWO_OF_THREE = "two_of_three_beyond_2sigma"
+NO_DATE_BUCKET = 1_000_000
 
 DAILY_OPS_COLUMNS = [
     "visit_date", "visits", "admissions", "median_wait_minutes", "p90_wait_minutes",
@@ -78,7 +79,8 @@ def _bucketed(daily: DataFrame, keys: list[str]) -> DataFrame:
     themselves into the next year, and the last row also into the year after that when
     the next year holds a single row. No join back onto the rows is needed.
     """
-    d = daily.withColumn("_b", F.year("visit_date"))
+    # rows without a date come last in their series, as a bucket of their own
+    d = daily.withColumn("_b", F.coalesce(F.year("visit_date"), F.lit(NO_DATE_BUCKET)))
     d = d.withColumn("_li", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("visit_date")))
     sizes = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     by_year = Window.partitionBy(*keys).orderBy("_b")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from careflow import oracle
 from careflow.functions.stats import round_doubles
 from careflow.plans.warehouse import Warehouse, build_warehouse
-from careflow.sources.fixtures import visits_from_events, visits_from_lineitem
+from careflow.sources.fixtures import visits_from_events, visits_from_lineitem, visits_from_orders
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,8 @@ class Query:
     sql: str | None
 
 
-_SOURCES = {"lineitem": visits_from_lineitem, "events": visits_from_events}
+_SOURCES = {"lineitem": visits_from_lineitem, "events": visits_from_events,
+            "orders": visits_from_orders}
 
 
 def raw_visits(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
@@ -60,8 +61,7 @@ def register(name: str, sql_body: str | None, source: str = "lineitem",
 
 def mart_query(name: str, table: str, doubles: tuple[str, ...] = (), sources=("lineitem",)):
     for source in sources:
-        key = name if source == "lineitem" else f"{name}_ev"
-        register(key, f"select * from {table}", source, doubles)(
+        register(name + oracle.SUFFIX[source], f"select * from {table}", source, doubles)(
             lambda wh, _t=table: wh.table(_t)
         )
 
@@ -73,16 +73,16 @@ DAILY_DOUBLES = (
 )
 SEG_DOUBLES = ("median_wait_minutes", "p90_wait_minutes", "mean_wait_minutes", "ci_lower", "ci_upper")
 
-register("m1_stg_visits", "select * from stg", "lineitem", STG_DOUBLES)(lambda wh: wh.stg_er_visits)
-register("m1_stg_visits_ev", "select * from stg", "events", STG_DOUBLES)(lambda wh: wh.stg_er_visits)
-mart_query("m2_dim_date", "dim_date", sources=("lineitem", "events"))
-mart_query("m3_dim_time_of_day", "dim_time_of_day", sources=("lineitem", "events"))
-mart_query("m4_dim_patient_segment", "dim_patient_segment", sources=("lineitem", "events"))
-mart_query("m5_dim_department", "dim_department", sources=("lineitem", "events"))
-mart_query("m6_fct_visit", "fct_er_visit", STG_DOUBLES, sources=("lineitem", "events"))
-mart_query("m7_hourly_arrivals", "agg_hourly_arrivals", ("median_wait_minutes",), sources=("lineitem", "events"))
-mart_query("m8_daily_ops", "agg_daily_ops", DAILY_DOUBLES, sources=("lineitem", "events"))
-mart_query("m9_segment_waits", "agg_segment_waits", SEG_DOUBLES, sources=("lineitem", "events"))
+for _source, _suffix in oracle.SUFFIX.items():
+    register(f"m1_stg_visits{_suffix}", "select * from stg", _source, STG_DOUBLES)(lambda wh: wh.stg_er_visits)
+mart_query("m2_dim_date", "dim_date", sources=tuple(oracle.SUFFIX))
+mart_query("m3_dim_time_of_day", "dim_time_of_day", sources=tuple(oracle.SUFFIX))
+mart_query("m4_dim_patient_segment", "dim_patient_segment", sources=tuple(oracle.SUFFIX))
+mart_query("m5_dim_department", "dim_department", sources=tuple(oracle.SUFFIX))
+mart_query("m6_fct_visit", "fct_er_visit", STG_DOUBLES, sources=tuple(oracle.SUFFIX))
+mart_query("m7_hourly_arrivals", "agg_hourly_arrivals", ("median_wait_minutes",), sources=tuple(oracle.SUFFIX))
+mart_query("m8_daily_ops", "agg_daily_ops", DAILY_DOUBLES, sources=tuple(oracle.SUFFIX))
+mart_query("m9_segment_waits", "agg_segment_waits", SEG_DOUBLES, sources=tuple(oracle.SUFFIX))
 
 
 
@@ -143,8 +143,7 @@ def _load() -> None:
         return
     fns = _metric_functions()
     for name, (source, body, doubles) in oracle.METRICS.items():
-        base = name[:-3] if name.endswith("_ev") else name
-        register(name, body, source, doubles)(fns[base])
+        register(name, body, source, doubles)(fns[name.removesuffix(oracle.SUFFIX[source])])
     from careflow.operators import measures, profile, quality  # noqa: F401
 
     for mod in (measures, quality, profile):

@@ -1,13 +1,17 @@
 """Driver tables mapped onto the raw visit schema (12 strings).
 
-Two mappings give the operators realistic input at any scale factor:
+Three mappings give the operators realistic input at any scale factor:
 
 * ``visits_from_lineitem`` - a long daily series (order lines as visits), no NULL
   or implausible waits; used for SPC, calendar gaps, suppression and month measures.
 * ``visits_from_events`` - a 30-day hourly series with NULL and implausible waits,
   NULL ages and lower-case admission text; used for NULL logic and hours.
+* ``visits_from_orders`` - untidy text: repeated and missing ids, days and hours without
+  visits, timestamps padded, unpadded, between blanks or missing, numbers with blanks,
+  decimals or a letter behind them, waits and scores out of range, unknown categories;
+  every data-quality measure has something to count.
 
-Both are pure projections/joins of the input tables, so they scale with them. The
+All are pure projections/joins of the input tables, so they scale with them. The
 same mappings exist as DuckDB SQL in ``careflow.oracle`` for the result check.
 """
 
@@ -119,3 +123,46 @@ def visits_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("wait_minutes_raw"),
         F.when(k % 19 == 0, "1").otherwise("0").alias("case_management_flag_raw"),
     ).select(*RAW_COLUMNS)
+
+
+def visits_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    none = F.lit(None).cast("string")
+
+    # 400 days, every ninth of them without visits; hours 4 to 20
+    n = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date")) % 400
+    n = n - F.when(n % 9 == 4, 1).otherwise(0)
+    day = F.date_add(F.lit("2021-01-04").cast("date"), n)
+    minutes = ((k * 7 + c) % 17 + 4) * 60 + k % 60
+    at = F.timestamp_add("MINUTE", minutes, day.cast("timestamp_ntz"))
+    padded = F.date_format(at, RAW_TS_FORMAT)
+    admission = (F.when(k % 211 == 7, none)
+                 .when(k % 4 == 1, F.date_format(at, "d-M-yyyy H:m"))
+                 .when(k % 4 == 2, F.concat(F.lit("  "), padded, F.lit(" ")))
+                 .otherwise(padded))
+    race = F.element_at(F.array(*[F.lit(r) for r in RACES], none), (c % 8 + 1).cast("int"))
+    # waits rise for a month, so that the charts have signals
+    usual = (c * 13 + k) % 70 + F.when(n.between(200, 230), 45).otherwise(0)
+    return o.select(
+        F.when(k % 499 == 3, none).when(k % 50 == 0, _s(k + 1)).otherwise(_s(k)).alias("patient_id"),
+        admission.alias("admission_date_raw"),
+        F.lit("X").alias("first_initial"),
+        F.lit("X").alias("last_name"),
+        F.when(c % 6 == 0, "M").when(c % 6 == 1, " F ").when(c % 6 == 2, "NC").when(c % 6 == 3, "F")
+        .when(c % 6 == 4, none).when(k % 10 == 0, "Unknown").otherwise("M").alias("gender_raw"),
+        F.when(k % 12 == 0, "45F").when(k % 12 == 1, " 7 ").when(k % 12 == 2, "12.6")
+        .when(k % 12 == 3, none).when(k % 12 == 4, "").when(k % 12 == 5, "-1").when(k % 12 == 6, "abc")
+        .otherwise(_s(1 + c % 95)).alias("age_raw"),
+        race.alias("race_raw"),
+        F.when(k % 13 == 0, none).when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "None")
+        .otherwise(F.col("o_orderpriority")).alias("department_referral_raw"),
+        F.when(k % 5 == 0, "TRUE").when(k % 5 == 1, " true ").when(k % 5 == 2, "FALSE")
+        .when(k % 5 == 3, "yes").when(k % 20 == 4, none).otherwise("False").alias("admitted_flag_raw"),
+        F.when(k % 7 == 0, "11").when(k % 7 == 1, "7.5").when(k % 7 == 2, "-2").when(k % 7 == 3, "9")
+        .when(k % 7 == 4, "5d").alias("satisfaction_score_raw"),
+        F.when(k % 16 == 0, "-5").when(k % 16 == 1, "300").when(k % 16 == 2, "30D")
+        .when(k % 16 == 3, " 30 ").when(k % 16 == 4, none).when(k % 16 == 5, "31.5")
+        .otherwise(_s(usual)).alias("wait_minutes_raw"),
+        F.when(k % 19 == 0, "1").when(k % 19 == 1, none).otherwise("0").alias("case_management_flag_raw"),
+    ).select(*RAW_COLUMNS)
