@@ -294,16 +294,16 @@ def _oracle_sql() -> dict[str, str]:
     return {"pre": pre, "r1": r1, "r2": "select * from colsum", "r3": r3, "r4": r4, "r5": r5}
 
 
-_SQL = _oracle_sql()
+SQL = _oracle_sql()
 QUERIES = {}
 for _src, _sfx in (("lineitem", ""), ("events", "_ev"), ("orders", "_dirty")):
-    QUERIES[f"r1_r6_profile_overview{_sfx}"] = (_src, _SQL["r1"], (), lambda wh: overview(_raw(wh)), _SQL["pre"])
-    QUERIES[f"r2_r7_profile_columns{_sfx}"] = (_src, _SQL["r2"], ("null_pct",),
-                                              lambda wh: column_summary(_raw(wh)), _SQL["pre"])
-    QUERIES[f"r3_value_counts{_sfx}"] = (_src, _SQL["r3"], (), lambda wh: low_cardinality_values(_raw(wh)),
-                                        _SQL["pre"])
+    QUERIES[f"r1_r6_profile_overview{_sfx}"] = (_src, SQL["r1"], (), lambda wh: overview(_raw(wh)), SQL["pre"])
+    QUERIES[f"r2_r7_profile_columns{_sfx}"] = (_src, SQL["r2"], ("null_pct",),
+                                              lambda wh: column_summary(_raw(wh)), SQL["pre"])
+    QUERIES[f"r3_value_counts{_sfx}"] = (_src, SQL["r3"], (), lambda wh: low_cardinality_values(_raw(wh)),
+                                        SQL["pre"])
     QUERIES[f"r4_numeric_describe{_sfx}"] = (
-        _src, _SQL["r4"], ("mean", "std", "min", "p25", "p50", "p75", "p90", "p95", "p99", "max"),
-        lambda wh: numeric_describe(_raw(wh), exact=True), _SQL["pre"])
-    QUERIES[f"r5_datetime_columns{_sfx}"] = (_src, _SQL["r5"], ("parsed_share",),
-                                            lambda wh: datetime_columns(_raw(wh)), _SQL["pre"])
+        _src, SQL["r4"], ("mean", "std", "min", "p25", "p50", "p75", "p90", "p95", "p99", "max"),
+        lambda wh: numeric_describe(_raw(wh), exact=True), SQL["pre"])
+    QUERIES[f"r5_datetime_columns{_sfx}"] = (_src, SQL["r5"], ("parsed_share",),
+                                            lambda wh: datetime_columns(_raw(wh)), SQL["pre"])

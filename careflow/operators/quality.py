@@ -218,10 +218,48 @@ def export_reconciliation(marts: dict[str, DataFrame], exported: dict[str, DataF
 
 # ---------------------------------------------------------------- registered queries
 
-def _checks_sql() -> str:
+# Damage done to the tables of a sound build, so that each test has something to find:
+# table -> (key column, rows lost, rows doubled, rows repeated without their key).
+DAMAGE = {
+    "stg_er_visits": ("segment_key", "false", "wait_minutes = 7", "wait_minutes = 300"),
+    "fct_er_visit": ("segment_key", "false", "wait_minutes = 7", "wait_minutes = 300"),
+    "dim_date": ("date_day", "day_of_week_num = 0", "day_of_week_num = 1", "day_of_week_num = 2"),
+    "dim_time_of_day": ("hour_of_day", "hour_of_day in (8, 9)", "hour_of_day = 10", "hour_of_day = 11"),
+    "dim_patient_segment": ("segment_key", "race = 'Asian'", "gender = 'F'", "age_band = '65+'"),
+    "dim_department": ("department_referral", "department_referral = 'None'", "department_referral like '1%'",
+                       "department_referral like '2%'"),
+    "agg_hourly_arrivals": ("hour_of_day", "false", "false", "arrivals > 2"),
+    "agg_daily_ops": ("visit_date", "false", "visits > 40", "visits > 42"),
+    "agg_segment_waits": ("segment_key", "false", "low_n_flag", "not low_n_flag"),
+}
+
+
+def damaged(wh):
+    """A warehouse with DAMAGE done to it."""
+    def spoil(name: str, df: DataFrame) -> DataFrame:
+        key, lost, doubled, keyless = DAMAGE[name]
+        without = df.where(keyless).withColumn(key, F.lit(None).cast(df.schema[key].dataType))
+        return df.where(f"not coalesce({lost}, false)").unionByName(df.where(doubled)).unionByName(without)
+
+    tables = {name: spoil(name, df) for name, df in wh.marts().items()}
+    return type(wh)(wh.spark, tables, stg_er_visits=spoil("stg_er_visits", wh.stg_er_visits), params=wh.params)
+
+
+def _damaged_sql() -> str:
+    parts = []
+    for name, (key, lost, doubled, keyless) in DAMAGE.items():
+        src = "stg" if name == "stg_er_visits" else name
+        parts.append(f"""damaged_{src} as (
+    select * from {src} where not coalesce({lost}, false)
+    union all select * from {src} where {doubled}
+    union all select * replace (null as {key}) from {src} where {keyless})""")
+    return ", " + ", ".join(parts)
+
+
+def _checks_sql(prefix: str = "") -> str:
     rows = []
     for ch in CHECKS:
-        t, c = ch.table if ch.table != "stg_er_visits" else "stg", ch.column
+        t, c = prefix + (ch.table if ch.table != "stg_er_visits" else "stg"), ch.column
         if ch.test == "unique":
             q = f"select count(*) from (select {c} from {t} where {c} is not null group by 1 having count(*) > 1)"
         elif ch.test == "not_null":
@@ -230,7 +268,7 @@ def _checks_sql() -> str:
             vals = ", ".join(f"'{v}'" if isinstance(v, str) else str(v).lower() for v in ch.values)
             q = f"select count(distinct {c}) from {t} where {c} is not null and {c} not in ({vals})"
         else:
-            pt, pc = ch.parent
+            pt, pc = prefix + ch.parent[0], ch.parent[1]
             q = (f"select count(*) from {t} x where x.{c} is not null "
                  f"and not exists (select 1 from {pt} p where p.{pc} = x.{c})")
         rows.append(f"select '{ch.check_id}' as check_id, '{ch.test}' as test, '{ch.table}' as table_name, "
@@ -242,6 +280,8 @@ def _checks_sql() -> str:
 QUERIES = {
     "d1_d4_data_tests": ("lineitem", _checks_sql(), (), run_checks),
     "d1_d4_data_tests_ev": ("events", _checks_sql(), (), run_checks),
+    "d1_d4_data_tests_damaged": ("orders", _checks_sql("damaged_"), (), lambda wh: run_checks(damaged(wh)),
+                                 _damaged_sql()),
     "d1_d4_data_tests_dirty": ("orders", _checks_sql(), (), run_checks),
 }
 

@@ -144,9 +144,10 @@ def _load() -> None:
     fns = _metric_functions()
     for name, (source, body, doubles) in oracle.METRICS.items():
         register(name, body, source, doubles)(fns[name.removesuffix(oracle.SUFFIX[source])])
-    from careflow.operators import measures, profile, quality  # noqa: F401
+    from careflow.operators import measures, profile, quality
+    from careflow.plans import round_trip
 
-    for mod in (measures, quality, profile):
+    for mod in (measures, quality, profile, round_trip):
         for name, spec in getattr(mod, "QUERIES", {}).items():
             source, body, doubles, fn = spec[:4]
             register(name, body, source, doubles, spec[4] if len(spec) > 4 else "")(fn)

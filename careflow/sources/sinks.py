@@ -71,7 +71,9 @@ def export_csv(marts: dict[str, DataFrame], out_dir: str,
         target = f"{out_dir.rstrip('/')}/{name}"
         if single_file_small and name in SMALL_MARTS:
             df = df.repartition(1)
-        df.write.mode("overwrite").option("header", True).csv(target)
+        # a lone NULL would be a blank line, which readers skip
+        alone = len(df.columns) == 1
+        df.write.mode("overwrite").option("header", True).option("quoteAll", alone).csv(target)
         out[name] = target
     return out
 
