@@ -147,39 +147,14 @@ def run_checks(wh, checks: list[Check] | None = None) -> DataFrame:
         if ch.test == "unique":
             fails = unique_failures(tables[ch.table], ch.column).agg(F.count(F.lit(1)).alias("n"))
             parts.append(fails.select(*_row(ch, F.col("n"))))
-    # Relationship tests: per child table, one pass that pre-aggregates every tested key
-    # column into (check_id, key, rows) (keys as text, so columns of different types
-    # share one frame), then one anti join against all parent keys of those checks.
-    rel_by_table: dict[str, list[Check]] = {}
+    # Relationship tests: the child's distinct keys with their row counts (map-side, one column
+    # read, keys in their own type) against the parent's keys.
     for ch in checks:
         if ch.test == "relationships":
-            rel_by_table.setdefault(ch.table, []).append(ch)
-    for table, group in rel_by_table.items():
-        pairs = F.explode(F.array(*[
-            F.struct(F.lit(ch.check_id).alias("check_id"), _c(ch.column).cast("string").alias("key"))
-            for ch in group])).alias("p")
-        child = (tables[table].select(pairs).select("p.*").filter(F.col("key").isNotNull())
-                 .groupBy("check_id", "key").agg(F.count(F.lit(1)).alias("_rows")))
-        parent_keys = None
-        for ch in group:
-            ptable, pcol = ch.parent
-            pk = tables[ptable].select(F.lit(ch.check_id).alias("check_id"),
-                                       _c(pcol).cast("string").alias("key")).filter(F.col("key").isNotNull())
-            parent_keys = pk if parent_keys is None else parent_keys.unionByName(pk)
-        missing = child.join(parent_keys.distinct(), ["check_id", "key"], "left_anti")
-        per_check = missing.groupBy("check_id").agg(F.sum("_rows").alias("n"))
-        ids = tables[table].sparkSession.createDataFrame([(ch.check_id,) for ch in group], "check_id string")
-        counted = ids.join(per_check, "check_id", "left").select(
-            "check_id",
-            F.coalesce(F.col("n"), F.lit(0)).alias("n"))
-        parts.append(counted.select(
-            "check_id",
-            F.lit("relationships").alias("test"),
-            F.lit(table).alias("table_name"),
-            F.element_at(F.create_map(*[x for ch in group for x in (F.lit(ch.check_id), F.lit(ch.column))]),
-                         F.col("check_id")).alias("column_name"),
-            F.col("n").cast("bigint").alias("failures"),
-        ))
+            keys = (tables[ch.table].filter(_c(ch.column).isNotNull()).groupBy(_c(ch.column).alias(ch.column))
+                    .agg(F.count(F.lit(1)).alias("_rows")))
+            missing = relationship_failures(keys, ch.column, tables[ch.parent[0]], ch.parent[1])
+            parts.append(missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).select(*_row(ch, F.col("n"))))
 
     out = parts[0]
     for p in parts[1:]:
