@@ -48,7 +48,7 @@ def profile_of_csv(wh: Warehouse) -> DataFrame:
 def exported(wh: Warehouse) -> DataFrame:
     """The exported files of every mart against the mart."""
     marts = written_warehouse(wh).marts()
-    files = export_csv(marts, f"{_folder(wh.spark)}/exports")
+    files = export_csv(marts, f"{_folder(wh.spark)}/exports", keep_lone_nulls=True)
     back = {name: wh.spark.read.option("header", True).csv(path) for name, path in files.items()}
     return quality.export_reconciliation(marts, back)
 

@@ -57,13 +57,15 @@ def read_marts(spark: SparkSession, path: str, names: list[str] | None = None) -
 
 
 def export_csv(marts: dict[str, DataFrame], out_dir: str,
-               single_file_small: bool = True) -> dict[str, str]:
+               single_file_small: bool = True, keep_lone_nulls: bool = False) -> dict[str, str]:
     """Every mart to ``out_dir/<name>/`` as CSV with a header row.
 
     Small calendar/segment-bounded marts may go to one file; the fact always stays
     partitioned. One file is made with ``repartition(1)``, a shuffle of the finished
     (small) rows, not ``coalesce(1)``, which would pull the upstream aggregation that
-    merges every map task's partial result into a single task. Row and column counts are reported by
+    merges every map task's partial result into a single task. A NULL row of a one-column
+    mart is a blank line, which readers skip and the reconciliation reports;
+    ``keep_lone_nulls`` quotes such a mart's values, so that the row is read back. Row and column counts are reported by
     :func:`careflow.operators.quality.export_reconciliation`, not by collecting here.
     """
     out = {}
@@ -71,8 +73,7 @@ def export_csv(marts: dict[str, DataFrame], out_dir: str,
         target = f"{out_dir.rstrip('/')}/{name}"
         if single_file_small and name in SMALL_MARTS:
             df = df.repartition(1)
-        # a lone NULL would be a blank line, which readers skip
-        alone = len(df.columns) == 1
+        alone = keep_lone_nulls and len(df.columns) == 1
         df.write.mode("overwrite").option("header", True).option("quoteAll", alone).csv(target)
         out[name] = target
     return out

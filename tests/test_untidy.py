@@ -51,5 +51,5 @@ def test_daily_measures_stay_with_calendar_contexts(wh):
 
 def test_a_lone_null_survives_the_export(spark, tmp_path):
     df = spark.createDataFrame([("A",), (None,)], "department_referral string")
-    files = export_csv({"dim_department": df}, str(tmp_path))
+    files = export_csv({"dim_department": df}, str(tmp_path), keep_lone_nulls=True)
     assert spark.read.option("header", True).csv(files["dim_department"]).count() == 2
