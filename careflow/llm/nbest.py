@@ -8,6 +8,12 @@ only differ in the n - 1 segments with the smallest losses: there, A* searches t
 backward from the end, with the forward scores as exact heuristic, so that each completed path
 is the next best. The text's list merges the segments' lists.
 
+Rank 1 is the library's own encoding, which for a BPE model follows the order of the merges: no
+sum of piece scores gives it (they are minus the merge rank, and the largest sum takes more and
+shorter pieces). The library encodes each distinct segment; as no piece crosses a cut, no merge
+does. Ranks 2 to n are the other segmentations with the largest sums, so rank 1 can have a
+smaller score than they.
+
 Scores are sums of the model's piece scores; a character without a piece costs the least piece
 score less ten and is spelled in byte pieces if the model has them, else as the unknown id.
 
@@ -28,6 +34,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2
 
 from careflow.llm.common import RangeHash, ragged, slices
 
@@ -71,6 +78,14 @@ class PieceLattice:
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_len = np.fromiter(map(len, raw), np.int64, size)
         self.raw_at = np.cumsum(self.raw_len) - self.raw_len
+        self.covers = np.array([0 if x else len(name) for x, name in zip(special, names)])  # characters
+        # the library without its normaliser, for segments of texts that have passed it
+        proto = sentencepiece_model_pb2.ModelProto()
+        proto.ParseFromString(sp.serialized_model_proto())
+        spec = proto.normalizer_spec
+        spec.name, spec.precompiled_charsmap = "identity", b""
+        spec.add_dummy_prefix = spec.remove_extra_whitespaces = False
+        self.plain = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
 
     def normalize(self, text: str | None) -> str:
         return self.sp.normalize(text) if text else ""
@@ -84,6 +99,11 @@ class PieceLattice:
             return [self.bytes[b] for b in ch.encode()]
         return [self.unknown]
 
+    def runs(self, ids: np.ndarray) -> np.ndarray:
+        """The library writes neighbouring characters without a piece as one unknown id."""
+        again = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)
+        return ids[np.append(True, ~again)] if again.any() else ids
+
     def cuts(self, cp: np.ndarray, first: np.ndarray) -> np.ndarray:
         start = first.copy()
         alone = ~self.joined[cp]
@@ -141,6 +161,20 @@ class Segments:
         self.ids = np.empty(len(flat), np.int64)
         self.ids[ragged(self.id_at[order], count)] = flat
 
+    def library(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The library's ids of the segments: their number, place and sequence, and the scores."""
+        tool = self.lattice
+        text = self.cp.tobytes().decode("utf-32-le")
+        found = tool.plain.encode([text[a:a + n] for a, n in zip(self.at.tolist(), self.lens.tolist())], num_threads=1)
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter((x for part in found for x in part), np.int64, int(count.sum()))
+        at = np.cumsum(count) - count
+        owner = np.repeat(np.arange(len(count)), count)
+        known = tool.covers[ids] > 0
+        total = np.bincount(owner, np.where(known, tool.score[ids], 0.0), len(count))
+        lost = self.lens - np.bincount(owner, tool.covers[ids], len(count))
+        return count, at, ids, total + lost * tool.no_piece
+
     def _spell(self, ids: np.ndarray, at: np.ndarray, owner: np.ndarray):
         """Replace missing pieces (id -1 at position ``at``) by their spelling."""
         if (ids >= 0).all():
@@ -272,8 +306,10 @@ def merged(lists: list[list[tuple[float, list[int]]]], n_best: int) -> list[tupl
     return out
 
 
-def segmentations(lattice: PieceLattice, texts: list[str], n_best: int) -> list[list[tuple[float, np.ndarray]]]:
-    """Per normalised text its n best (score, ids)."""
+def segmentations(lattice: PieceLattice, texts: list[str], n_best: int,
+                  library: bool = False) -> list[list[tuple[float, np.ndarray]]]:
+    """Per normalised text its n best (score, ids); with ``library``, the library's encoding and
+    the n - 1 best others."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     out: list[list[tuple[float, np.ndarray]]] = [[(0.0, np.zeros(0, np.int64))] for _ in texts]
     cp = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
@@ -287,6 +323,8 @@ def segmentations(lattice: PieceLattice, texts: list[str], n_best: int) -> list[
     _, at, which = np.unique(RangeHash(cp)(starts, ends), return_index=True, return_inverse=True)
     lens = ends[at] - starts[at]
     seg = Segments(lattice, cp[ragged(starts[at], lens)], lens)
+    if library:
+        lib_count, lib_at, lib_ids, lib_score = seg.library()
     bound = np.searchsorted(starts, np.append(begin, len(cp)))
     for k in np.flatnonzero(size).tolist():
         own = which[bound[k]:bound[k + 1]]
@@ -306,6 +344,10 @@ def segmentations(lattice: PieceLattice, texts: list[str], n_best: int) -> list[
                 if c:  # from the back, so that earlier places stay
                     ids = np.concatenate([ids[:place[x]], entries[c][1], ids[place[x] + count[x]:]])
             rows.append((total - lost, ids.astype(np.int64)))
+        if library:
+            ids = lattice.runs(lib_ids[ragged(lib_at[own], lib_count[own])])
+            others = [x for x in rows if not np.array_equal(lattice.runs(x[1]), ids)]
+            rows = [(float(lib_score[own].sum()), ids), *others][:n_best]
         out[k] = rows
     return out
 
@@ -325,7 +367,7 @@ def lattice(path: str) -> PieceLattice:
 
 def n_best(docs: DataFrame, path: str, n: int = 3, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """Per row and rank: id, rank (from 1), score, n_pieces, ids_crc32 (unsigned little-endian
+    """Per row and rank: id, rank (from 1, the library's encoding), score, n_pieces, ids_crc32 (unsigned little-endian
     32-bit ids) and whether the ids decode to the normalised text. No shuffle."""
     ident = docs.schema[id_col].dataType.simpleString()
     names = ["i", "rank", "score", "n_pieces", "ids_crc32", "decodes"]
@@ -336,7 +378,7 @@ def n_best(docs: DataFrame, path: str, n: int = 3, id_col: str = "doc_id",
             texts = [tool.normalize(t) for t in batch["t"].to_pylist()]
             for lo, hi in slices(map(len, texts), SLICE_CHARS):
                 rows, cols = [], []
-                for k, found in enumerate(segmentations(tool, texts[lo:hi], n), lo):
+                for k, found in enumerate(segmentations(tool, texts[lo:hi], n, library=True), lo):
                     plain = texts[k].replace(MARK, " ")
                     for rank, (score, ids) in enumerate(found, 1):
                         rows.append(k)

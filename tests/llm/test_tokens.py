@@ -142,3 +142,25 @@ def test_n_best_rows(spark):
     twice = sorted((r["rank"], r["ids_crc32"]) for r in rows if r["doc_id"] == 1)
     assert len(twice) == 6 and twice[::2] == twice[1::2]
     assert nbest.n_best(df.where("false"), PIECES, 3).count() == 0
+
+
+def test_n_best_rank_1_is_the_library_encoding(spark):
+    tool = nbest.lattice(PIECES)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    whole = [r["text"] for r in docs.orderBy("doc_id").limit(150).collect()]
+    rng = random.Random(8)
+    parts = ["a", "the", "Hello world", "ing", " ", "  ", "\n", "\t", "é", "日本", "😀", "<s>", "<0x41>", nbest.MARK, "\x00", "xyz", "=="]
+    odd = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(500)] + ["ab" * 30000, " ", ""]
+    for every in (whole, odd):
+        every = [t or "" for t in every]
+        normal = [tool.normalize(t) for t in every]
+        plain = nbest.segmentations(tool, normal, 3)
+        for text, found, by_score in zip(every, nbest.segmentations(tool, normal, 3, library=True), plain):
+            ids = tool.sp.encode(text)
+            assert found[0][1].tolist() == ids
+            assert tool.sp.decode(found[0][1].tolist()) == tool.sp.decode(ids)
+            assert [x.tolist() for _, x in found[1:]] == [x.tolist() for _, x in by_score if x.tolist() != ids][:2]
+    rows = nbest.n_best(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), PIECES, 3).where("rank = 1").collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in rows} == {
+        i: zlib.crc32(np.array(tool.sp.encode(t), "<u4").tobytes()) for i, t in enumerate(odd)}
+    assert all(r["decodes"] for r in rows)
