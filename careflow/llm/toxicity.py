@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from careflow.llm.common import RangeHash, fold, mix64, ragged, slices
 
 SLICE_BYTES = 1 << 21
+TOXIC_FROM = 0.3  # the score from which a text counts as toxic
 _LETTER = np.zeros(256, bool)  # bytes of a word: ASCII letters, digits and all non-ASCII bytes
 _LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -204,7 +205,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held: int = 2,
     return train([r["t"] for r in rows], [int(r["y"] == 1) for r in rows], p)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, threshold: float = TOXIC_FROM, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus ``score`` and ``predicted``, which replace columns of these
     names. No shuffle."""
     udf = _score(docs, model)
@@ -228,7 +229,7 @@ def _score(docs: DataFrame, model: Model):
 
 
 def classify(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held: int = 2,
-             threshold: float = 0.3, id_col: str = "doc_id") -> DataFrame:
+             threshold: float = TOXIC_FROM, id_col: str = "doc_id") -> DataFrame:
     model = learn(docs, labels, held_mod, held, id_col=id_col)
     out = docs.select(F.col(id_col), F.col("text"), (fold(id_col, held_mod) == held).alias("held_out"))
     return score(out, model, threshold).drop("text")

@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from careflow.llm import language_id, near_dup, packing, secret_scan, toxicity
 from careflow.llm.common import bounded_batches, stage, table
 
-TOXIC_FROM = 0.4
-
 # Compression classification, trained layers, union of links and evolution are not SQL.
 ORACLE_SQL = None
 
@@ -28,10 +26,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored as toxic go; learnt from all labels whose documents are left."""
+    """Documents that op7 calls toxic go; learnt from all labels whose documents are left."""
     bounded_batches(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), held=-1)
-    return toxicity.keep(docs, model, TOXIC_FROM)
+    return toxicity.keep(docs, model, toxicity.TOXIC_FROM)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from careflow.llm import queries
+from careflow.llm import queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, kept int"
@@ -49,3 +49,13 @@ def test_pipeline_stages_of_odd_tables(spark, data):
             assert docs.columns == columns
     assert {r["doc_id"] for r in docs.collect()} == ({None, 3, 4} if data else set())
     assert docs.count() == len({r["doc_id"] for r in docs.collect()})
+
+
+def test_toxicity_stage_keeps_no_predicted_row(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.join(labels.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    kept = {r["doc_id"] for r in corpus_pipeline.toxicity_stage(spark, docs, sf).select("doc_id").collect()}
+    scored = toxicity.score(docs, toxicity.learn(docs, labels, held=-1)).select("doc_id", "predicted").collect()
+    assert kept == {r["doc_id"] for r in scored if r["predicted"] == 0}
+    assert len(kept) < len(scored)
