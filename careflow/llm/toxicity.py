@@ -6,9 +6,10 @@ words seen in learning. The average is taken over windows of words, and a text i
 its most toxic window: a short insult in a long text is not averaged away. Training takes, per
 text, the window that scores highest at that step.
 
-Learning reads a bounded sample: per class the rows with the smallest key hash, at most
-``Params.rows_per_class``, and of a longer text ``Params.train_chars`` characters from a hashed
-place on. Scoring reads every whole text.
+Learning reads a bounded sample of whole texts: per class the rows with the smallest key hash, at
+most ``Params.rows_per_class`` and, after the first, only while their texts together stay within
+``Params.class_chars`` characters. Tasks turn texts into word numbers and their distinct words,
+and only these reach the driver. Scoring reads every whole text.
 
 Defined cases: NULL and empty text get the score of an empty bag (the bias); with no learnable
 row, or one class only, every score is the class share (0 without rows); repeated label rows of
@@ -38,7 +39,7 @@ _LOWER[0x41:0x5B] += 32
 @dataclass(frozen=True)
 class Params:
     rows_per_class: int = 1200
-    train_chars: int = 8_000
+    class_chars: int = 12_000_000
     buckets: int = 1 << 17
     dim: int = 8
     grams: tuple[int, ...] = (3, 4, 5)
@@ -95,6 +96,14 @@ class Bag:
         return bucket[order], np.bincount(own, minlength=len(which))
 
 
+def numbered(text: bytes, p: Params) -> tuple[bytes, bytes]:
+    """A text's distinct words, a line each, and its words as 32-bit numbers of these lines."""
+    bag = Bag([text], p)
+    _, at, word = np.unique(_word_hash(bag), return_index=True, return_inverse=True)
+    words = [bag.data[a:b].tobytes() for a, b in zip(bag.starts[at].tolist(), bag.ends[at].tolist())]
+    return b"\n".join(words), word.astype("<i4").tobytes()
+
+
 def _word_hash(bag: Bag) -> np.ndarray:
     return RangeHash(bag.data)(bag.starts, bag.ends) if len(bag.starts) else np.zeros(0, np.uint64)
 
@@ -150,12 +159,21 @@ class Model:
 def train(texts: list[str], toxic: list[int], p: Params = Params()) -> Model:
     """Joint training of embeddings E and output U by Adagrad; the two-class softmax depends on
     u = U[1] - U[0] only."""
+    return _fit([numbered(t.encode(), p) for t in texts], toxic, p)
+
+
+def _fit(texts: list[tuple[bytes, bytes]], toxic: list[int], p: Params) -> Model:
+    """``train`` on ``numbered`` texts."""
     y = np.array(toxic, float)
     share = float(y.mean()) if len(y) else 0.0
     if share in (0.0, 1.0):
         return Model(p, np.zeros(p.buckets, np.float32), 30.0 if share else -30.0)
-    bag = Bag([t.encode() for t in texts], p)
-    _, at, word = np.unique(_word_hash(bag), return_index=True, return_inverse=True)
+    bag = Bag([words for words, _ in texts], p)  # the distinct words of each text
+    _, at, of = np.unique(_word_hash(bag), return_index=True, return_inverse=True)
+    first = np.cumsum([0, *(len(spots) // 4 for _, spots in texts)])
+    word = np.empty(int(first[-1]), np.int32)
+    for k, (_, spots) in enumerate(texts):
+        word[first[k]:first[k + 1]] = of[bag.first[k] + np.frombuffer(spots, "<i4")]
     bucket, n = bag.grams(at)
     offs = np.cumsum(n) - n
     word_of = np.repeat(np.arange(len(n)), n)
@@ -167,7 +185,7 @@ def train(texts: list[str], toxic: list[int], p: Params = Params()) -> Model:
     for _ in range(p.epochs):
         g = E @ u
         z = np.add.reduceat(g[bucket], offs) / n if len(n) else np.zeros(0)
-        logit, lo, hi = _best_window(z[word], bag.first, p.window, bias)
+        logit, lo, hi = _best_window(z[word], first, p.window, bias)
         err = (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - y) / len(y)
         width = np.maximum(hi - lo, 1)
         at_words = ragged(lo, hi - lo)
@@ -191,18 +209,32 @@ def learn(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held: int = 2,
     """Train on a bounded sample of the labelled rows outside fold ``held``."""
     marks = (labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull())
              .where(fold(id_col, held_mod) != held)
-             .groupBy(F.col(id_col).alias("i")).agg(F.max("toxic").alias("y"))
+             .groupBy(F.col(id_col).alias("i")).agg(F.max("toxic").cast("int").alias("y"))
              .withColumn("h", F.xxhash64("i", F.lit(5))))
     picked = [marks.where(cond).orderBy("h", "i").limit(p.rows_per_class)
               for cond in ("y = 1", "y <> 1")]
     keys = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * rows_per_class rows
-    start = F.pmod(F.xxhash64("i", F.lit(6)), F.greatest(F.length("t") - p.train_chars, F.lit(0)) + 1)
     rows = (docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
-            .join(keys, "i")
-            .select("h", "i", "y", F.substring("t", start.cast("int") + 1, F.lit(p.train_chars)).alias("t"))
-            .collect())
-    rows.sort(key=lambda r: (r["h"], r["i"], r["t"]))
-    return train([r["t"] for r in rows], [int(r["y"] == 1) for r in rows], p)
+            .join(keys, "i"))
+    sizes = rows.groupBy("y", "h", "i").agg(F.sum(F.length("t").cast("long")).alias("n")).collect()
+    chosen, total = [], {}
+    for r in sorted(sizes, key=lambda r: (r["h"], r["i"])):
+        toxic = r["y"] == 1
+        if toxic not in total or total[toxic] + r["n"] <= p.class_chars:
+            chosen.append((r["h"],))
+        total[toxic] = total.get(toxic, 0) + r["n"]  # the first row too many ends its class
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "h long").distinct())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [numbered(t.encode(), p) for t in batch.pop("t")]
+            yield batch.assign(words=[w for w, _ in found], spots=[x for _, x in found])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    got = (rows.join(wanted, "h").select("h", "i", "y", "t")
+           .mapInPandas(run, f"h long, i {kind}, y int, words binary, spots binary").collect())
+    got.sort(key=lambda r: (r["h"], r["i"], r["words"], r["spots"]))
+    return _fit([(bytes(r["words"]), bytes(r["spots"])) for r in got], [int(r["y"] == 1) for r in got], p)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = TOXIC_FROM, text_col: str = "text") -> DataFrame:

@@ -178,6 +178,29 @@ def test_toxicity_of_unseen_misspellings():
     assert scores[1] > 0.3 and scores[2] > 0.3 and scores[0] < 0.3 and scores[3] == scores[4] < 0.3
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice(string.ascii_lowercase) for _ in range(5)) for _ in range(300)]
+    long = lambda: [rng.choice(words) for _ in range(4000)]  # noqa: E731  24,000 characters
+    data = []
+    for i in range(30):
+        text = long()
+        if i % 3 == 0:
+            text[(0, 2000, 3999)[i // 3 % 3]] = "worthless"
+        data.append((i, " ".join(text), int(i % 3 == 0)))
+    docs = spark.createDataFrame([x[:2] for x in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in data], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, labels, held=-1)
+    order = [r["doc_id"] for r in docs.selectExpr("doc_id", "xxhash64(doc_id, 5) AS h").orderBy("h").collect()]
+    whole = toxicity.train([data[i][1] for i in order], [data[i][2] for i in order])
+    assert np.array_equal(model.scalars, whole.scalars) and model.bias == whole.bias
+    assert (model.scores([t for _, t, y in data if y]) >= 0.3).all()
+    one = toxicity.Params(class_chars=1)  # one whole text per class
+    firsts = {next(i for i in order if data[i][2] == y) for y in (0, 1)}
+    few = toxicity.train([data[i][1] for i in order if i in firsts], [data[i][2] for i in order if i in firsts], one)
+    assert np.array_equal(toxicity.learn(docs, labels, held=-1, p=one).scalars, few.scalars)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b", "x"), (2, None, "x"), (None, "c", "x")], "doc_id long, text string, score string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
