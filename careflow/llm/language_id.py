@@ -6,6 +6,12 @@ Learning reads a bounded sample: for each of the ``max_langs`` most frequent lan
 from a hashed place, joined up to ``dict_bytes``. Prediction reads every whole text, in pieces
 of ``PIECE`` bytes, so that long texts keep using the dictionary and not their own past.
 
+A text is accepted if the runner-up is larger by more than ``reject_margin`` and the text takes no
+more bytes per letter than ``HELD_SHARE`` of its language's held-out sample rows cut to the same
+number of letters: random letters and unlearned languages fit no dictionary. Held out are the
+sampled parts that no longer fit in the dictionary, or else every second part against the others;
+with fewer than ``LEAST_HELD`` of them there is no bound.
+
 Defined cases: NULL text or text without letters is ``und`` with score 0; ties go to the
 language with more learning rows, then by name; with nothing learned every text is ``und``;
 repeated rows get equal answers; a NULL key learns and predicts like any other.
@@ -29,6 +35,11 @@ UNKNOWN = "und"
 PIECE = 4096
 _HASHES = 1 << 40
 LEVEL = 5
+FRAME = 9           # bytes of a compressed piece besides its content
+REJECT_MARGIN = 0.02
+HELD_SHARE = 0.995
+LEAST_HELD = 20
+CUTS = (16, 32, 64, 128, 256, 600)  # characters at which the held-out rows are measured
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -44,6 +55,48 @@ class LanguageModel:
 
     langs: tuple[str, ...]
     dictionaries: tuple[bytes, ...]
+    # per language the (letters, bytes per letter) of its bound; empty without held-out rows
+    bounds: tuple[tuple[tuple[float, float], ...], ...] = ()
+
+    def bound(self, lang: int, n_letters: int) -> float:
+        points = self.bounds[lang] if self.bounds else ()
+        if not points:
+            return np.inf
+        at, most = zip(*points)
+        return float(np.interp(np.log(n_letters), np.log(at), most))
+
+
+def _n_letters(text: str) -> int:
+    return len(letters(text).replace(" ", ""))
+
+
+def _bytes_per_letter(size: int, raw_bytes: int, n_letters: int) -> float:
+    return (size - FRAME * -(-raw_bytes // PIECE)) / n_letters
+
+
+def _bound(parts: list[str], dict_bytes: int) -> tuple[tuple[float, float], ...]:
+    """The bytes per letter that the share HELD_SHARE of held-out parts stays within, by length."""
+    fits = np.cumsum([len(letters(x).encode()) + 1 for x in parts]) <= dict_bytes
+    held = [x for x, fit in zip(parts, fits) if not fit]
+    book = "\n".join(map(letters, parts)).encode()[:dict_bytes]
+    held = held[1:]  # the first may be partly in the dictionary
+    if len(held) < LEAST_HELD:
+        held, book = parts[1::2], "\n".join(map(letters, parts[::2])).encode()[:dict_bytes]
+    if len(held) < LEAST_HELD:
+        return ()
+    tool = Classifier(LanguageModel(("",), (book,)))
+    out = []
+    for cut in CUTS:
+        rows = []
+        for text in {x[:cut] for x in held if len(x) >= cut}:
+            n = _n_letters(text)
+            if n:
+                raw = len(letters(text).encode())
+                rows.append((n, _bytes_per_letter(int(tool.sizes(text)[0]), raw, n)))
+        if len(rows) >= LEAST_HELD:
+            n, rate = np.array(rows).T
+            out.append((float(np.median(n)), float(np.quantile(rate, HELD_SHARE))))
+    return tuple(sorted(dict(out).items()))
 
 
 def learn(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id",
@@ -73,16 +126,17 @@ def learn(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id",
     texts: dict[str, list[tuple[int, str]]] = {g: [] for g in langs}
     for r in parts:
         texts[r["g"]].append((r["h"], r["p"]))
-    books = []
+    books, bounds = [], []
     for g in langs:
         seen = dict.fromkeys(p for _, p in sorted(texts[g]))
         books.append("\n".join(map(letters, seen)).encode()[:dict_bytes])
-    return LanguageModel(tuple(langs), tuple(books))
+        bounds.append(_bound(list(seen), dict_bytes))
+    return LanguageModel(tuple(langs), tuple(books), tuple(bounds))
 
 
 class Classifier:
     def __init__(self, model: LanguageModel):
-        self.langs = model.langs
+        self.model, self.langs = model, model.langs
         self.tools = []
         for book in model.dictionaries:
             if len(book) >= 8:
@@ -93,55 +147,60 @@ class Classifier:
                 self.tools.append(zstandard.ZstdCompressor(level=LEVEL, write_content_size=False))
 
     def sizes(self, text: str) -> np.ndarray:
-        raw = letters(text).encode()
+        return self._sizes(letters(text).encode())
+
+    def _sizes(self, raw: bytes) -> np.ndarray:
         pieces = [raw] if len(raw) <= PIECE else [raw[a:a + PIECE] for a in range(0, len(raw), PIECE)]
         return np.array([sum(len(c.compress(p)) for p in pieces) for c in self.tools])
 
-    def __call__(self, text: str | None) -> tuple[str, float, float, int]:
+    def __call__(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score in [0, 1], margin (the runner-up's size over the best's, minus 1) and
-        the best size in bytes."""
+        whether its bytes per letter stay within the language's bound."""
         if not text or not self.tools or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0, 0.0, 0
-        size = self.sizes(text)
+            return UNKNOWN, 0.0, 0.0, False
+        plain = letters(text)
+        raw = plain.encode()
+        size = self._sizes(raw)
         best = int(size.argmin())
+        n = max(len(plain) - plain.count(" "), 1)
+        fits = _bytes_per_letter(int(size[best]), len(raw), n) <= self.model.bound(best, n)
         if len(size) == 1:
-            return self.langs[0], 1.0, 1.0, int(size[0])
+            return self.langs[0], 1.0, 1.0, fits
         margin = float(np.partition(size, 1)[1] / size[best] - 1)
         # soft maximum over relative sizes: a hundredth of the size is worth a factor of e
         score = float(1 / np.exp(-100.0 * (size / size[best] - 1)).sum())
-        return self.langs[best], score, margin, int(size[best])
+        return self.langs[best], score, margin, fits
 
 
-def predict(docs: DataFrame, model: LanguageModel, reject_margin: float = 0.003,
-            least_bytes: int = 64, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: LanguageModel, reject_margin: float = REJECT_MARGIN,
+            text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus lang_pred, score, margin and ``accepted``, which replace
-    columns of these names. Rejected is what has no language, and what compresses to
-    ``least_bytes`` or more with a margin of ``reject_margin`` or less: a shorter text's narrow
-    margin only shows that there is little of it. No shuffle."""
+    columns of these names. Rejected is what has no language, a margin of
+    ``reject_margin`` or less, or more bytes per letter than its language's bound. No shuffle."""
     names = ("lang_pred", "score", "margin", "accepted")
-    guess = _guess(model, reject_margin, least_bytes)
+    guess = _guess(model, reject_margin)
     out = docs.drop(*names, "_guess").withColumn("_guess", guess(F.col(text_col)))
     return out.select("*", *[F.col(f"_guess.{x}") for x in names]).drop("_guess")
 
 
-def keep(docs: DataFrame, model: LanguageModel, reject_margin: float = 0.003,
-         least_bytes: int = 64, text_col: str = "text") -> DataFrame:
+def keep(docs: DataFrame, model: LanguageModel, reject_margin: float = REJECT_MARGIN,
+         text_col: str = "text") -> DataFrame:
     """The rows that ``predict`` accepts, with the columns they came with. Where no language was
     learned, nothing can be told apart and all rows stay."""
     if not model.langs:
         return docs
-    guess = _guess(model, reject_margin, least_bytes)
+    guess = _guess(model, reject_margin)
     return docs.where(guess(F.col(text_col))["accepted"])
 
 
-def _guess(model: LanguageModel, reject_margin: float, least_bytes: int):
+def _guess(model: LanguageModel, reject_margin: float):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tool = Classifier(model)
         for batch in batches:
             got = [tool(t) for t in batch]
-            out = pd.DataFrame(got, columns=["lang_pred", "score", "margin", "size"])
-            sure = (out["margin"] > reject_margin) | (out["size"] < least_bytes)
-            yield out.assign(accepted=(out["lang_pred"] != UNKNOWN) & sure).drop(columns="size")
+            out = pd.DataFrame(got, columns=["lang_pred", "score", "margin", "fits"])
+            sure = (out["margin"] > reject_margin) & out["fits"].astype(bool)
+            yield out.assign(accepted=(out["lang_pred"] != UNKNOWN) & sure).drop(columns="fits")
 
     return F.pandas_udf(run, "lang_pred string, score double, margin double, accepted boolean")
 

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from careflow.llm import language_id, near_dup, page_text, secret_scan, toxicity
+from careflow.llm.common import fold
 
 SF = "/root/testdata/sf0.01"
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -158,6 +159,20 @@ def test_language_edge_rows(spark):
     assert alone.count() == 4
 
 
+def test_language_rejects_what_was_not_learned(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.learn(docs, usable=fold("doc_id", 5) != 0)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(2, 9)))
+    kinds = {n: [" ".join(word() for _ in range(n)) for _ in range(200)] for n in (5, 10, 20, 40, 400)}
+    kinds["cjk"] = ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(10)) for _ in range(50)]
+    rows = spark.createDataFrame([(str(k), t) for k, texts in kinds.items() for t in texts], "kind string, text string")
+    kept = {k: 0 for k in map(str, kinds)} | {r["kind"]: r["count"] for r in language_id.keep(rows, model).groupBy("kind").count().collect()}
+    assert kept["cjk"] == 0 and all(kept[str(n)] <= 30 for n in (5, 10, 20, 40, 400)), kept
+    held = docs.where(fold("doc_id", 5) == 0)
+    assert language_id.keep(held, model).count() >= 0.97 * held.count()
+
+
 def test_toxicity_of_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"  # in the smaller tables only a few dozen rows are toxic
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
