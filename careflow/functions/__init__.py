@@ -11,14 +11,14 @@ from careflow.functions.parsing import (
 )
 from careflow.functions.stats import (
     guarded_corr,
+    kurtosis_of_moments,
     ratio,
     round_doubles,
-    sample_kurtosis,
-    sample_skewness,
+    skewness_of_moments,
 )
 
 __all__ = [
     "age_band", "parse_bool_text", "parse_int_rounding", "parse_visit_ts", "segment_key",
-    "shift_band", "guarded_corr", "ratio", "round_doubles", "sample_kurtosis",
-    "sample_skewness",
+    "shift_band", "guarded_corr", "kurtosis_of_moments", "ratio", "round_doubles",
+    "skewness_of_moments",
 ]

@@ -1,7 +1,7 @@
 """Statistics with the semantics of the measure definitions.
 
-Spark's ``skewness``/``kurtosis`` are population moments (g1, excess g2); the measures
-use the sample-corrected G1 / G2, NULL when n is too small or the spread is zero.
+Skewness and kurtosis are the sample-corrected G1 / G2 (Spark's own are population moments), from
+sums over counted values, NULL when n is too small or the spread is zero.
 Ratios are NULL (never an error, never inf) on a zero denominator.
 """
 
@@ -16,21 +16,18 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def sample_skewness(x: Column) -> Column:
-    """Adjusted Fisher-Pearson G1 = g1 * sqrt(n(n-1)) / (n-2); NULL for n < 3 or sd = 0."""
-    n = F.count(x).cast("double")
-    g1 = F.skewness(x)
-    return F.when((n >= 3) & (F.stddev_pop(x) > 0), g1 * F.sqrt(n * (n - 1)) / (n - 2))
+def skewness_of_moments(n: Column, m2: Column, m3: Column) -> Column:
+    """Adjusted Fisher-Pearson G1 = g1 * sqrt(n(n-1)) / (n-2) from the count and the sums of squared
+    and cubed distances to the mean; NULL for n < 3 or no spread."""
+    g1 = F.try_divide(m3 / n, F.pow(m2 / n, 1.5))
+    return F.when((n >= 3) & (m2 > 0), g1 * F.sqrt(n * (n - 1)) / (n - 2))
 
 
-def sample_kurtosis(x: Column) -> Column:
-    """Sample excess kurtosis G2 = (n-1)/((n-2)(n-3)) * ((n+1) g2 + 6); NULL for n < 4 or sd = 0."""
-    n = F.count(x).cast("double")
-    g2 = F.kurtosis(x)
-    return F.when(
-        (n >= 4) & (F.stddev_pop(x) > 0),
-        (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6),
-    )
+def kurtosis_of_moments(n: Column, m2: Column, m4: Column) -> Column:
+    """Sample excess kurtosis G2 = (n-1)/((n-2)(n-3)) * ((n+1) g2 + 6) from the count and the sums of
+    second and fourth powers of distances to the mean; NULL for n < 4 or no spread."""
+    g2 = F.try_divide(m4 / n, F.pow(m2 / n, 2)) - 3
+    return F.when((n >= 4) & (m2 > 0), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
 
 def guarded_corr(x: Column, y: Column) -> Column:

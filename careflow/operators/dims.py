@@ -35,10 +35,9 @@ def dim_date(stg: DataFrame) -> DataFrame:
 
 
 def hourly_totals(stg: DataFrame) -> DataFrame:
-    """Arrivals per hour of day over the whole window (<= 24 rows)."""
-    return stg.groupBy(F.col("visit_hour").alias("hour_of_day")).agg(
-        F.count(F.lit(1)).alias("arrivals")
-    )
+    """Arrivals per hour of day over the whole window (<= 24 rows), from visits or their cells."""
+    arrivals = F.sum("visits") if "visits" in stg.columns else F.count(F.lit(1))
+    return stg.groupBy(F.col("visit_hour").alias("hour_of_day")).agg(arrivals.alias("arrivals"))
 
 
 def dim_time_of_day(spark: SparkSession, stg: DataFrame, empty_hours_peak: bool = False) -> DataFrame:

@@ -2,43 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from careflow.operators import wait_counts as wc
 from careflow.params import DEFAULT_PARAMS, MeasureParams
 from careflow.schema import FACT_COLUMNS
 
 
-def plausible(col: str = "wait_minutes", flag: str = "wait_implausible_flag") -> Column:
-    """The wait where the visit's wait is plausible, else NULL.
-
-    ``NOT flag`` is NULL for a NULL wait, so NULL waits drop out as well; this is the
-    FILTER (WHERE NOT flag) of every wait statistic.
-    """
-    return F.when(~F.col(flag), F.col(col))
-
-
-def wait_quantiles(fct: DataFrame, keys: list[str] | tuple = (),
-                   probs: dict[str, float] | None = None,
-                   only_plausible: bool = True) -> DataFrame:
-    """Exact quantiles of the wait per group of ``keys``, in two aggregation levels.
-
-    Level 1 counts visits per (keys, wait minute) with an ordinary hash aggregate
-    (codegen, map-side partial counts, the merge spread over tasks by key and minute).
-    Level 2 takes the weighted ``percentile(wait, p, count)`` over those few hundred rows
-    per group, which equals the percentile over the visits. A global median therefore
-    never merges one value map per map task in a single reducer.
-    """
-    probs = probs or {"median": 0.5}
-    rows = fct.filter(~F.col("wait_implausible_flag")) if only_plausible else fct
-    counts = rows.filter(F.col("wait_minutes").isNotNull()).groupBy(*keys, "wait_minutes").agg(
-        F.count(F.lit(1)).alias("_cnt"))
-    return counts.groupBy(*keys).agg(*[
-        F.percentile("wait_minutes", p, F.col("_cnt")).cast("double").alias(name)
-        for name, p in probs.items()
-    ])
-
-
 def fct_er_visit(stg: DataFrame, params: MeasureParams = DEFAULT_PARAMS) -> DataFrame:
     """M6: one row per visit; personal attributes stay behind in staging."""
     within = (
@@ -49,43 +20,46 @@ def fct_er_visit(stg: DataFrame, params: MeasureParams = DEFAULT_PARAMS) -> Data
     return stg.withColumn("within_target_flag", F.coalesce(within, F.lit(False))).select(*FACT_COLUMNS)
 
 
-def agg_hourly_arrivals(fct: DataFrame) -> DataFrame:
-    """M7: one row per (visit_date, hour) with arrivals and the plausible median wait.
+def agg_hourly_arrivals(rows: DataFrame) -> DataFrame:
+    """M7: one row per (visit_date, hour) with arrivals and the plausible median wait, from the
+    cells (or from visits).
 
-    ``median`` keeps a value->count map per group (partial aggregation on the map side),
+    The median keeps a value->count map per group (partial aggregation on the map side),
     and waits are whole minutes, so the buffer is small even for a very hot hour.
     """
-    return fct.groupBy("visit_date", F.col("visit_hour").alias("hour_of_day")).agg(
-        F.count(F.lit(1)).alias("arrivals"),
-        F.median(plausible()).cast("double").alias("median_wait_minutes"),
+    return wc.as_cells(rows).groupBy("visit_date", F.col("visit_hour").alias("hour_of_day")).agg(
+        F.sum("visits").alias("arrivals"),
+        F.percentile(wc.plausible_wait(), 0.5, F.col("visits")).cast("double").alias("median_wait_minutes"),
     )
 
 
-def segment_wait_stats(fct: DataFrame) -> DataFrame:
-    """Per-segment wait statistics from the fact alone (before the dimension join):
-    fixed-size aggregates in one pass, quantiles by :func:`wait_quantiles`."""
-    w = plausible()
-    moments = fct.groupBy("segment_key").agg(
-        F.count(F.lit(1)).alias("n_visits"),
-        F.count_if(~F.col("wait_implausible_flag")).alias("n_plausible"),
-        F.avg(w).alias("mean_raw"),
-        F.stddev_samp(w).alias("sd_raw"),
+def segment_wait_stats(rows: DataFrame) -> DataFrame:
+    """Per-segment wait statistics (before the dimension join) from the cells (or from visits):
+    counts per segment and wait first, then moments and quantiles over those few rows."""
+    keys = ["segment_key", "wait_minutes", "wait_implausible_flag"]
+    counts = wc.as_cells(rows).groupBy(*keys).agg(F.sum("visits").alias("visits"))
+    w = wc.plausible_wait()
+    return counts.groupBy("segment_key").agg(
+        F.sum("visits").alias("n_visits"),
+        wc.total("visits", w.isNotNull()).alias("n_plausible"),
+        wc.mean_wait().alias("mean_raw"),
+        wc.sd_wait().alias("sd_raw"),
+        F.percentile(w, 0.5, F.col("visits")).cast("double").alias("median_raw"),
+        F.percentile(w, 0.9, F.col("visits")).cast("double").alias("p90_raw"),
     )
-    q = wait_quantiles(fct, ["segment_key"], {"median_raw": 0.5, "p90_raw": 0.9})
-    return moments.join(q, "segment_key", "left")
 
 
-def agg_segment_waits(fct: DataFrame, dim_segment: DataFrame,
+def agg_segment_waits(rows: DataFrame, dim_segment: DataFrame,
                       params: MeasureParams = DEFAULT_PARAMS) -> DataFrame:
     """M9: per segment n, median, P90, mean and a normal-theory 95% CI on the median,
     with small-cell suppression (estimates NULL below ``min_cell_size``; counts stay).
 
-    The fact is aggregated by ``segment_key`` first (map-side partial aggregation),
+    The rows are aggregated by ``segment_key`` first (map-side partial aggregation),
     so the dimension join is between two per-segment tables: no fact-sized join, and
     no broadcast whose size depends on the data. Joining after aggregating gives the
     same rows as joining first, also when a key occurs twice in the dimension.
     """
-    stats = segment_wait_stats(fct)
+    stats = segment_wait_stats(rows)
     joined = stats.join(dim_segment, "segment_key")
     ok = F.col("n_plausible") >= F.lit(params.min_cell_size)
     half = F.lit(params.ci_z) * (

@@ -4,16 +4,17 @@ A BI measure is evaluated in whatever filter context a report sets; here the con
 is a list of dimension columns ``by``: calendar (``month_start``, ``year``,
 ``day_of_week_num``, ...), segment (``gender``, ``age_band``, ``race``),
 ``department_referral``, hour (``hour_of_day``, ``shift``, ``is_peak``), any mixture of
-them, or none for the grand total. The fact is first rolled up to additive sums by the
-keys of the dimensions asked for (map-side partial aggregation), so the dimensions join
-aggregated rows, never visits.
+them, or none for the grand total. The visits' cells are first rolled up to additive sums
+by the keys of the dimensions asked for (map-side partial aggregation), so the dimensions
+join aggregated rows, never visits. :func:`context_measures` evaluates any number of
+contexts in one pass over that roll-up (grouping sets).
 
 Measures of the daily mart (daily medians, control limits, signal days) have calendar
 contexts only, and arrivals per hour calendar and hour contexts: other dimensions do not
 filter those marts, so their columns are left out there.
 
-Prior-month measures (``*_pm``) join the monthly table to itself shifted by one month;
-a month outside the calendar gives NULL.
+Prior-month measures (``*_pm``) sum the dates that a bridge table names for every month, under
+whatever other dimensions the context has; a month outside the calendar gives NULL.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careflow.functions.stats import ratio
+from careflow.operators import wait_counts as wc
 
 _ALL = "_context"
 
@@ -31,6 +33,8 @@ CALENDAR = ("date_day", "year", "month", "month_name", "month_start", "day_of_we
 SEGMENT = ("gender", "age_band", "race")
 HOUR = ("hour_of_day", "shift", "is_peak")
 DEPARTMENT = ("department_referral",)
+_DAILY = ("median_wait_daily_avg", "p90_wait_daily_avg", "wait_centre_line", "wait_ucl", "wait_lcl")
+_HOURLY = ("arrivals_per_hour", "peak_hour_arrivals")
 _SUMS = ("visits", "within_target_visits", "admissions", "satisfaction_responses", "_score_sum", "_wait_sum",
          "_wait_n")
 
@@ -41,16 +45,16 @@ def calendar(wh) -> DataFrame:
 
 
 def rollup(wh, *keys: str) -> DataFrame:
-    """Additive sums of the fact per key combination (the only fact-sized step)."""
-    f = wh.fct_er_visit
-    return f.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("visits"),
-        F.count_if(F.col("within_target_flag")).alias("within_target_visits"),
-        F.count_if(F.col("admitted_flag")).alias("admissions"),
-        F.count("satisfaction_score").alias("satisfaction_responses"),
-        F.sum("satisfaction_score").alias("_score_sum"),
-        F.sum("wait_minutes").alias("_wait_sum"),
-        F.count("wait_minutes").alias("_wait_n"),
+    """Additive sums of the visits per key combination, from their cells."""
+    n, w = F.col("visits"), F.col("wait_minutes").cast("bigint")
+    return wh.agg_visit_cells.groupBy(*keys).agg(
+        F.sum(n).alias("visits"),
+        wc.total("visits", F.col("within_target_flag")).alias("within_target_visits"),
+        F.sum("admissions").alias("admissions"),
+        F.sum("responses").alias("satisfaction_responses"),
+        F.sum("score_sum").alias("_score_sum"),
+        F.sum(w.cast("double") * n).alias("_wait_sum"),
+        wc.total("visits", w.isNotNull()).alias("_wait_n"),
     )
 
 
@@ -87,7 +91,7 @@ def _hour_measures(hourly: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _with_dimensions(df: DataFrame, wh, keys: Sequence[str]) -> DataFrame:
+def with_dimensions(df: DataFrame, wh, keys: Sequence[str]) -> DataFrame:
     """Dimension columns joined to rows keyed by visit_date, segment_key or hour_of_day; rows
     without a member in a dimension keep NULL there."""
     if set(keys) & set(CALENDAR):
@@ -111,10 +115,10 @@ def dimension_measures(wh, by: Sequence[str]) -> DataFrame:
     rolled = rollup(wh, *grain)
     if "visit_hour" in grain:
         rolled = rolled.withColumnRenamed("visit_hour", "hour_of_day")
-    out = _with_dimensions(rolled, wh, keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+    out = with_dimensions(rolled, wh, keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
     if not set(keys) <= set(CALENDAR + HOUR):
         return out.select(*keys, *_fact_measures())
-    hours = _hour_measures(_with_dimensions(wh.agg_hourly_arrivals, wh, keys), keys)
+    hours = _hour_measures(with_dimensions(wh.agg_hourly_arrivals, wh, keys), keys)
     hours = hours.withColumnsRenamed({k: f"_h_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
     return out.join(hours, same, "left").select(
@@ -185,27 +189,144 @@ def prior_month_dates(wh) -> DataFrame:
     return dates.join(cal.select(F.col("date_day").alias("pm_date")), "pm_date")
 
 
-def monthly_measures(wh) -> DataFrame:
-    """X1/X4 time intelligence: monthly measures with prior month, MoM % and delta.
+def monthly_measures(wh, by: Sequence[str] = ()) -> DataFrame:
+    """X1/X4 time intelligence: measures per month and ``by`` with prior month, MoM % and delta.
 
-    A prior-month measure over a set of dates without visits is blank (NULL).
+    ``by`` names segment, department or hour columns; the shift moves the month alone, so the
+    prior month is read under the same values of ``by``. A value with visits in the prior month
+    and none in this one has a row of its own (0 visits). A prior-month measure over a set of
+    dates without visits is blank (NULL). Calendar columns would be shifted with the dates and are
+    refused.
+
+    The roll-up by date and the keys of ``by`` meets the bridge (month, date of its prior month) on
+    the date: calendar-bounded rows times the members of ``by``, never visits.
     """
-    m = measures(wh, ("month_start",))
-    per_day = daily_rollup(wh).select("visit_date", "visits", "within_target_visits")
-    pm = prior_month_dates(wh).join(per_day, F.col("pm_date") == F.col("visit_date")).groupBy(
-        "month_start").agg(F.sum("visits").alias("_v"), F.sum("within_target_visits").alias("_w"))
+    by = list(by)
+    if set(by) & set(CALENDAR):
+        raise ValueError(f"a calendar column moves with the month: {sorted(set(by) & set(CALENDAR))}")
+    keys = ["month_start", *by]
+    m = measures(wh, keys)
+    grain = [k for k, columns in (("segment_key", SEGMENT), ("visit_hour", HOUR),
+                                  ("department_referral", DEPARTMENT)) if set(by) & set(columns)]
+    per_day = rollup(wh, "visit_date", *grain).withColumnsRenamed({"visit_hour": "hour_of_day"})
+    per_day = with_dimensions(per_day, wh, by).groupBy("visit_date", *by).agg(
+        *[F.sum(c).alias(c) for c in ("visits", "within_target_visits")])
+    pm = prior_month_dates(wh).join(per_day, F.col("pm_date") == F.col("visit_date")).groupBy(*keys).agg(
+        F.sum("visits").alias("_v"), F.sum("within_target_visits").alias("_w"))
     prior = pm.select(
-        "month_start",
+        *[F.col(k).alias(f"_p_{k}") for k in keys],
         F.when(F.col("_v") > 0, F.col("_v")).cast("bigint").alias("visits_pm"),
         ratio(F.col("_w"), F.col("_v")).alias("pct_within_target_pm"),
     )
-    joined = m.join(prior, "month_start", "left")
+    same = [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys]
+    joined = m.join(prior, same, "full" if by else "left")
+    # A full join's row without visits this month has the keys of the prior one.
+    here = F.col("visits").isNotNull()
+    counts = ("visits", "within_target_visits", "admissions", "satisfaction_responses")
+    joined = joined.select(
+        *[F.when(here, F.col(k)).otherwise(F.col(f"_p_{k}")).alias(k) for k in keys],
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c in counts else F.col(c)
+          for c in m.columns if c not in keys],
+        "visits_pm", "pct_within_target_pm")
     return joined.withColumns({
         "visits_mom_pct": ratio(F.col("visits") - F.col("visits_pm"), F.col("visits_pm")),
         "pct_within_target_delta": F.col("pct_within_target") - F.col("pct_within_target_pm"),
     })
 
 
+# The contexts of the standard report: name of each and its columns.
+CONTEXTS = {"total": (), "month": ("month_start",), "weekday": ("day_of_week_num",), "gender": ("gender",),
+            "age_band": ("age_band",), "race": ("race",), "department": DEPARTMENT, "shift": ("shift",)}
+
+
+def _sets(df: DataFrame, contexts: dict[str, Sequence[str]], aggs: list[Column],
+          inner: Sequence[str] = ()) -> DataFrame:
+    """One aggregation over all contexts: (context, their columns, ``inner`` columns, aggregates).
+
+    ``_dated`` (the row's date is in the calendar) is a column of the contexts made of calendar
+    columns alone: those leave rows without a date out, the others count them."""
+    columns = sorted({k for by in contexts.values() for k in by})
+    every = ["_dated", *columns, *inner]
+    in_calendar = {name: set(by) <= set(CALENDAR) for name, by in contexts.items()}
+    sets = {name: [*(["_dated"] if in_calendar[name] else []), *by, *inner] for name, by in contexts.items()}
+    # grouping_id has a bit per column, the first column's the highest, set where it is left out.
+    ids = {name: sum(1 << (len(every) - 1 - i) for i, c in enumerate(every) if c not in cols)
+           for name, cols in sets.items()}
+    out = df.groupingSets([[F.col(c) for c in cols] for cols in sets.values()], *[F.col(c) for c in every]).agg(
+        F.grouping_id().alias("_set"), *aggs)
+    name = F.coalesce(*[F.when(F.col("_set") == i, F.lit(n)) for n, i in ids.items()])
+    # A context of calendar columns keeps its dated groups; for the others _dated is left out.
+    return (out.withColumn("context", name).where(F.coalesce(F.col("_dated"), F.lit(True)))
+            .drop("_dated", "_set"))
+
+
+def context_measures(wh, contexts: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """X1-X9 for several contexts in one pass: ``context``, one column for every dimension column
+    of any context (NULL where it is not of that context), and the measures of :func:`measures`.
+
+    The cells are rolled up once to date, hour, segment and department; the dimensions join that
+    roll-up; one aggregation with grouping sets serves all contexts, and one each over the daily
+    and the hourly mart for the measures read from there (NULL where a context has none).
+    """
+    contexts = {n: tuple(by) for n, by in (contexts or CONTEXTS).items()}
+    columns = sorted({k for by in contexts.values() for k in by})
+    unknown = [k for k in columns if k not in CALENDAR + SEGMENT + HOUR + DEPARTMENT]
+    if unknown or not contexts or len(set(map(frozenset, contexts.values()))) < len(contexts):
+        raise ValueError(f"not different contexts of dimension columns: {unknown or contexts}")
+    calendar_only = {n: by for n, by in contexts.items() if set(by) <= set(CALENDAR)}
+    timed = {n: by for n, by in contexts.items() if set(by) <= set(CALENDAR + HOUR)}
+    days = [c for c in columns if c in CALENDAR]
+
+    def dated(df: DataFrame) -> DataFrame:
+        cal = calendar(wh).select(F.col("date_day").alias("_day"), *days)
+        return df.join(cal, F.col("visit_date") == F.col("_day"), "left").withColumn(
+            "_dated", F.col("_day").isNotNull())
+
+    base = rollup(wh, "visit_date", "visit_hour", "segment_key", "department_referral")
+    base = base.withColumnRenamed("visit_hour", "hour_of_day")
+    rest = [c for c in columns if c not in CALENDAR]
+    rows = with_dimensions(dated(base), wh, rest)
+    # Every member of a calendar context has a row: the calendar joins in with sums of nothing.
+    spine = calendar(wh).select(*days, F.lit(True).alias("_dated"))
+    rows = rows.select("_dated", *columns, *_SUMS).unionByName(spine, allowMissingColumns=True)
+    fact = _sets(rows, contexts, [F.sum(c).alias(c) for c in _SUMS])
+    # In the other contexts the calendar's rows form a group of NULLs, with visits or without.
+    fact = fact.where((F.coalesce(F.col("visits"), F.lit(0)) > 0) | F.col("context").isin(*calendar_only))
+
+    parts = [(fact, contexts)]
+    if calendar_only:
+        parts.append((_sets(dated(wh.agg_daily_ops), calendar_only, [
+            F.avg("median_wait_minutes").alias("median_wait_daily_avg"),
+            F.avg("p90_wait_minutes").alias("p90_wait_daily_avg"),
+            F.avg("wait_centre_line").alias("wait_centre_line"),
+            F.avg("wait_ucl").alias("wait_ucl"),
+            F.avg("wait_lcl").alias("wait_lcl"),
+            F.count("spc_signal").alias("out_of_control_days"),
+        ]), calendar_only))
+    if timed:
+        hourly = wh.agg_hourly_arrivals.withColumn("_clock", F.col("hour_of_day"))
+        hourly = with_dimensions(dated(hourly), wh, [c for c in rest if c in HOUR])
+        per_hour = _sets(hourly, timed, [F.avg("arrivals").alias("_mean"), F.sum("arrivals").alias("_sum"),
+                                         F.count(F.lit(1)).alias("_n")], ["_clock"])
+        own = sorted({k for by in timed.values() for k in by})
+        hours = per_hour.groupBy("context", *own).agg(
+            ratio(F.sum("_sum"), F.sum("_n")).alias("arrivals_per_hour"), F.max("_mean").alias("peak_hour_arrivals"))
+        parts.append((hours, timed))
+    out = parts[0][0]
+    for n, (part, own) in enumerate(parts[1:]):
+        keys = ["context", *sorted({k for by in own.values() for k in by})]
+        renamed = part.withColumnsRenamed({k: f"_{n}_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_{n}_{k}")) for k in keys]
+        out = out.join(renamed, same, "left").drop(*[f"_{n}_{k}" for k in keys])
+    for c in _DAILY + _HOURLY:
+        if c not in out.columns:
+            out = out.withColumn(c, F.lit(None).cast("double"))
+    signal_days = (F.when(F.col("context").isin(*calendar_only), F.coalesce("out_of_control_days", F.lit(0)))
+                   if calendar_only else F.lit(None))
+    return out.select("context", *columns, *_fact_measures(), *_DAILY,
+                      signal_days.cast("bigint").alias("out_of_control_days"), *_HOURLY)
+
+
 def _measures_sql(by: str | None) -> str:
     key = f"{by} as ctx" if by else "1 as ctx"
     return f"""
@@ -341,3 +462,75 @@ for _name, _by in {"gender": ("gender",), "department": DEPARTMENT, "shift": ("s
     for _src, _sfx in (("lineitem", ""), ("orders", "_dirty")):
         QUERIES[f"x_measures_by_{_name}{_sfx}"] = (
             _src, _dimension_sql(_by), _FACT_DOUBLES + _hours, lambda wh, _b=_by: measures(wh, _b))
+
+
+_PM = ("visits_pm", "pct_within_target_pm", "visits_mom_pct", "pct_within_target_delta")
+
+
+def _prior_month_sql(by: Sequence[str]) -> str:
+    """Per month and ``by``: this month's measures, and the visits of the dates that lie one month
+    before the month's, straight from the visits."""
+    keys = ", ".join(by)
+    same = " and ".join(f"m.{k} is not distinct from p.{k}" for k in ("month_start", *by))
+    hours = ", m.arrivals_per_hour, m.peak_hour_arrivals" if set(by) <= set(CALENDAR + HOUR) else ""
+    return f"""
+select * from (with bridge as (
+    select month_start, unnest(generate_series(
+               (lo - interval 1 month)::date,
+               case when hi = last_day(hi) then last_day((hi - interval 1 month)::date)
+                    else (hi - interval 1 month)::date end, interval 1 day))::date as pm_date
+    from (select date_trunc('month', date_day)::date as month_start, min(date_day) as lo, max(date_day) as hi
+          from dim_date group by 1)),
+p as (
+    select b.month_start, {keys}, count(*) as visits_pm,
+           avg(within_target_flag::int) as pct_within_target_pm
+    from bridge b join fct_er_visit f on f.visit_date = b.pm_date
+    left join dim_patient_segment s on s.segment_key = f.segment_key
+    left join dim_time_of_day t on t.hour_of_day = f.visit_hour
+    group by all)
+select {", ".join(f"coalesce(m.{k}, p.{k}) as {k}" for k in ("month_start", *by))},
+       coalesce(m.visits, 0) as visits, coalesce(m.within_target_visits, 0) as within_target_visits,
+       m.pct_within_target, coalesce(m.admissions, 0) as admissions, m.admission_rate,
+       coalesce(m.satisfaction_responses, 0) as satisfaction_responses, m.satisfaction_response_rate,
+       m.mean_satisfaction, m.mean_wait{hours},
+       p.visits_pm, p.pct_within_target_pm,
+       (coalesce(m.visits, 0) - p.visits_pm)::double / p.visits_pm as visits_mom_pct,
+       m.pct_within_target - p.pct_within_target_pm as pct_within_target_delta
+from ({_dimension_sql(("month_start", *by))}) m full join p on {same})"""
+
+
+for _name, _by in {"gender": ("gender",), "department": DEPARTMENT, "shift": ("shift",),
+                   "race_department": ("race", "department_referral")}.items():
+    _hours = _HOURLY if set(_by) <= set(HOUR) else ()
+    for _src, _sfx in (("lineitem", ""), ("events", "_ev"), ("orders", "_dirty")):
+        if _src == "events" and _name == "race_department":
+            continue
+        QUERIES[f"x1_x4_prior_month_by_{_name}{_sfx}"] = (
+            _src, _prior_month_sql(_by), _FACT_DOUBLES + _hours + tuple(c for c in _PM if c != "visits_pm"),
+            lambda wh, _b=_by: monthly_measures(wh, _b))
+
+
+def _contexts_sql() -> str:
+    """The contexts one by one, each from its own query."""
+    columns = sorted({k for by in CONTEXTS.values() for k in by})
+    kinds = {"month_start": "date", "day_of_week_num": "int"}
+    parts = []
+    for name, by in CONTEXTS.items():
+        if set(by) <= set(CALENDAR):
+            body, keys = _measures_sql(by[0] if by else None), {k: "ctx" for k in by}
+            daily, hourly = True, True
+        else:
+            body, keys = _dimension_sql(by), {k: k for k in by}
+            daily, hourly = False, set(by) <= set(HOUR)
+        shown = [f"{keys[k] if k in keys else 'null'}::{kinds.get(k, 'varchar')} as {k}" for k in columns]
+        names = ["visits", "within_target_visits", "pct_within_target", "admissions", "admission_rate",
+                 "satisfaction_responses", "satisfaction_response_rate", "mean_satisfaction", "mean_wait"]
+        names += [c if daily else f"null::double as {c}" for c in _DAILY]
+        names += ["out_of_control_days" if daily else "null::bigint as out_of_control_days"]
+        names += [c if hourly else f"null::double as {c}" for c in _HOURLY]
+        parts.append(f"select '{name}' as context, {', '.join(shown + names)} from ({body})")
+    return " union all ".join(parts)
+
+
+for _src, _sfx in (("lineitem", ""), ("events", "_ev"), ("orders", "_dirty")):
+    QUERIES[f"x1_x9_all_contexts{_sfx}"] = (_src, _contexts_sql(), _DOUBLES, context_measures)

@@ -3,8 +3,8 @@
 Each function takes a :class:`~careflow.plans.warehouse.Warehouse` and returns a
 DataFrame (scalar bundles are one-row DataFrames); nothing is collected here. Metrics
 read the pre-aggregated marts where the definition allows it (daily, hourly, segment
-tables are bounded by the calendar or the segment count), and otherwise aggregate the
-fact with map-side partial aggregation before any join.
+tables are bounded by the calendar or the segment count); medians of any grouping read the
+counted waits; the rest aggregates the fact with map-side partial aggregation before any join.
 """
 
 from __future__ import annotations
@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 from careflow.functions.stats import (
     guarded_corr,
     indicator,
+    kurtosis_of_moments,
     ratio,
-    sample_kurtosis,
-    sample_skewness,
+    skewness_of_moments,
 )
-from careflow.operators.marts import plausible, wait_quantiles
+from careflow.operators import wait_counts as wc
 from careflow.operators.ranking import ntile
 
 EQUITY_DIMENSIONS = ("gender", "age_band", "race")
+QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9}
 
 
 def _n() -> Column:
@@ -48,20 +49,17 @@ def _daily_counts(wh) -> DataFrame:
 
 
 def kpi_summary(wh) -> DataFrame:
-    """Q1: 12 headline KPIs over the fact plus signal counts of the daily mart."""
-    f, w = wh.fct_er_visit, plausible()
-    daily = wh.agg_daily_ops
-    q = wait_quantiles(f, (), {"median": 0.5, "p90": 0.9})
-    row = f.agg(
-        _n().alias("visits"),
+    """Q1: 12 headline KPIs over the counted waits plus signal counts of the daily mart."""
+    c, daily, r = wh.agg_wait_counts, wh.agg_daily_ops, wc.rates()
+    q = wc.quantiles(wc.merged(c), (), {"median": 0.5, "p90": 0.9})
+    row = c.agg(
+        wc.total("visits").alias("visits"),
         F.min("visit_date").alias("date_min"),
         F.max("visit_date").alias("date_max"),
-        F.avg(w).alias("mean_wait_minutes"),
-        ratio(F.count_if(F.col("within_target_flag")), F.count_if(_eligible())).alias("pct_within_target"),
-        ratio(F.count_if(F.col("admitted_flag")), _n()).alias("admission_rate"),
-        ratio(F.count("satisfaction_score"), _n()).alias("satisfaction_response_rate"),
-        F.avg("satisfaction_score").alias("mean_satisfaction"),
-        F.count_if(F.col("wait_implausible_flag")).alias("n_implausible_waits"),
+        wc.mean_wait().alias("mean_wait_minutes"),
+        *[r[k].alias(k) for k in ("pct_within_target", "admission_rate", "satisfaction_response_rate",
+                                  "mean_satisfaction")],
+        wc.total("visits", F.col("wait_implausible_flag")).alias("n_implausible_waits"),
     )
     # Scalar subqueries over the small daily mart (merged into one by the optimizer);
     # the daily mart has one row per distinct visit date (plus a NULL-date row only when
@@ -80,21 +78,18 @@ def kpi_summary(wh) -> DataFrame:
 
 
 def monthly_trend(wh) -> DataFrame:
-    """Q2: per calendar month (first day of month, a DATE)."""
-    f = wh.fct_er_visit.withColumn("month", F.trunc("visit_date", "month"))
-    main = f.groupBy("month").agg(
-        _n().alias("visits"),
-        F.count_if(F.col("admitted_flag")).alias("admissions"),
-        ratio(F.count_if(F.col("admitted_flag")), _n()).alias("admission_rate"),
-        ratio(F.count_if(F.col("within_target_flag")), F.count_if(_eligible())).alias("pct_within_target"),
-        ratio(F.count("satisfaction_score"), _n()).alias("satisfaction_response_rate"),
-        F.avg("satisfaction_score").alias("mean_satisfaction"),
-    )
-    med = wait_quantiles(f, ["month"], {"median_wait_minutes": 0.5})
-    # every month has a row on both sides, visits without a date included
-    return main.withColumnRenamed("month", "_month").join(med, F.col("_month").eqNullSafe(F.col("month"))).select(
-        F.col("_month").alias("month"), "visits", "admissions", "admission_rate", "median_wait_minutes", "pct_within_target",
-        "satisfaction_response_rate", "mean_satisfaction",
+    """Q2: per calendar month (first day of month, a DATE), from the counted waits: counts per
+    month and wait first, which every figure of the month can be read from."""
+    keys = ["month", "wait_minutes", "wait_implausible_flag", "within_target_flag"]
+    c = wh.agg_wait_counts.withColumn("month", F.trunc("visit_date", "month")).groupBy(*keys).agg(
+        *[F.sum(x).alias(x) for x in wc.SUMS])
+    r = wc.rates()
+    return c.groupBy("month").agg(
+        wc.total("visits").alias("visits"),
+        wc.total("admissions").alias("admissions"),
+        r["admission_rate"].alias("admission_rate"),
+        F.percentile(wc.plausible_wait(), 0.5, F.col("visits")).cast("double").alias("median_wait_minutes"),
+        *[r[k].alias(k) for k in ("pct_within_target", "satisfaction_response_rate", "mean_satisfaction")],
     ).orderBy("month")
 
 
@@ -174,30 +169,52 @@ def demand_volume_stats(wh) -> DataFrame:
 
 
 def wait_summary_stats(wh) -> DataFrame:
-    """Q7: distribution of plausible waits (sample sd, skewness and excess kurtosis)."""
-    f, w = wh.fct_er_visit, plausible()
-    wd = w.cast("double")
-    q = wait_quantiles(f, (), {"median": 0.5, "p90": 0.9, "p99": 0.99})
-    row = f.agg(
-        F.count_if(~F.col("wait_implausible_flag")).alias("n_plausible"),
-        F.count_if(F.col("wait_implausible_flag")).alias("n_implausible"),
-        F.min(w).alias("min_wait"),
-        F.avg(w).alias("mean_wait"),
-        F.max(w).alias("max_wait"),
-        F.stddev_samp(w).alias("sd_wait"),
-        sample_skewness(wd).alias("skew_wait"),
-        sample_kurtosis(wd).alias("kurt_wait"),
+    """Q7: distribution of plausible waits (sample sd, skewness and excess kurtosis), from the
+    visits per wait minute: one small table, its moments taken about its mean."""
+    counts = wc.merged(wh.agg_wait_counts)
+    q = wc.quantiles(counts, (), {"median": 0.5, "p90": 0.9, "p99": 0.99})
+    n, w = F.col("visits"), F.col("wait_minutes").cast("double")
+    mean = counts.agg(ratio(F.sum(w * n), F.sum(n))).scalar()
+    off = F.col("_off")
+    row = counts.withColumn("_off", w - mean).agg(
+        wc.total("visits").alias("n_plausible"),
+        F.min("wait_minutes").alias("min_wait"),
+        F.max("wait_minutes").alias("max_wait"),
+        *[F.sum(n * F.pow(off, k)).alias(f"_m{k}") for k in (2, 3, 4)],
     )
+    implausible = wh.agg_wait_counts.agg(wc.total("visits", F.col("wait_implausible_flag"))).scalar()
+    count, m2, m3, m4 = F.col("n_plausible").cast("double"), F.col("_m2"), F.col("_m3"), F.col("_m4")
     return row.select(
-        "n_plausible", "n_implausible", "min_wait",
+        "n_plausible", implausible.alias("n_implausible"), "min_wait",
         q.select("median").scalar().alias("median_wait"),
-        "mean_wait",
+        mean.alias("mean_wait"),
         q.select("p90").scalar().alias("p90_wait"),
         q.select("p99").scalar().alias("p99_wait"),
-        "max_wait", "sd_wait", "skew_wait", "kurt_wait",
+        "max_wait",
+        F.sqrt(F.try_divide(m2, count - 1)).alias("sd_wait"),
+        skewness_of_moments(count, m2, m3).alias("skew_wait"),
+        kurtosis_of_moments(count, m2, m4).alias("kurt_wait"),
     )
 
 
+def wait_quantiles_by(wh, by: list[str], probs: dict[str, float] | None = None) -> DataFrame:
+    """Exact wait quantiles and visits for any mixture of calendar, segment and department
+    columns, from the counted waits: the states of the members' cells, merged."""
+    from careflow.operators.measures import CALENDAR, DEPARTMENT, SEGMENT, with_dimensions
+
+    unknown = [k for k in by if k not in CALENDAR + SEGMENT + DEPARTMENT]
+    if unknown:
+        raise ValueError(f"not a dimension of the counted waits: {unknown}")
+    # merged by the keys of the dimensions before they are joined
+    grain = [k for k, columns in (("visit_date", CALENDAR), ("segment_key", SEGMENT),
+                                  ("department_referral", DEPARTMENT)) if set(by) & set(columns)]
+    counts = with_dimensions(wc.merged(wh.agg_wait_counts, grain), wh, by)
+    out = counts.groupBy(*by, "wait_minutes").agg(F.sum("visits").alias("visits"))
+    quantiles = [F.percentile("wait_minutes", p, F.col("visits")).cast("double").alias(name)
+                 for name, p in (probs or QUARTILES).items()]
+    return out.groupBy(*by).agg(wc.total("visits").alias("n_plausible"), *quantiles)
+
+
 def wait_histogram(wh, bin_width: int = 5, source_bins: bool = False) -> DataFrame:
     """Q8: counts of plausible waits per ``bin_width``-minute bin (bin start, INT).
 
@@ -364,11 +381,19 @@ def satisfaction_nonresponse_bias(wh) -> DataFrame:
 
 
 def satisfaction_by_response_group(wh) -> DataFrame:
-    """Plausible waits of responders and non-responders."""
-    f = _not_implausible(wh.fct_er_visit).withColumn("responded", F.col("satisfaction_score").isNotNull())
-    main = f.groupBy("responded").agg(F.avg("wait_minutes").alias("mean_wait"), _n().alias("n"))
-    med = wait_quantiles(f, ["responded"], {"median_wait": 0.5})
-    return main.join(med, "responded", "left").select("responded", "mean_wait", "median_wait", "n")
+    """Plausible waits of responders and non-responders, from the counted waits: a cell's
+    visits are its responses and the rest."""
+    rows = wh.agg_wait_counts.where(~F.col("wait_implausible_flag")).groupBy("wait_minutes").agg(
+        F.sum("responses").alias("yes"), F.sum(F.col("visits") - F.col("responses")).alias("no"))
+    groups = F.explode(F.array(*[F.struct(F.lit(x).alias("responded"), F.col(c).alias("visits"))
+                                 for x, c in ((True, "yes"), (False, "no"))])).alias("g")
+    counts = rows.select("wait_minutes", groups).select("wait_minutes", "g.*").where("visits > 0")
+    w = F.col("wait_minutes").cast("double")
+    return counts.groupBy("responded").agg(
+        ratio(F.sum(w * F.col("visits")), F.sum("visits")).alias("mean_wait"),
+        F.percentile("wait_minutes", 0.5, F.col("visits")).cast("double").alias("median_wait"),
+        F.sum("visits").alias("n"),
+    )
 
 
 def satisfaction_nonresponse_report(wh) -> dict[str, DataFrame]:
@@ -380,23 +405,16 @@ def satisfaction_nonresponse_report(wh) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- equity
 
 
-def _wait_counts_by_segment(wh) -> DataFrame:
-    """(segment_key, wait_minutes, n) for plausible waits: map-side pre-aggregation
-    whose size is segments x distinct minutes, independent of the visit count."""
-    return _not_implausible(wh.fct_er_visit).groupBy("segment_key", "wait_minutes").agg(
-        _n().alias("cnt")
-    )
-
-
 def segment_equity_by(wh, dimension: str) -> DataFrame:
     """Q21: median and mean plausible wait and visits by one demographic dimension.
 
     Exact: the weighted percentile over (wait, count) pairs equals the median over the
-    visits, and the (wait, count) table is tiny, so the dimension join is cheap.
+    visits, and the counted waits of a segment are few, so the dimension join is cheap.
     """
     if dimension not in EQUITY_DIMENSIONS:
         raise ValueError(f"unsupported dimension: {dimension}")
-    counts = _wait_counts_by_segment(wh).join(wh.dim_patient_segment, "segment_key")
+    counts = wc.merged(wh.agg_wait_counts, ["segment_key"]).withColumnRenamed("visits", "cnt")
+    counts = counts.join(wh.dim_patient_segment, "segment_key")
     return counts.groupBy(F.col(dimension).alias("segment_value")).agg(
         F.percentile("wait_minutes", 0.5, F.col("cnt")).cast("double").alias("median_wait"),
         ratio(F.sum(F.col("wait_minutes") * F.col("cnt")), F.sum("cnt")).alias("mean_wait"),

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from careflow.functions.stats import ratio
-from careflow.operators.marts import plausible
+from careflow.operators import wait_counts as wc
 from careflow.params import DEFAULT_PARAMS, MeasureParams
 from careflow.session import checkpoint_dir
 
@@ -39,14 +39,15 @@ DAILY_OPS_COLUMNS = [
 ]
 
 
-def daily_series(fct: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
-    """Visits, admissions, plausible median and P90 wait per observed day."""
-    w = plausible()
-    return fct.groupBy(*series_keys, "visit_date").agg(
-        F.count(F.lit(1)).alias("visits"),
-        F.count_if(F.col("admitted_flag")).alias("admissions"),
-        F.median(w).cast("double").alias("median_wait_minutes"),
-        F.percentile(w, 0.9).cast("double").alias("p90_wait_minutes"),
+def daily_series(rows: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
+    """Visits, admissions, plausible median and P90 wait per observed day, from the cells
+    (or from visits)."""
+    w = wc.plausible_wait()
+    return wc.as_cells(rows, series_keys).groupBy(*series_keys, "visit_date").agg(
+        F.sum("visits").alias("visits"),
+        F.sum("admissions").alias("admissions"),
+        F.percentile(w, 0.5, F.col("visits")).cast("double").alias("median_wait_minutes"),
+        F.percentile(w, 0.9, F.col("visits")).cast("double").alias("p90_wait_minutes"),
     )
 
 
@@ -188,7 +189,7 @@ def p_chart(daily: DataFrame, series_keys: Sequence[str] = (),
     )
 
 
-def agg_daily_ops(fct: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
+def agg_daily_ops(rows: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
                   series_keys: Sequence[str] = ()) -> DataFrame:
     """M8: one row per observed day (per series) with both control charts.
 
@@ -198,10 +199,10 @@ def agg_daily_ops(fct: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
     """
     # The daily table (one row per series and day) is read by several branches of the
     # scan; it is computed once and its lineage cut with a reliable checkpoint in the
-    # shared checkpoint folder, so the fact is scanned once and a lost executor
-    # re-reads the checkpoint instead of re-aggregating the fact.
-    checkpoint_dir(fct.sparkSession)
-    daily = daily_series(fct, series_keys).checkpoint(eager=True)
+    # shared checkpoint folder, so the cells are scanned once and a lost executor
+    # re-reads the checkpoint instead of aggregating them again.
+    checkpoint_dir(rows.sparkSession)
+    daily = daily_series(rows, series_keys).checkpoint(eager=True)
     charted = p_chart(xmr_chart(daily, series_keys=series_keys, params=params),
                       series_keys=series_keys, params=params)
     # The charted rows are checkpointed too: their readers, some of them several times in one

@@ -127,6 +127,9 @@ def _metric_functions() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "q29_data_quality_summary": m.data_quality_summary,
         "q31_extremes_chart": m.extremes_chart_frame,
     }
+    for name, by in {"month_department": ["month_start", "department_referral"],
+                     "gender_weekday": ["gender", "day_name"], "all": []}.items():
+        fns[f"a8_wait_quantiles_{name}"] = lambda wh, _b=by: m.wait_quantiles_by(wh, _b)
     for dim in m.EQUITY_DIMENSIONS:
         fns[f"q21_equity_{dim}"] = lambda wh, _d=dim: m.segment_equity_by(wh, _d)
     for col in m.DISTRIBUTION_COLUMNS:

@@ -1,8 +1,8 @@
 """The warehouse build: raw visits -> staging -> 8 marts.
 
 ``build_warehouse`` returns lazy DataFrames: nothing runs until a mart or metric is
-written or collected, except that the first access to the daily mart checkpoints its
-small daily table (one job). ``materialize`` writes the marts as parquet tables to a shared
+written or collected, except that the first access to the cells and to the daily mart
+checkpoints them. ``materialize`` writes the marts as parquet tables to a shared
 folder and returns a warehouse that scans them: the metric layer then reads small
 pre-aggregated tables, and a lost executor only recomputes from the written files.
 """
@@ -13,18 +13,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.operators import dims, marts, spc, staging
+from careflow.operators import dims, marts, spc, staging, wait_counts
 from careflow.params import DEFAULT_PARAMS, MeasureParams
-from careflow.schema import MART_TABLES
+from careflow.schema import COUNTED_TABLES, MART_TABLES
+from careflow.session import checkpoint_dir
 from careflow.sources import sinks
 
 
 class Warehouse:
-    """The staging table and the 8 marts of one build.
+    """The staging table and the 8 marts of one build, and the two tables of counted waits that
+    marts and metrics are read from (``agg_visit_cells``, ``agg_wait_counts``).
 
     Marts are given as DataFrames or as zero-argument builders; a builder runs on first
-    access only (building the daily mart checkpoints its daily table, a job that a
-    query not reading that mart should not pay for).
+    access only (building the cells or the daily mart checkpoints a table, a job that a
+    query not reading it should not pay for).
     """
 
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]],
@@ -37,7 +39,15 @@ class Warehouse:
         self.stg_er_visits = stg_er_visits
         self.raw_visits = raw_visits
         self.params = params
-        self._tables = dict(tables)
+        self._tables = {"agg_visit_cells": self._cells, "agg_wait_counts": self._counts, **tables}
+
+    def _cells(self) -> DataFrame:
+        # Read by many branches of a plan: aggregated once, its lineage cut in the shared folder.
+        checkpoint_dir(self.spark)
+        return wait_counts.visit_cells(self.fct_er_visit).checkpoint(eager=True)
+
+    def _counts(self) -> DataFrame:
+        return wait_counts.wait_counts(self.agg_visit_cells)
 
     def table(self, name: str) -> DataFrame:
         t = self._tables[name]
@@ -57,42 +67,50 @@ class Warehouse:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
-                    strict_dates: bool = True, stg: DataFrame | None = None) -> Warehouse:
-    """Lazy plans of all marts over one staging DataFrame."""
+                    strict_dates: bool = True, stg: DataFrame | None = None,
+                    written: dict[str, DataFrame] | None = None) -> Warehouse:
+    """Lazy plans of all marts over one staging DataFrame; tables in ``written`` as given.
+
+    Only the fact and the segment dimension read staging; everything else reads the cells, the
+    one aggregation over all visits.
+    """
     if stg is None:
         stg = staging.stage_visits(raw, params, strict_dates=strict_dates)
-    fct = marts.fct_er_visit(stg, params)
-    seg = dims.dim_patient_segment(stg)
     tables = {
-        "fct_er_visit": fct,
-        "agg_daily_ops": lambda: spc.agg_daily_ops(fct, params),
-        "agg_hourly_arrivals": marts.agg_hourly_arrivals(fct),
-        "agg_segment_waits": marts.agg_segment_waits(fct, seg, params),
-        "dim_date": dims.dim_date(stg),
-        "dim_time_of_day": dims.dim_time_of_day(spark, stg),
-        "dim_patient_segment": seg,
-        "dim_department": dims.dim_department(stg),
+        "fct_er_visit": marts.fct_er_visit(stg, params),
+        "dim_patient_segment": dims.dim_patient_segment(stg),
+        "agg_daily_ops": lambda: spc.agg_daily_ops(wh.agg_visit_cells, params),
+        "agg_hourly_arrivals": lambda: marts.agg_hourly_arrivals(wh.agg_visit_cells),
+        "agg_segment_waits": lambda: marts.agg_segment_waits(wh.agg_visit_cells, wh.dim_patient_segment, params),
+        "dim_date": lambda: dims.dim_date(wh.agg_visit_cells),
+        "dim_time_of_day": lambda: dims.dim_time_of_day(spark, wh.agg_visit_cells),
+        "dim_department": lambda: dims.dim_department(wh.agg_visit_cells),
     }
-    return Warehouse(spark, tables, stg_er_visits=stg, raw_visits=raw, params=params)
+    wh = Warehouse(spark, tables | (written or {}), stg_er_visits=stg, raw_visits=raw, params=params)
+    return wh
 
 
 def materialize(wh: Warehouse, path: str) -> Warehouse:
-    """Write staging once, build the marts from the written staging, write the marts,
-    and return a warehouse reading the written tables.
+    """Write staging once, the cells from the written staging, the marts from both, and return a
+    warehouse reading the written tables.
 
-    Staging is written first so that the five readers of staging do not each re-parse
-    the raw input; every write is a whole-folder overwrite, safe to retry.
+    Staging is written first so that its readers do not each re-parse the raw input, the cells
+    next because six marts read them; every write is a whole-folder overwrite, safe to retry.
     """
-    spark = wh.spark
+    spark, raw, params = wh.spark, wh.raw_visits, wh.params
     base = path.rstrip("/")
+    written: dict[str, DataFrame] = {}
     if wh.stg_er_visits is not None:
         wh.stg_er_visits.write.mode("overwrite").parquet(f"{base}/stg_er_visits")
         stg = spark.read.parquet(f"{base}/stg_er_visits")
-        wh = build_warehouse(spark, raw=wh.raw_visits, params=wh.params, stg=stg)
-    raw = wh.raw_visits
-    sinks.write_marts(wh.marts(), base)
-    sinks.write_params(spark, wh.params, base)
-    out = load_warehouse(spark, base, wh.params, with_staging=True)
+        cells = wait_counts.visit_cells(marts.fct_er_visit(stg, params))
+        sinks.write_marts({"agg_visit_cells": cells}, base)
+        written = sinks.read_marts(spark, base, ["agg_visit_cells"])
+        wh = build_warehouse(spark, raw=raw, params=params, stg=stg, written=written)
+    counted = {name: wh.table(name) for name in COUNTED_TABLES if name not in written}
+    sinks.write_marts(wh.marts() | counted, base)
+    sinks.write_params(spark, params, base)
+    out = load_warehouse(spark, base, params, with_staging=True)
     out.raw_visits = raw
     return out
 
@@ -100,7 +118,7 @@ def materialize(wh: Warehouse, path: str) -> Warehouse:
 def load_warehouse(spark: SparkSession, path: str, params: MeasureParams | None = None,
                    with_staging: bool = False) -> Warehouse:
     """A written warehouse, with the parameters it was built with unless others are given."""
-    tables = sinks.read_marts(spark, path)
+    tables = sinks.read_marts(spark, path) | sinks.read_marts_if_there(spark, path, COUNTED_TABLES)
     params = params or sinks.read_params(spark, path)
     stg = spark.read.parquet(f"{path.rstrip('/')}/stg_er_visits") if with_staging else None
     return Warehouse(spark, tables, stg_er_visits=stg, params=params)

@@ -63,3 +63,6 @@ MART_TABLES = [
     "dim_patient_segment",
     "dim_department",
 ]
+
+# Visits counted per wait: read by marts and metrics, not exported.
+COUNTED_TABLES = ["agg_visit_cells", "agg_wait_counts"]

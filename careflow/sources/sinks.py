@@ -56,6 +56,17 @@ def read_marts(spark: SparkSession, path: str, names: list[str] | None = None) -
     return {n: spark.read.parquet(f"{path.rstrip('/')}/{n}") for n in (names or MART_TABLES)}
 
 
+def read_marts_if_there(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:
+    """The tables among ``names`` that were written (older folders have fewer)."""
+    out = {}
+    for name in names:
+        try:
+            out |= read_marts(spark, path, [name])
+        except AnalysisException:
+            continue
+    return out
+
+
 def export_csv(marts: dict[str, DataFrame], out_dir: str,
                single_file_small: bool = True, keep_lone_nulls: bool = False) -> dict[str, str]:
     """Every mart to ``out_dir/<name>/`` as CSV with a header row.
