@@ -1,7 +1,8 @@
 """Command line: the warehouse workflows as Spark jobs.
 
     python -m careflow build   --raw PATH --out WAREHOUSE      # staging + 8 marts (parquet)
-    python -m careflow export  --warehouse WAREHOUSE --out DIR  # marts -> CSV + reconciliation
+    python -m careflow refresh --landing DIR --out WAREHOUSE   # new files -> marts of their dates
+    python -m careflow export  --warehouse WAREHOUSE --out DIR  # marts -> CSV + row and column counts
     python -m careflow check   --warehouse WAREHOUSE           # the 34 data tests
     python -m careflow profile --raw PATH [--out DIR]          # R1-R7 of a raw CSV
     python -m careflow metric  --warehouse WAREHOUSE NAME      # one metric, shown
@@ -22,7 +23,8 @@ from careflow.params import DEFAULT_PARAMS, MeasureParams
 from careflow.plans.warehouse import build_warehouse, load_warehouse, materialize
 from careflow.session import configure
 from careflow.sources.raw_csv import malformed_rows, read_csv_for_profile, read_raw_visits
-from careflow.sources.sinks import export_csv
+from careflow.sources.sinks import export_counted
+from careflow.streaming import refresh_landing, refreshed_warehouse
 
 METRICS = {
     "kpi_summary": metrics.kpi_summary,
@@ -69,6 +71,9 @@ def main(argv: list[str] | None = None) -> int:
     e = sub.add_parser("export")
     e.add_argument("--warehouse", required=True)
     e.add_argument("--out", required=True)
+    r = sub.add_parser("refresh")
+    r.add_argument("--landing", required=True)
+    r.add_argument("--out", required=True)
     c = sub.add_parser("check")
     c.add_argument("--warehouse", required=True)
     p = sub.add_parser("profile")
@@ -89,9 +94,10 @@ def main(argv: list[str] | None = None) -> int:
         quality.reconciliation(wh).show(truncate=False)
     elif args.cmd == "export":
         wh = load_warehouse(spark, args.warehouse)
-        paths = export_csv(wh.marts(), args.out)
-        exported = {n: spark.read.option("header", True).csv(path) for n, path in paths.items()}
-        quality.export_reconciliation(wh.marts(), exported).show(truncate=False)
+        export_counted(spark, wh.marts(), args.out).show(truncate=False)
+    elif args.cmd == "refresh":
+        refresh_landing(spark, args.landing, args.out, f"{args.out.rstrip('/')}/_stream").awaitTermination()
+        refreshed_warehouse(spark, args.out).agg_daily_ops.orderBy("visit_date").show(5, truncate=False)
     elif args.cmd == "check":
         wh = load_warehouse(spark, args.warehouse, with_staging=True)
         res = quality.run_checks(wh)

@@ -189,24 +189,14 @@ def p_chart(daily: DataFrame, series_keys: Sequence[str] = (),
     )
 
 
-def agg_daily_ops(rows: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
-                  series_keys: Sequence[str] = ()) -> DataFrame:
-    """M8: one row per observed day (per series) with both control charts.
-
-    Both charts are computed on the same daily rows in one chain of projections, so
-    there is no self-join of two chart branches. Building it runs two checkpoints: the
-    daily aggregation and the charted rows.
-    """
-    # The daily table (one row per series and day) is read by several branches of the
-    # scan; it is computed once and its lineage cut with a reliable checkpoint in the
-    # shared checkpoint folder, so the cells are scanned once and a lost executor
-    # re-reads the checkpoint instead of aggregating them again.
-    checkpoint_dir(rows.sparkSession)
-    daily = daily_series(rows, series_keys).checkpoint(eager=True)
+def chart_daily(daily: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
+                series_keys: Sequence[str] = ()) -> DataFrame:
+    """Both control charts over a daily series, in one chain of projections: no self-join of two
+    chart branches. The charted rows are checkpointed: their readers, some of them several times in
+    one plan, scan a small table instead of carrying the whole chart chain."""
+    checkpoint_dir(daily.sparkSession)
     charted = p_chart(xmr_chart(daily, series_keys=series_keys, params=params),
                       series_keys=series_keys, params=params)
-    # The charted rows are checkpointed too: their readers, some of them several times in one
-    # plan, scan a small table instead of carrying the whole chart chain.
     return charted.select(
         *series_keys,
         "visit_date",
@@ -214,3 +204,16 @@ def agg_daily_ops(rows: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
         F.col("admissions").cast("bigint").alias("admissions"),
         *DAILY_OPS_COLUMNS[3:],
     ).checkpoint(eager=True)
+
+
+def agg_daily_ops(rows: DataFrame, params: MeasureParams = DEFAULT_PARAMS,
+                  series_keys: Sequence[str] = ()) -> DataFrame:
+    """M8: one row per observed day (per series) with both control charts. Building it runs two
+    checkpoints: the daily aggregation and the charted rows."""
+    # The daily table (one row per series and day) is read by several branches of the
+    # scan; it is computed once and its lineage cut with a reliable checkpoint in the
+    # shared checkpoint folder, so the cells are scanned once and a lost executor
+    # re-reads the checkpoint instead of aggregating them again.
+    checkpoint_dir(rows.sparkSession)
+    daily = daily_series(rows, series_keys).checkpoint(eager=True)
+    return chart_daily(daily, params, series_keys)

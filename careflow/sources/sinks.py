@@ -10,7 +10,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from careflow.params import DEFAULT_PARAMS, MeasureParams
 from careflow.schema import MART_TABLES
@@ -67,29 +68,47 @@ def read_marts_if_there(spark: SparkSession, path: str, names: list[str]) -> dic
     return out
 
 
+def _write_csv(df: DataFrame, target: str, small: bool, keep_lone_nulls: bool,
+               seen: Observation | None = None) -> None:
+    if small:
+        df = df.repartition(1)
+    if seen is not None:
+        # Behind the last shuffle: counted by the tasks that write, once each.
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    alone = keep_lone_nulls and len(df.columns) == 1
+    df.write.mode("overwrite").option("header", True).option("quoteAll", alone).csv(target)
+
+
 def export_csv(marts: dict[str, DataFrame], out_dir: str,
-               single_file_small: bool = True, keep_lone_nulls: bool = False) -> dict[str, str]:
+               single_file_small: bool = True, keep_lone_nulls: bool = True) -> dict[str, str]:
     """Every mart to ``out_dir/<name>/`` as CSV with a header row.
 
     Small calendar/segment-bounded marts may go to one file; the fact always stays
     partitioned. One file is made with ``repartition(1)``, a shuffle of the finished
     (small) rows, not ``coalesce(1)``, which would pull the upstream aggregation that
     merges every map task's partial result into a single task. A NULL row of a one-column
-    mart is a blank line, which readers skip and the reconciliation reports;
-    ``keep_lone_nulls`` quotes such a mart's values, so that the row is read back. Row and column counts are reported by
-    :func:`careflow.operators.quality.export_reconciliation`, not by collecting here.
+    mart would be a blank line, which readers skip: such a mart's values are quoted, so that the
+    row is read back, unless ``keep_lone_nulls`` is off.
     """
     out = {}
     for name, df in marts.items():
-        target = f"{out_dir.rstrip('/')}/{name}"
-        if single_file_small and name in SMALL_MARTS:
-            df = df.repartition(1)
-        alone = keep_lone_nulls and len(df.columns) == 1
-        df.write.mode("overwrite").option("header", True).option("quoteAll", alone).csv(target)
-        out[name] = target
+        out[name] = f"{out_dir.rstrip('/')}/{name}"
+        _write_csv(df, out[name], single_file_small and name in SMALL_MARTS, keep_lone_nulls)
     return out
 
 
+def export_counted(spark: SparkSession, marts: dict[str, DataFrame], out_dir: str,
+                   single_file_small: bool = True, keep_lone_nulls: bool = True) -> DataFrame:
+    """S7 with its report: (table_name, path, export_rows, export_columns) of every file folder,
+    counted by the writing tasks themselves, so that a mart is scanned once."""
+    found = []
+    for name, df in marts.items():
+        seen, target = Observation(name), f"{out_dir.rstrip('/')}/{name}"
+        _write_csv(df, target, single_file_small and name in SMALL_MARTS, keep_lone_nulls, seen)
+        found.append((name, target, seen.get["rows"], len(df.columns)))
+    return spark.createDataFrame(found, "table_name string, path string, export_rows long, export_columns int")
+
+
 def write_params(spark: SparkSession, params: MeasureParams, path: str) -> None:
     """The measure parameters beside the marts, one row."""
     target = f"{path.rstrip('/')}/measure_params"

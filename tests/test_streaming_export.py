@@ -3,7 +3,7 @@ from __future__ import annotations
 import shutil
 
 from careflow.operators import quality
-from careflow.sources.sinks import export_csv, read_marts, write_marts
+from careflow.sources.sinks import export_counted, export_csv, read_marts, write_marts
 from careflow.streaming import ingest_landing, rebuild_from_staging
 
 from conftest import DATA
@@ -24,17 +24,34 @@ def test_landing_ingest_is_incremental(spark, tmp_path):
 
 def test_export_and_reconcile(spark, edge_wh, tmp_path):
     marts = edge_wh.marts()
-    paths = export_csv(marts, str(tmp_path / "exports"))
+    paths = export_csv(marts, str(tmp_path / "exports"), keep_lone_nulls=False)
     exported = {n: spark.read.option("header", True).csv(p) for n, p in paths.items()}
     rec = {r["table_name"]: r for r in quality.export_reconciliation(marts, exported).collect()}
     assert len(rec) == 8
-    # The edge file's NULL department is a one-column row written as a blank line,
-    # which CSV readers skip: the reconciliation flags exactly that table.
+    # With the option off, the edge file's NULL department is a one-column row written as a blank
+    # line, which CSV readers skip: the reconciliation flags exactly that table.
     assert [n for n, r in rec.items() if not r["reconciled"]] == ["dim_department"]
     assert (rec["dim_department"]["mart_rows"], rec["dim_department"]["export_rows"]) == (5, 4)
     assert len(list((tmp_path / "exports" / "dim_date").glob("part-*.csv"))) == 1
 
 
+def test_the_default_export_loses_no_row(spark, edge_wh, tmp_path):
+    marts = edge_wh.marts()
+    paths = export_csv(marts, str(tmp_path / "exports"))
+    exported = {n: spark.read.option("header", True).csv(p) for n, p in paths.items()}
+    rec = quality.export_reconciliation(marts, exported).collect()
+    assert len(rec) == 8 and all(r["reconciled"] for r in rec)
+
+
+def test_counts_of_the_export_equal_the_reconciliation(spark, edge_wh, tmp_path):
+    marts = edge_wh.marts()
+    report = {r["table_name"]: r for r in export_counted(spark, marts, str(tmp_path / "exports")).collect()}
+    exported = {n: spark.read.option("header", True).csv(r["path"]) for n, r in report.items()}
+    rec = quality.export_reconciliation(marts, exported).collect()
+    assert {r["table_name"]: (r["mart_rows"], r["export_rows"], r["export_columns"]) for r in rec} == {
+        n: (r["export_rows"], r["export_rows"], r["export_columns"]) for n, r in report.items()}
+
+
 def test_write_and_read_marts(spark, edge_wh, tmp_path):
     write_marts(edge_wh.marts(), str(tmp_path / "wh"))
     back = read_marts(spark, str(tmp_path / "wh"))
