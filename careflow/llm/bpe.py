@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -297,14 +297,15 @@ def token_counts(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
     counts as empty; rows are independent, so there is no shuffle and repeats stay repeats."""
     ident = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches:
-            counts, _ = bpe.encode_flat(batch["t"].tolist(), ids=False)
-            yield pd.DataFrame({"i": batch["i"], "n_bytes": batch["b"], "n_tokens": counts,
-                                "over_limit": counts > limit})
+        for batch in batches:  # ids stay Arrow: pandas would turn longs beside a NULL into doubles
+            counts, _ = bpe.encode_flat(batch["t"].to_pylist(), ids=False)
+            counts = np.asarray(counts, np.int64)
+            yield pa.RecordBatch.from_arrays([batch["i"], batch["b"], pa.array(counts), pa.array(counts > limit)],
+                                             ["i", "n_bytes", "n_tokens", "over_limit"])
 
     out = (docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"),
                        F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("b"))
-           .mapInPandas(run, f"i {ident}, n_bytes long, n_tokens long, over_limit boolean"))
+           .mapInArrow(run, f"i {ident}, n_bytes long, n_tokens long, over_limit boolean"))
     return out.withColumnRenamed("i", id_col)

@@ -134,7 +134,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, p: Params = Params(),
                 if len(at) >= k or radius >= bits:
                     break
                 radius = min(bits, radius + index.m)
-            s = values[at] @ q
+            s = (values[at] * q).sum(axis=1)  # every row in one order, so equal rows score alike
             keep = top(s, ids[at], k)
             found.append(at[keep])
             scores.append(s[keep])

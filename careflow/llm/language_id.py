@@ -1,10 +1,11 @@
 """Language ID by compression: a text belongs to the language whose zstandard raw-content
 dictionary compresses it smallest.
 
-Learning reads a bounded sample: for each of the ``max_langs`` most frequent languages the
-``docs_per_lang`` rows with the smallest key hash, of each at most ``part_chars`` characters
-from a hashed place, joined up to ``dict_bytes``. Prediction reads every whole text, in pieces
-of ``PIECE`` bytes, so that long texts keep using the dictionary and not their own past.
+Learning reads a bounded sample: for every language up to ``docs_per_lang`` rows in the order of
+their key hash, texts of more than ``long_chars`` characters last, whole texts as long as they
+stay within ``sample_chars`` together (the first one in any case); they are joined up to
+``dict_bytes``. Prediction reads every whole text, in pieces of ``PIECE`` bytes, so that long
+texts keep using the dictionary and not their own past.
 
 A text is accepted if the runner-up is larger by more than ``reject_margin`` and the text takes no
 more bytes per letter than ``HELD_SHARE`` of its language's held-out sample rows cut to the same
@@ -100,29 +101,36 @@ def _bound(parts: list[str], dict_bytes: int) -> tuple[tuple[float, float], ...]
 
 
 def learn(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang", max_langs: int = 256,
-          docs_per_lang: int = 400, part_chars: int = 600, dict_bytes: int = 110_000) -> LanguageModel:
-    """Learn from rows with non-NULL text and language for which ``usable`` holds."""
+          text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 400,
+          sample_chars: int = 1_000_000, long_chars: int = 20_000, dict_bytes: int = 110_000) -> LanguageModel:
+    """Learn from rows with non-NULL text and language for which ``usable`` holds. The model has a
+    dictionary per language, so its size is bounded by the languages."""
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g"),
                        (F.lit(True) if usable is None else usable).alias("ok"))
     rows = rows.where("ok and g is not null and t is not null")
-    sizes = {r["g"]: r["count"] for r in rows.groupBy("g").count()
-             .orderBy(F.desc("count"), "g").limit(max_langs).collect()}
+    long = F.length("t") > long_chars
+    counted = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.count_if(~long).alias("usual")).collect()
+    sizes = {r["g"]: r["n"] for r in sorted(counted, key=lambda r: (-r["n"], r["g"]))}
     if not sizes:
         return LanguageModel((), ())
     langs = list(sizes)
-    # the hash thins a language to about four times the wanted rows before any row is moved
+    # the hash thins a language to about four times the wanted rows before any row is moved; long
+    # texts take part where the others are fewer than wanted
     place = F.pmod(F.xxhash64("i", F.lit(11)), F.lit(_HASHES))
-    reach = F.create_map(*[F.lit(x) for g, n in sizes.items()
+    picked = [(r["g"], r["usual"] < docs_per_lang, r["n"] if r["usual"] < docs_per_lang else r["usual"]) for r in counted]
+    reach = F.create_map(*[F.lit(x) for g, _, n in picked
                            for x in (g, min(_HASHES, 4 * docs_per_lang * _HASHES // n))])
-    keys = (rows.where(place < reach[F.col("g")]).select("g", place.alias("h")).distinct()
-            .withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("h")))
-            .where(F.col("n") <= docs_per_lang).select("g", "h"))
-    start = F.pmod(F.xxhash64("i", F.lit(12)), F.greatest(F.length("t") - part_chars, F.lit(0)) + 1)
+    with_long = F.array(*[F.lit(g) for g, every, _ in picked if every]).cast("array<string>")
+    thin = rows.where((place < reach[F.col("g")]) & (~long | F.array_contains(with_long, F.col("g"))))
+    first = Window.partitionBy("g").orderBy("long", "h")
+    keys = (thin.groupBy("g", place.alias("h")).agg(F.min(long).alias("long"), F.max(F.length("t")).alias("c"))
+            .withColumn("n", F.row_number().over(first)).where(F.col("n") <= docs_per_lang)
+            .withColumn("upto", F.sum("c").over(first.rowsBetween(Window.unboundedPreceding, 0)))
+            .where((F.col("upto") <= sample_chars) | (F.col("n") == 1)).select("g", "h", "n"))
     parts = (rows.withColumn("h", place)
-             .join(F.broadcast(keys), ["g", "h"])  # at most max_langs * docs_per_lang rows
-             .select("g", "h", F.substring("t", start.cast("int") + 1, F.lit(part_chars)).alias("p"))
-             .groupBy("g", "h").agg(F.min("p").alias("p")).collect())
+             .join(F.broadcast(keys), ["g", "h"])  # docs_per_lang rows of a language at most
+             .groupBy("g", "h", "n").agg(F.min("t").alias("p"))
+             .select("g", F.col("n").alias("h"), "p").collect())
     texts: dict[str, list[tuple[int, str]]] = {g: [] for g in langs}
     for r in parts:
         texts[r["g"]].append((r["h"], r["p"]))

@@ -6,8 +6,9 @@ hash into shards of about ``shard_items`` pieces. Several islands evolve each sh
 crossover injects whole well-filled bins of one parent into the other, removes the bins that
 hold duplicates, and best-fits the displaced pieces in decreasing order; mutation dissolves the
 emptiest bins. After each epoch an island's elites also go to its neighbour, by a shuffle. A
-shard stops early at its lower bound. The bins a shard fills badly go on to a next, far smaller
-level, until one shard is left, so that shard borders do not cost sequences.
+shard stops early at its lower bound. The emptiest bins of a shard, about half of its items at
+most, go on to a next level with half as many shards at most, until one shard is left, so that
+shard borders do not cost sequences.
 
 Defined cases: NULL and empty text is the end id alone; repeated rows are packed once each; a
 NULL id is an id like any other; an empty table packs to no rows.
@@ -186,7 +187,8 @@ def _sorted_items(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _pack_level(items: DataFrame, shards: int, level: int, p: Params) -> DataFrame:
-    """Items (i, piece, start, length, ids_crc32) plus shard, bin, offset, fill."""
+    """Items (i, piece, start, length, ids_crc32) plus shard, bin, offset, and whether the bin is open:
+    the emptiest bins that hold about half of the shard's items, as far as they are below ``good``."""
     kind = items.schema["i"].dataType.simpleString()
     items = items.withColumn("shard", F.pmod(F.xxhash64("i", "piece", "ids_crc32", F.lit(level)), F.lit(shards)).cast("int"))
     state = "shard int, island int, sizes binary, pool array<binary>"
@@ -223,11 +225,19 @@ def _pack_level(items: DataFrame, shards: int, level: int, p: Params) -> DataFra
         heads = np.searchsorted(bins[order], bins[order])
         offset = np.empty(len(bins), np.int64)
         offset[order] = at - at[heads]
-        return group.assign(bin=bins, offset=offset, fill=island.fills(bins)[bins])
+        fills = island.fills(bins)
+        members = np.bincount(bins, minlength=len(fills))
+        emptiest = np.argsort(fills, kind="stable")
+        before = np.cumsum(members[emptiest]) - members[emptiest]
+        open_ = np.zeros(len(fills), bool)
+        open_[emptiest] = (2 * before < len(bins)) & (fills[emptiest] < p.good * p.capacity)
+        return group.assign(bin=bins, offset=offset, open=open_[bins])
 
-    out = f"i {kind}, piece int, start long, length long, ids_crc32 long, shard int, bin long, offset long, fill long"
-    return (items.groupBy("shard").cogroup(stage(islands, "islands").groupBy("shard"))
-            .applyInPandas(settle, out))
+    out = "i string, piece int, start long, length long, ids_crc32 long, shard int, bin long, offset long, open boolean"
+    # ids cross pandas as text: a long beside a NULL would become a double there
+    packed = (items.withColumn("i", F.col("i").cast("string")).groupBy("shard")
+              .cogroup(stage(islands, "islands").groupBy("shard")).applyInPandas(settle, out))
+    return packed.withColumn("i", F.col("i").cast(kind))
 
 
 def pack(docs: DataFrame, path: str, p: Params = Params(), id_col: str = "doc_id",
@@ -239,18 +249,14 @@ def pack(docs: DataFrame, path: str, p: Params = Params(), id_col: str = "doc_id
         *cols, F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     done, items, level = full, cut.where(F.col("length") < p.capacity).select(*cols), 1
     count = items.count()
+    shards = -(-count // p.shard_items)
     while count:
-        shards = -(-count // p.shard_items)
         packed = stage(_pack_level(items, shards, level, p), "packed")
-        final = F.lit(True) if shards == 1 else F.col("fill") >= p.good * p.capacity
+        final = F.lit(True) if shards == 1 else ~F.col("open")
         number = F.lit(level << 58) + F.col("shard").cast("long") * (1 << 20) + F.col("bin")
         done = done.unionByName(packed.where(final).select(*cols, number.alias("sequence_id"), "offset"))
-        if shards == 1:
-            break
         items = packed.where(~final).select(*cols)
-        count, before = items.count(), count
-        if count > before // 2:  # a level that leaves most bins open is packed as it is
-            done = done.unionByName(packed.where(~final).select(*cols, number.alias("sequence_id"), "offset"))
-            break
-        level += 1
+        count = items.count()
+        # Every level has half as many shards at most, and the last one shard.
+        shards, level = min(-(-count // p.shard_items), shards // 2), level + 1
     return done.withColumnRenamed("i", id_col)

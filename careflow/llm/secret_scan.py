@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +55,12 @@ RULES = (
     Rule("hex", r"[0-9a-f]+", "0-9a-f", 16),
     Rule("git", r"gh[pousr]_[A-Za-z0-9]+", "A-Za-z0-9", 40, base=False),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", "A-Za-z0-9-", 20, base=False),
+    Rule("cloud", r"AIza[A-Za-z0-9_-]+", "A-Za-z0-9_-", 39, base=False),
+    Rule("payment", r"[sr]k_(live|test)_[A-Za-z0-9]+", "A-Za-z0-9", 24, base=False),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\x2eeyJ[A-Za-z0-9_-]+\x2e[A-Za-z0-9_-]+", "A-Za-z0-9_-", 60, base=False),
+    Rule("key", r"-----BEGIN [A-Z ]*PRIVATE KEY-+", "-", 26, base=False),
 )
+MOST_RULES = 63  # bits of a mask
 
 
 class _Parser:
@@ -155,6 +160,8 @@ class Automaton:
     that accept in each state. ``search`` lets a match begin at every position."""
 
     def __init__(self, rules: tuple[Rule, ...], search: bool, reverse: bool = False):
+        if len(rules) > MOST_RULES:
+            raise ValueError(f"one automaton holds {MOST_RULES} rules, not {len(rules)}")
         edges: list[list] = []
         eps: list[list[int]] = []
         begins, accepts = [], {}
@@ -188,7 +195,7 @@ class Automaton:
                     order.append(to)
                 row.append(index[to])
             table.append(row)
-        flags = np.array([sum(accepts.get(x, 0) for x in s) for s in order])
+        flags = np.array([sum(accepts.get(x, 0) for x in s) for s in order], np.int64)
         table = np.array(table)
         # partition refinement: split blocks until all members agree on every successor's block
         block = np.unique(flags, return_inverse=True)[1]
@@ -206,8 +213,8 @@ class Automaton:
         small = block[table[first]]
         self.n_subsets, self.n_states = len(order), len(first)
         self.step = (small[:, byte_kind] * 256).astype(np.int32).ravel()
-        self.accept = np.repeat(flags[first], 256)[::256].astype(np.uint8)
-        self.accept_at = np.zeros(self.n_states * 256, np.uint8)
+        self.accept = np.repeat(flags[first], 256)[::256].astype(np.int64)
+        self.accept_at = np.zeros(self.n_states * 256, np.int64)
         self.accept_at[::256] = self.accept
         # the dead state (no accept, no way out) of an anchored automaton
         self.dead = {k * 256 for k in range(self.n_states)
@@ -259,9 +266,9 @@ class Scanner:
                     s = steps[s + b]
                     if accepts[s]:
                         found.append(np.array([p]))
-                        masks.append(np.array([accepts[s]], np.uint8))
+                        masks.append(np.array([accepts[s]], np.int64))
         if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint8)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         found, masks = np.concatenate(found), np.concatenate(masks)
         order = np.argsort(found)
         return found[order], masks[order]
@@ -354,23 +361,24 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     ident = docs.schema[id_col].dataType.simpleString()
     kinds = [r.kind for r in rules if r.base]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = scanner(rules)
-        for batch in batches:
-            texts = [t or "" for t in batch["t"]]
+        for batch in batches:  # ids stay Arrow: pandas would turn longs beside a NULL into doubles
+            texts = [t or "" for t in batch["t"].to_pylist()]
             found = []
             for a, b in slices(map(len, texts), SLICE_BYTES):
                 found.extend(find.spans(texts[a:b]))
             cols = {"i": batch["i"]}
             for kind in kinds:
-                cols[f"n_{kind}"] = [sum(x[1] == kind for x in base) for base, _ in found]
-            cols["base_sha256"] = [hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in found]
-            cols["spans"] = [_joined(every) for _, every in found]
-            yield pd.DataFrame(cols)
+                cols[f"n_{kind}"] = pa.array([sum(x[1] == kind for x in base) for base, _ in found], pa.int64())
+            cols["base_sha256"] = pa.array([hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in found],
+                                           pa.string())
+            cols["spans"] = pa.array([_joined(every) for _, every in found], pa.string())
+            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     counts = "".join(f"n_{kind} long, " for kind in kinds)
     return (docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-            .mapInPandas(run, f"i {ident}, {counts}base_sha256 string, spans string")
+            .mapInArrow(run, f"i {ident}, {counts}base_sha256 string, spans string")
             .withColumnRenamed("i", id_col))
 
 
@@ -379,28 +387,33 @@ def mask(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text
     """The same rows with every span replaced by ``<kind>``; overlapping spans are masked as
     one, under the first one's kind. ``size_col`` follows the new text where a span was found."""
     names = docs.columns
-    schema = docs.schema
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def masked(text: str, spans: list[tuple[int, str, int]]) -> str:
+        parts, at = [], 0
+        for s, kind, e in spans:
+            if s >= at:
+                parts += [text[at:s], f"<{kind}>"]
+            at = max(at, e)
+        return "".join([*parts, text[at:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = scanner(rules)
-        for batch in batches:
-            texts = batch[text_col].tolist()
-            new = list(texts)
+        for batch in batches:  # other columns pass through as they are
+            texts = batch[text_col].to_pylist()
+            new: dict[int, str] = {}
             for a, b in slices((len(t or "") for t in texts), SLICE_BYTES):
                 for k, (_, spans) in enumerate(find.spans([t or "" for t in texts[a:b]]), a):
                     if spans:
-                        parts, at = [], 0
-                        for s, kind, e in spans:
-                            if s >= at:
-                                parts += [texts[k][at:s], f"<{kind}>"]
-                            at = max(at, e)
-                        new[k] = "".join([*parts, texts[k][at:]])
-            batch = batch.copy()
-            changed = [x is not y for x, y in zip(new, texts)]
-            batch[text_col] = new
-            if size_col in names:
-                old = batch[size_col].tolist()
-                batch[size_col] = pd.array([len(t) if c else o for t, c, o in zip(new, changed, old)], "Int64")
-            yield batch[names]
-
-    return docs.mapInPandas(run, schema)
+                        new[k] = masked(texts[k], spans)
+            if new:
+                cols = {name: batch[name] for name in names}
+                kind = cols[text_col].type
+                cols[text_col] = pa.array([new.get(k, t) for k, t in enumerate(texts)], kind)
+                if size_col in cols:
+                    old = cols[size_col].to_pylist()
+                    cols[size_col] = pa.array([len(new[k]) if k in new else n for k, n in enumerate(old)],
+                                              cols[size_col].type)
+                batch = pa.RecordBatch.from_arrays(list(cols.values()), names)
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)

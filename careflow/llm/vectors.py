@@ -91,4 +91,4 @@ def top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         at = np.flatnonzero(scores >= cut)
     else:
         at = np.arange(len(scores))
-    return at[np.lexsort((ids[at], -scores[at]))[:k]]
+    return at[np.lexsort((ids[at], ~scores[at] if scores.dtype == np.int64 else -scores[at]))[:k]]

@@ -7,7 +7,8 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from careflow.llm import queries, toxicity
+import public_tokenizers
+from careflow.llm import bpe, fill_middle, nbest, packing, queries, secret_scan, toxicity
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, kept int"
@@ -39,7 +40,7 @@ def test_pipeline_rows(spark):
 
 @pytest.mark.parametrize("data", [
     [],
-    [(1, None, "en", None, None, "x", 1), (None, "only words here and more", None, "s", 3, "x", 1), (2, "", None, None, 0, "x", 1),
+    [(1, None, "en", None, None, "x", 1), (None, "here words in both rows of this", None, "s", 3, "x", 1), (2, "", None, None, 0, "x", 1),
      (3, "same words in both rows of this id", "en", "s", 3, "x", 1), (3, "same words in both rows of this id", "en", "s", 3, "x", 1),
      (4, "secret = abcdefghijklmnop in both rows of the other", "de", "s", 3, "x", 1)]])
 def test_pipeline_stages_of_odd_tables(spark, data):
@@ -52,6 +53,34 @@ def test_pipeline_stages_of_odd_tables(spark, data):
     assert docs.count() == len({r["doc_id"] for r in docs.collect()})
 
 
+def test_language_stage_drops_a_tie(spark):
+    """A text that every learned language compresses to the same size could be in any of them."""
+    data = [(1, "same words in both rows of this id", "en", "s", 3, "x", 1), (None, "only words here and more", None, "s", 3, "x", 1),
+            (2, "secret = abcdefghijklmnop in both rows of the other", "de", "s", 3, "x", 1)]
+    kept = corpus_pipeline.language_stage(spark, spark.createDataFrame(data, DOCS), SF)
+    assert {r["doc_id"] for r in kept.collect()} == {1, 2}
+
+
+BIG = 2**53 + 1
+
+
+def test_big_numbers_beside_nulls(spark):
+    """Longs that no double holds stay as they are in a batch with a NULL."""
+    data = [(BIG, "token = abcdefghijklmnop", "en", "s", None, "x", 1), (None, "no secret", "en", "s", BIG, "x", 1),
+            (BIG + 2, "plain words", None, None, BIG + 2, None, None)]
+    docs = spark.createDataFrame(data, DOCS).coalesce(1)
+    ids = {BIG, None, BIG + 2}
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for out in (bpe.token_counts(docs, path, 1024), secret_scan.scan(docs), packing.pack(docs, path),
+                nbest.n_best(docs, public_tokenizers.path("piece_bpe_32k.model")), fill_middle.transform(docs)):
+        assert {r["doc_id"] for r in out.collect()} == ids
+    masked = {r["doc_id"]: r for r in secret_scan.mask(docs).collect()}
+    assert set(masked) == ids and masked[BIG]["text"] == "<assign>"
+    assert (masked[BIG]["n_chars"], masked[None]["n_chars"], masked[BIG + 2]["n_chars"]) == (8, BIG, BIG + 2)
+    kept = corpus_pipeline.secrets_stage(spark, docs, SF)
+    assert {r["doc_id"] for r in corpus_pipeline.packing_stage(spark, kept, SF).collect()} == ids
+
+
 def test_toxicity_stage_keeps_no_predicted_row(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

@@ -118,3 +118,36 @@ def test_searches_of_almost_nothing(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
     assert topk.exact_top_k(df, F.col("id") % 10 == 0, 5).count() == 0
     assert hash_search.nearest(df, F.col("id") % 10 == 0, 5).count() == 0
+
+
+@pytest.mark.parametrize("size", [3.0e5, 1.0e9])
+def test_large_components_are_scored_exactly(spark, size):
+    """Beyond what doubles sum exactly the scores are integers; no vector is left out."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(0, size if i % 3 else 1.0, 16)]) for i in range(200)]
+    got = collected(topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                                     F.col("id") % 10 == 0, 5))
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    want = {}
+    for q in range(0, 200, 10):
+        scores = [(-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q]
+        want[q] = [(i, -s) for s, i in sorted(scores)[:5]]
+    if size == 3.0e5:
+        assert got == want
+    else:  # sums beyond a long: the nearest long
+        for q, found in want.items():
+            assert [s for _, s in got[q]] == pytest.approx([min(s, 2**63 - 1) for _, s in found], rel=1e-12)
+
+
+def test_equal_vectors_tie_by_id(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(0, 1, (40, 24))
+    rows = [(i, [float(x) for x in base[i % 40]]) for i in range(1200)]
+    got = collected(hash_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                                        F.col("id") % 20 == 0, 20))
+    for q, found in got.items():
+        scores = {}
+        for i, s in found:
+            scores.setdefault(i % 40, set()).add(s)
+        assert all(len(x) == 1 for x in scores.values())
+        assert found == sorted(found, key=lambda x: (-x[1], x[0]))
