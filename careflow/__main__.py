@@ -105,12 +105,14 @@ def main(argv: list[str] | None = None) -> int:
         return 1 if res.filter("status = 'fail'").limit(1).count() else 0
     elif args.cmd == "profile":
         raw = read_csv_for_profile(spark, args.raw)
+        vc = profile.counted_values(raw)
         parts = {
             "overview": profile.overview(raw),
-            "columns": profile.column_summary(raw).orderBy("position"),
-            "value_counts": profile.low_cardinality_values(raw).orderBy("column", "rank"),
-            "numeric": profile.numeric_describe(raw),
-            "datetimes": profile.datetime_columns(raw),
+            "columns": profile.column_summary(raw, vc).orderBy("position"),
+            "value_counts": profile.low_cardinality_values(raw, vc=vc).orderBy("column", "rank"),
+            "numeric": profile.numeric_describe(raw, vc=vc),
+            "datetimes": profile.datetime_columns(raw, vc=vc),
+            "layouts": profile.datetime_layouts(raw, vc).orderBy("column"),
         }
         for name, df in parts.items():
             if args.out:

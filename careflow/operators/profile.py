@@ -9,21 +9,27 @@ schema-inference pass over the file.
 Plan shape, independent of the column count:
 
 * one pre-aggregated long table ``(column, value, n)`` (explode + partial
-  aggregation; a hot value costs one row per task) feeds R2, R3 and R7;
-* R6 is one ``groupBy(all columns)``;
-* R4 exact quantiles use a range-partitioned sort of the numeric values and a rank
+  aggregation; a hot value costs one row per task), counted once and checkpointed,
+  feeds R2-R5 and R7;
+* R6 groups 128-bit row digests and compares whole rows only where digests meet;
+* R4 exact quantiles use a range-partitioned sort of the distinct numbers and a rank
   lookup (no aggregation buffer holds all distinct values of a column); ``exact=False``
-  uses ``percentile_approx`` in one pass instead.
+  uses ``percentile_approx`` instead, and ``operators.sketches`` keeps mergeable sketches.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careflow.functions.parsing import parse_double
 from careflow.functions.stats import ratio
+from careflow.operators import layouts, sketches
 from careflow.operators.ranking import global_cumsum
+from careflow.schema import RAW_COLUMNS
+from careflow.session import checkpoint_dir
 
 # Text spellings read as booleans, and the describe() percentiles.
 TRUE_TEXT = ["True", "TRUE", "true"]
@@ -32,10 +38,6 @@ DESCRIBE_PERCENTILES = [0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
 MAX_LOW_CARDINALITY = 15
 TOP_VALUES = 15
 DATE_SHARE = 0.9
-# Timestamp layouts tried for text columns (first match wins).
-DATE_PATTERNS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd",
-                 "d-M-yyyy H:m", "d-M-yyyy", "M/d/yyyy H:m", "M/d/yyyy"]
-
 _INT_RE = r"^\s*[+-]?[0-9]+\s*$"
 
 
@@ -53,6 +55,16 @@ def value_counts(df: DataFrame) -> DataFrame:
     return long_values(df).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def counted_values(df: DataFrame) -> DataFrame:
+    """:func:`value_counts` of a raw table, computed once: every part of the profile reads it."""
+    checkpoint_dir(df.sparkSession)
+    return value_counts(df).checkpoint(eager=True)
+
+
+def _counted(df: DataFrame, vc: DataFrame | None) -> DataFrame:
+    return counted_values(df) if vc is None else vc
+
+
 def _is_float_text(v: Column) -> Column:
     return parse_double(v).isNotNull()
 
@@ -79,12 +91,11 @@ def column_types(vc: DataFrame) -> DataFrame:
     return per_col.select("column", "rows", "nulls", dtype.alias("dtype"))
 
 
-def typed_value_counts(df: DataFrame) -> DataFrame:
+def typed_value_counts(vc: DataFrame) -> DataFrame:
     """(column, value, n) over *typed* values: texts that are the same number or the
     same boolean are one value (e.g. '1' and ' 1' in an integer column), written as
     the canonical text of the type. Derived from the distinct-text table, so this
     second pass costs one row per distinct text, not per cell."""
-    vc = value_counts(df)
     types = column_types(vc).select("column", "dtype")
     v, dt = F.col("value"), F.col("dtype")
     canonical = (
@@ -99,11 +110,13 @@ def typed_value_counts(df: DataFrame) -> DataFrame:
         F.sum("n").alias("n"))
 
 
-def column_summary(df: DataFrame) -> DataFrame:
+def column_summary(df: DataFrame, vc: DataFrame | None = None) -> DataFrame:
     """R2 + R7: per column dtype, NULLs, NULL %, distinct (non-null, typed) values, and
-    for columns whose name contains 'id' the duplicated values (NULL counted as a value)."""
-    types = column_types(value_counts(df))
-    typed = typed_value_counts(df).groupBy("column").agg(
+    for columns whose name contains 'id' the duplicated values (NULL counted as a value).
+    ``vc``: the table's :func:`counted_values`, if they are at hand."""
+    vc = _counted(df, vc)
+    types = column_types(vc)
+    typed = typed_value_counts(vc).groupBy("column").agg(
         F.count("value").alias("distinct"), F.count(F.lit(1)).alias("_distinct_with_null"))
     order = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column"))
     return types.join(typed, "column").select(
@@ -119,10 +132,10 @@ def column_summary(df: DataFrame) -> DataFrame:
 
 
 def low_cardinality_values(df: DataFrame, max_distinct: int = MAX_LOW_CARDINALITY,
-                           top: int = TOP_VALUES) -> DataFrame:
+                           top: int = TOP_VALUES, vc: DataFrame | None = None) -> DataFrame:
     """Value counts (NULL included) of columns with 1..max_distinct non-null typed
     values, the ``top`` most frequent per column (ties: value order, NULL first)."""
-    vc = typed_value_counts(df)
+    vc = typed_value_counts(_counted(df, vc))
     # Distinct counts per column by a plain aggregate (partial, fixed-size buffers); the
     # result has one row per column, so broadcasting it to pick the low-cardinality
     # columns is bounded. Only their <= max_distinct + 1 rows reach the ranking window,
@@ -136,33 +149,35 @@ def low_cardinality_values(df: DataFrame, max_distinct: int = MAX_LOW_CARDINALIT
         "column", "value", F.col("n").cast("bigint").alias("n"), F.col("rank").cast("int").alias("rank"))
 
 
-def _numeric_columns(df: DataFrame) -> DataFrame:
-    return column_types(value_counts(df)).filter(F.col("dtype").isin("int64", "float64")).select("column")
-
-
-def numeric_describe(df: DataFrame, exact: bool = True) -> DataFrame:
+def numeric_describe(df: DataFrame, exact: bool = True, vc: DataFrame | None = None) -> DataFrame:
     """Count, mean, std, min, percentiles, max of every numeric column.
 
-    Exact percentiles interpolate linearly between order statistics. They are read from
-    the *distinct* (column, value, count) table: a weighted running count along
-    (column, value) gives every distinct value its rank range, and each wanted rank is
-    found by an equi-join on the column plus a range filter. Only distinct values are
-    sorted, never all cells, and no aggregation buffer holds a column's values.
+    Everything is read from the *distinct* (column, number, count) table; the raw table is
+    scanned once. Exact percentiles interpolate linearly between order statistics: a weighted
+    running count along (column, value) gives every distinct value its rank range, and each
+    wanted rank is found by an equi-join on the column plus a range filter. Only distinct values
+    are sorted, never all cells, and no aggregation buffer holds a column's values.
     """
-    nums = long_values(df).select("column", F.col("value").try_cast("double").alias("x")).filter(
+    vc = _counted(df, vc)
+    numeric = column_types(vc).filter(F.col("dtype").isin("int64", "float64")).select("column")
+    counts = vc.select("column", F.col("value").try_cast("double").alias("x"), "n").filter(
         F.col("x").isNotNull()
-    ).join(F.broadcast(_numeric_columns(df)), "column")  # one row per column: bounded
-    moments = nums.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-    )
+    ).join(F.broadcast(numeric), "column").groupBy("column", "x").agg(F.sum("n").alias("n"))
+    n, x = F.col("n"), F.col("x")
+    level = counts.groupBy("column").agg(
+        F.sum("n").alias("count"), ratio(F.sum(x * n), F.sum(n)).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"))
+    # The spread about the mean: a second look at the distinct numbers, one mean per column.
+    spread = counts.join(F.broadcast(level.select("column", "mean")), "column").groupBy("column").agg(
+        F.sum(n * F.pow(x - F.col("mean"), 2)).alias("_m2"))
+    moments = level.join(spread, "column").select(
+        "column", "count", "mean", F.sqrt(F.try_divide(F.col("_m2"), F.col("count") - 1)).alias("std"), "min", "max")
     names = [f"p{int(p * 100)}" for p in DESCRIBE_PERCENTILES]
     if not exact:
-        q = nums.groupBy("column").agg(
-            F.percentile_approx("x", DESCRIBE_PERCENTILES, 100000).alias("_q"))
-        q = q.select("column", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+        cells = long_values(df).select("column", F.col("value").try_cast("double").alias("x")).filter(
+            F.col("x").isNotNull()).join(F.broadcast(numeric), "column")
+        q = cells.groupBy("column").agg(F.percentile_approx("x", DESCRIBE_PERCENTILES, 100000).alias("_q"))
+        q = q.select("column", *[F.col("_q")[i].alias(name) for i, name in enumerate(names)])
         return moments.join(q, "column")
-    counts = nums.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
     ranked = global_cumsum(counts, ["column", "x"], "n", "_before")
     starts = ranked.groupBy("column").agg(F.min("_before").alias("_start"), F.sum("n").alias("_total"))
     wanted = starts.select(
@@ -192,30 +207,63 @@ def numeric_describe(df: DataFrame, exact: bool = True) -> DataFrame:
     return moments.join(wide, "column").select("column", "count", "mean", "std", "min", *names, "max")
 
 
-def parse_any_timestamp(v: Column) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(v, F.lit(p)) for p in DATE_PATTERNS]).cast("timestamp_ntz")
+def _text_columns(vc: DataFrame) -> DataFrame:
+    """The counted values of the columns that are neither numbers nor booleans."""
+    text = column_types(vc).filter(F.col("dtype") == "object").select("column")
+    return vc.join(F.broadcast(text), "column")  # one row per column: bounded
+
 
+def datetime_layouts(df: DataFrame, vc: DataFrame | None = None) -> DataFrame:
+    """The votes that decide how a text column's dates are read (``operators.layouts``)."""
+    return layouts.layout_votes(_text_columns(_counted(df, vc)))
 
-def datetime_columns(df: DataFrame, share: float = DATE_SHARE) -> DataFrame:
-    """Text columns where more than ``share`` of all rows parse as a timestamp."""
-    vc = value_counts(df)
-    vc = vc.join(F.broadcast(column_types(vc).filter(F.col("dtype") == "object").select("column")), "column")
-    parsed = vc.withColumn("_ts", parse_any_timestamp(F.trim("value")))
-    agg = parsed.groupBy("column").agg(
-        ratio(F.sum(F.when(F.col("_ts").isNotNull(), F.col("n"))), F.sum("n")).alias("parsed_share"),
-        F.min("_ts").alias("min"), F.max("_ts").alias("max"),
+
+def datetime_columns(df: DataFrame, share: float = DATE_SHARE, vc: DataFrame | None = None) -> DataFrame:
+    """Text columns where more than ``share`` of all rows are timestamps in the column's own
+    layouts, with the first and the last of them."""
+    read = layouts.parsed(_text_columns(_counted(df, vc)))
+    agg = read.groupBy("column").agg(
+        ratio(F.sum(F.when(F.col("ts").isNotNull(), F.col("n"))), F.sum("n")).alias("parsed_share"),
+        F.min("ts").alias("min"), F.max("ts").alias("max"),
     )
     return agg.filter(F.col("parsed_share") > share)
 
 
+DIGEST_WORDS = 1 << 18  # of 64 bits: 2 MB, whatever the table's size
+
+
+def _row_digest(df: DataFrame) -> DataFrame:
+    """``df`` with a digest of 128 bits. NULL and empty text, and a NULL's place, differ in it."""
+    known = [p for c in df.columns for p in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return df.select("*", F.xxhash64(F.lit(1), *known).alias("_d1"), F.xxhash64(F.lit(2), *known).alias("_d2"))
+
+
 def overview(df: DataFrame) -> DataFrame:
-    """R1 + R6: rows, columns and fully duplicated rows (occurrences after the first)."""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(
-        F.sum("_n").cast("bigint").alias("rows"),
-        F.sum(F.col("_n") - 1).cast("bigint").alias("fully_duplicated_rows"),
-    ).select(F.coalesce("rows", F.lit(0)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
-             F.coalesce("fully_duplicated_rows", F.lit(0)).cast("bigint").alias("fully_duplicated_rows"))
+    """R1 + R6: rows, columns and fully duplicated rows (occurrences after the first).
+
+    Phase 1 counts rows per digest: 24 bytes of a distinct row are shuffled, not its columns.
+    The digests that occur more than once mark bits of a filter of fixed size. Phase 2 compares
+    whole rows, but only those that meet a marked bit: the copies themselves, rows whose digests
+    agree by chance, and, as the filter fills, a share of the others. Single rows add nothing to
+    the count, so it is exact whatever the digests do.
+    """
+    checkpoint_dir(df.sparkSession)
+    digests = _row_digest(df).groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("_n"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_d2").bitwiseAND(F.lit(63)).cast("int"))
+    word = F.pmod("_d1", F.lit(DIGEST_WORDS))
+    # At most DIGEST_WORDS rows.
+    words = digests.groupBy(word.alias("w")).agg(
+        F.sum("_n").alias("rows"), F.bit_or(F.when(F.col("_n") > 1, bit)).alias("b")).checkpoint(eager=True)
+    marks = words.where("b IS NOT NULL").select("w", "b")
+    zeros = df.sparkSession.range(DIGEST_WORDS, numPartitions=1).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("b"))
+    dense = marks.unionByName(zeros).groupBy("w").agg(F.bit_or("b").alias("b"))
+    packed = dense.agg(F.sort_array(F.collect_list(F.struct("w", "b"))).alias("x")).select(
+        F.transform("x", lambda x: x["b"]).alias("bits"))
+    met = _row_digest(df).where(F.get(packed.scalar(), word.cast("int")).bitwiseAND(bit) != 0)
+    copies = met.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg((F.count(F.lit(1)) - 1).alias("_more"))
+    more = copies.agg(F.coalesce(F.sum("_more"), F.lit(0)))
+    return words.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows")).select(
+        "rows", F.lit(len(df.columns)).alias("columns"), more.scalar().cast("bigint").alias("fully_duplicated_rows"))
 
 
 # ---------------------------------------------------------------- registered queries
@@ -226,8 +274,56 @@ def _raw(wh) -> DataFrame:
     return apply_na_values(wh.raw_visits)
 
 
+def _layouts_sql(columns: list[str], table: str) -> dict[str, str]:
+    """R5 by text functions: both readings of every value as ISO text, cast if possible."""
+    cells = " union all ".join(f"""select '{c}' as "column", trim({c}) as v from {table}""" for c in columns)
+    groups = "['a', 's', 'b', 's2', 'c', 'h', 'm', 'sec', 'f']"
+    clock = ("lpad(g.h, 2, '0') || ':' || lpad(g.m, 2, '0') || ':' || lpad(g.sec, 2, '0') "
+             "|| '.' || rpad(g.f, 6, '0')")
+
+    def iso(day: str, month: str) -> str:
+        return f"try_cast(y || '-' || lpad({month}, 2, '0') || '-' || lpad({day}, 2, '0') || ' ' || {clock} as timestamp)"
+
+    read = f"""
+cells as ({cells}),
+textual as (select "column" from (
+    select "column", count(v) as n, bool_and(v is null or try_cast(v as double) is not null) as numbers,
+           bool_and(v is null or lower(v) in ('true', 'false')) as bools from cells group by 1)
+    where n > 0 and not numbers and not bools),
+split as (
+    select "column", v, regexp_extract(v, '{layouts.TEXT}', {groups}) as g,
+           regexp_full_match(v, '{layouts.TEXT}') as shaped
+    from cells join textual using ("column")),
+placed as (
+    select *, case when shaped and g.s = g.s2 and length(g.a) = 4 and length(g.c) <= 2 then true
+                   when shaped and g.s = g.s2 and length(g.c) = 4 and length(g.a) <= 2 then false end as year_first
+    from split),
+ordered as (
+    select *, g.s as sep, case when year_first then g.a else g.c end as y,
+           case when year_first then g.b else g.a end as p, case when year_first then g.c else g.b end as q
+    from placed),
+readings as (
+    select "column", v, sep, year_first,
+           case when year_first is not null and coalesce(try_cast(g.sec as int), 0) < 60 then {iso("p", "q")} end as dm,
+           case when year_first is not null and coalesce(try_cast(g.sec as int), 0) < 60 then {iso("q", "p")} end as md
+    from ordered),
+tally as (
+    select "column", sep, year_first, count(dm) as day_first_votes, count(md) as month_first_votes
+    from readings where year_first is not null group by all having count(dm) + count(md) > 0),
+decided as (
+    select *, case when day_first_votes > month_first_votes then true
+                   when day_first_votes < month_first_votes then false
+                   else not year_first and sep <> '/' end as day_first from tally)"""
+    found = f"""select * from (with {read}
+select "column", count(ts)::double / count(*) as parsed_share, min(ts) as "min", max(ts) as "max"
+from (select r."column", case when d.day_first then r.dm when not d.day_first then r.md end as ts
+      from readings r left join decided d
+        on d."column" = r."column" and d.sep = r.sep and d.year_first = r.year_first)
+group by 1 having count(ts)::double / count(*) > {DATE_SHARE})"""
+    return {"r5": found, "r5v": f"select * from (with {read} select * from decided)"}
+
+
 def _oracle_sql() -> dict[str, str]:
-    from careflow.schema import RAW_COLUMNS
     from careflow.sources.raw_csv import PANDAS_NA_VALUES
 
     na = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_NA_VALUES)
@@ -281,17 +377,11 @@ def _oracle_sql() -> dict[str, str]:
             where (select dtype from types where "column" = '{c}') in ('int64', 'float64')
             having count(x) > 0"""
         for c in RAW_COLUMNS)
-    fmts = "['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M', '%Y-%m-%d', '%d-%m-%Y %H:%M', '%d-%m-%Y', '%m/%d/%Y %H:%M', '%m/%d/%Y']"
-    r5 = " union all ".join(
-        f"""select '{c}' as "column", count(try_strptime({c}, {fmts}))::double / nullif(count(*), 0) as parsed_share,
-                   min(try_strptime({c}, {fmts})) as "min", max(try_strptime({c}, {fmts})) as "max"
-            from clean where (select dtype from types where "column" = '{c}') = 'object'
-            having count(try_strptime({c}, {fmts}))::double / nullif(count(*), 0) > {DATE_SHARE}"""
-        for c in RAW_COLUMNS)
+    r5 = _layouts_sql(RAW_COLUMNS, "clean")
     cols = ", ".join(RAW_COLUMNS)
     r1 = f"""select sum(k)::bigint as rows, {len(RAW_COLUMNS)} as columns, sum(k - 1)::bigint as fully_duplicated_rows
              from (select count(*) as k from clean group by {cols})"""
-    return {"pre": pre, "r1": r1, "r2": "select * from colsum", "r3": r3, "r4": r4, "r5": r5}
+    return {"pre": pre, "r1": r1, "r2": "select * from colsum", "r3": r3, "r4": r4, **r5}
 
 
 SQL = _oracle_sql()
@@ -307,3 +397,73 @@ for _src, _sfx in (("lineitem", ""), ("events", "_ev"), ("orders", "_dirty")):
         lambda wh: numeric_describe(_raw(wh), exact=True), SQL["pre"])
     QUERIES[f"r5_datetime_columns{_sfx}"] = (_src, SQL["r5"], ("parsed_share",),
                                             lambda wh: datetime_columns(_raw(wh)), SQL["pre"])
+    QUERIES[f"r5_layout_votes{_sfx}"] = (_src, SQL["r5v"], (), lambda wh: datetime_layouts(_raw(wh)), SQL["pre"])
+
+# Columns that write the visits' times in one layout each, in two, or mostly: (Spark, DuckDB).
+_MIXED = {
+    "us_slash": ("date_format(visit_ts, 'M/d/yyyy')", "strftime(visit_ts, '%-m/%-d/%Y')"),
+    "eu_slash": ("date_format(visit_ts, 'd/M/yyyy H:m')", "strftime(visit_ts, '%-d/%-m/%Y %-H:%-M')"),
+    "eu_dot": ("date_format(visit_ts, 'd.M.yyyy H:m')", "strftime(visit_ts, '%-d.%-m.%Y %-H:%-M')"),
+    "iso": ("date_format(visit_ts, \"yyyy-MM-dd'T'HH:mm:ss\")", "strftime(visit_ts, '%Y-%m-%dT%H:%M:%S')"),
+    "year_day": ("date_format(visit_ts, 'yyyy-dd-MM')", "strftime(visit_ts, '%Y-%d-%m')"),
+    "two_layouts": ("CASE WHEN minute(visit_ts) % 2 = 0 THEN date_format(visit_ts, 'dd/MM/yyyy') "
+                    "ELSE date_format(visit_ts, 'yyyy-MM-dd HH:mm') END",
+                    "case when minute(visit_ts) % 2 = 0 then strftime(visit_ts, '%d/%m/%Y') "
+                    "else strftime(visit_ts, '%Y-%m-%d %H:%M') end"),
+    "no_telling": ("concat('0', 1 + month(visit_ts) % 9, '-0', 1 + month(visit_ts) % 7, '-', year(visit_ts))",
+                   "concat('0', 1 + month(visit_ts) % 9, '-0', 1 + month(visit_ts) % 7, '-', year(visit_ts))"),
+    "mostly": ("CASE WHEN hour(visit_ts) = 9 THEN 'unknown' ELSE date_format(visit_ts, 'd-M-yyyy') END",
+               "case when hour(visit_ts) = 9 then 'unknown' else strftime(visit_ts, '%-d-%-m-%Y') end"),
+    "seldom": ("CASE WHEN hour(visit_ts) > 9 THEN 'unknown' ELSE date_format(visit_ts, 'd-M-yyyy') END",
+               "case when hour(visit_ts) > 9 then 'unknown' else strftime(visit_ts, '%-d-%-m-%Y') end"),
+}
+
+
+def _mixed(wh) -> DataFrame:
+    return wh.stg_er_visits.where("visit_ts IS NOT NULL").selectExpr(*[f"{x} AS {c}" for c, (x, _) in _MIXED.items()])
+
+
+_MIXED_CTE = (", mixed as (select " + ", ".join(f"{x} as {c}" for c, (_, x) in _MIXED.items())
+              + " from stg where visit_ts is not null)")
+for _src, _sfx in (("lineitem", ""), ("orders", "_dirty")):
+    _sql = _layouts_sql(list(_MIXED), "mixed")
+    QUERIES[f"r5_mixed_layouts{_sfx}"] = (_src, _sql["r5"], ("parsed_share",),
+                                         lambda wh: datetime_columns(_mixed(wh)), _MIXED_CTE)
+    QUERIES[f"r5_mixed_layout_votes{_sfx}"] = (_src, _sql["r5v"], (), lambda wh: datetime_layouts(_mixed(wh)), _MIXED_CTE)
+
+
+def sketch_errors(df: DataFrame, source: Column) -> DataFrame:
+    """The merged sketches of ``df``'s sources against the exact counts: per column the distinct
+    texts, and whether the estimates keep their bounds."""
+    checkpoint_dir(df.sparkSession)
+    parts = sketches.column_sketches(df, source).checkpoint(eager=True)
+    estimated = sketches.estimates(sketches.merged_sketches(parts))
+    vc = counted_values(df)
+    low, high = sketches.distinct_bounds(F.col("distinct"))
+    # the share of a column's numbers below and up to each estimate: its rank range
+    names = list(sketches.PROBS)
+    exact = vc.select("column", "value", "n", F.col("value").try_cast("double").alias("x"))
+    exact = exact.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+    ranks = exact.join(F.broadcast(estimated.select("column", *names)), "column").groupBy("column").agg(
+        F.count("value").alias("exact"), F.sum("n").alias("exact_rows"),
+        F.sum(F.when(F.col("x").isNotNull(), F.col("n"))).alias("_numbers"),
+        *[F.sum(F.when(F.col("x") < F.col(q), F.col("n")).otherwise(0)).alias(f"_below_{q}") for q in names],
+        *[F.sum(F.when(F.col("x") <= F.col(q), F.col("n")).otherwise(0)).alias(f"_upto_{q}") for q in names])
+    within = [(ratio(F.col(f"_below_{q}"), F.col("_numbers")) <= p + sketches.RANK_ERROR)
+              & (ratio(F.col(f"_upto_{q}"), F.col("_numbers")) >= p - sketches.RANK_ERROR)
+              for q, p in sketches.PROBS.items()]
+    return estimated.join(ranks, "column").select(
+        "column", "rows", "nulls", F.col("exact").alias("distinct_texts"),
+        ((F.col("exact") >= low) & (F.col("exact") <= high) & (F.col("rows") == F.col("exact_rows"))).alias("distinct_within"),
+        reduce(Column.__and__, within).alias("quantiles_within"))
+
+
+_SKETCH_SQL = " union all ".join(
+    f"""select '{c}' as "column", count(*) as rows, count(*) - count({c}) as nulls,
+        count(distinct {c}) as distinct_texts, true as distinct_within,
+        case when count(try_cast({c} as double)) > 0 then true end as quantiles_within from clean"""
+    for c in RAW_COLUMNS)
+for _src, _sfx in (("lineitem", ""), ("orders", "_dirty")):
+    QUERIES[f"r2_r4_sketches{_sfx}"] = (
+        _src, _SKETCH_SQL, (),
+        lambda wh: sketch_errors(_raw(wh), F.pmod(F.xxhash64("patient_id"), F.lit(5))), SQL["pre"])

@@ -65,7 +65,7 @@ def refreshed(wh: Warehouse) -> Warehouse:
     folder = _folder(wh.spark)
     write_raw_csv(wh.raw_visits.repartition(6), f"{folder}/landing")
     refresh_landing(wh.spark, f"{folder}/landing", f"{folder}/warehouse", f"{folder}/checkpoint", wh.params,
-                    max_files_per_trigger=2).awaitTermination()
+                    max_files_per_trigger=2, grain="year").awaitTermination()
     return refreshed_warehouse(wh.spark, f"{folder}/warehouse")
 
 

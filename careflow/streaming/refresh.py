@@ -1,7 +1,7 @@
 """Incremental refresh: a landed batch replaces the rows of its own dates, nothing else.
 
 Staging, fact, cells, segment members and the hourly and daily tables are kept in one partition
-per visit date (staging in one per date and batch). A batch
+per visit date (or month or year, where dates are small; staging in one per date and batch). A batch
 
 1. is typed and written to staging under its batch number, replacing what an earlier try of the
    same batch left there;
@@ -14,8 +14,8 @@ Every step replaces whole partitions from what lies in staging, so a batch that
 failure, at any point, gives the same tables, and a late file costs its dates, however long the
 history is. The result equals a full rebuild over all files.
 
-Visits without a readable date share the partition of the NULL date. The dates of a batch are
-collected to the driver: at most the calendar's days.
+Visits without a readable date share the partition of the NULL date. The partitions of a batch
+are collected to the driver: at most the calendar's days.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from careflow.operators import dims, marts, spc
 from careflow.operators import wait_counts as wc
@@ -40,10 +40,14 @@ SEGMENT_COLUMNS = ["segment_key", "age_band", "gender", "race"]
 
 
 class DatedTables:
-    """The date-partitioned tables of a warehouse folder."""
-
-    def __init__(self, spark: SparkSession, base: str, params: MeasureParams = DEFAULT_PARAMS):
-        self.spark, self.base, self.params = spark, base.rstrip("/"), params
+    """The tables of a warehouse folder that are kept in partitions of dates. ``grain``: the dates
+    of a partition, ``day`` (each on its own), ``month`` or ``year``; for sparse data, so that a
+    partition is worth its files. Part of the folder: every batch uses the same."""
+
+    def __init__(self, spark: SparkSession, base: str, params: MeasureParams = DEFAULT_PARAMS, grain: str = "day"):
+        if grain not in ("day", "month", "year"):
+            raise ValueError(f"not a grain: {grain}")
+        self.spark, self.base, self.params, self.grain = spark, base.rstrip("/"), params, grain
         none = spark.createDataFrame([], RAW_SCHEMA)
         staged = stage_visits(none, params, strict_dates=False).select(*STAGING_COLUMNS)
         fact = marts.fct_er_visit(staged, params)
@@ -57,47 +61,51 @@ class DatedTables:
             "daily_series": spc.daily_series(cells).schema,
         }
 
-    def read(self, name: str) -> DataFrame:
-        """The table with its columns in their own order (partition columns come last in files)."""
+    def read(self, name: str, where: Column | None = None) -> DataFrame:
+        """The table with its own columns; ``where``: a condition on its partitions."""
         schema = self.schemas[name]
-        return self.spark.read.schema(schema).parquet(f"{self.base}/{name}").select(*schema.names)
-
-    def replace(self, name: str, rows: DataFrame, *parts: str, spread: tuple[str, ...] = ()) -> None:
-        """Overwrite the partitions that ``rows`` has rows of. ``spread``: columns that deal a
-        crowded date over several files."""
-        parts = parts or ("visit_date",)
-        rows = rows.repartitionByRange(*parts, *spread) if spread else rows.repartition(*parts)
+        rows = self.spark.read.schema(StructType([*schema.fields, StructField("part", DateType())])).parquet(
+            f"{self.base}/{name}")
+        return (rows if where is None else rows.where(where)).select(*schema.names)
+
+    def replace(self, name: str, rows: DataFrame, *more: str, spread: tuple[str, ...] = ()) -> None:
+        """Overwrite the partitions that ``rows`` has rows of, of ``more`` columns too. ``spread``:
+        columns that deal a crowded partition over several files."""
+        part = F.col("visit_date") if self.grain == "day" else F.trunc("visit_date", self.grain)
+        rows = rows.withColumn("part", part)
+        keys = ["part", *more]
+        rows = rows.repartitionByRange(*keys, *spread) if spread else rows.repartition(*keys)
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(f"{self.base}/{name}"))
+         .partitionBy(*keys).parquet(f"{self.base}/{name}"))
 
 
-def _on(dates: list) -> Column:
-    """The rows of ``dates``: a condition on the partition column alone, so other dates' files
-    are not listed."""
-    known = [F.lit(d) for d in dates if d is not None]
-    rows = F.col("visit_date").isin(*known) if known else F.lit(False)
-    return rows | F.col("visit_date").isNull() if None in dates else rows
+def _on(parts: list) -> Column:
+    """The rows of ``parts``: a condition on the partition column alone, so other partitions'
+    files are not opened."""
+    known = [F.lit(d) for d in parts if d is not None]
+    rows = F.col("part").isin(*known) if known else F.lit(False)
+    return rows | F.col("part").isNull() if None in parts else rows
 
 
 def refresh_batch(tables: DatedTables, raw: DataFrame, batch: int) -> list:
-    """Take one batch of raw visits in; returns the dates whose rows were replaced."""
+    """Take one batch of raw visits in; returns the partitions whose rows were replaced."""
     p = tables.params
     staged = stage_visits(raw.select(*RAW_COLUMNS), p, strict_dates=False).select(*STAGING_COLUMNS)
-    tables.replace("stg_er_visits", staged.withColumn("batch", F.lit(batch)), "visit_date", "batch",
-                   spread=("visit_hour", "visit_id"))
-    written = tables.read("stg_er_visits")
-    dates = [r[0] for r in written.where(F.col("batch") == batch).select("visit_date").distinct().collect()]
-    if not dates:
-        return dates
-    there = _on(dates)
-    stg = written.where(there).select(*STAGING_COLUMNS)
-    tables.replace("fct_er_visit", marts.fct_er_visit(stg, p), spread=("visit_hour", "visit_id"))
+    tables.replace("stg_er_visits", staged.withColumn("batch", F.lit(batch)), "batch",
+                   spread=("visit_date", "visit_hour", "visit_id"))
+    own = tables.spark.read.schema("part date, batch int").parquet(f"{tables.base}/stg_er_visits")
+    parts = [r[0] for r in own.where(F.col("batch") == batch).select("part").distinct().collect()]
+    if not parts:
+        return parts
+    there = _on(parts)
+    stg = tables.read("stg_er_visits", there).select(*STAGING_COLUMNS)
+    tables.replace("fct_er_visit", marts.fct_er_visit(stg, p), spread=("visit_date", "visit_hour", "visit_id"))
     tables.replace("segment_members", stg.select("visit_date", *SEGMENT_COLUMNS).distinct())
-    tables.replace("agg_visit_cells", wc.visit_cells(tables.read("fct_er_visit").where(there)))
-    cells = tables.read("agg_visit_cells").where(there)
+    tables.replace("agg_visit_cells", wc.visit_cells(tables.read("fct_er_visit", there)))
+    cells = tables.read("agg_visit_cells", there)
     tables.replace("agg_hourly_arrivals", marts.agg_hourly_arrivals(cells))
     tables.replace("daily_series", spc.daily_series(cells))
-    return dates
+    return parts
 
 
 def write_undated(tables: DatedTables) -> None:
@@ -130,21 +138,21 @@ def refreshed_warehouse(spark: SparkSession, base: str, params: MeasureParams |
 
 def refresh_landing(spark: SparkSession, landing_dir: str, base: str, checkpoint_location: str | None = None,
                     params: MeasureParams = DEFAULT_PARAMS, max_files_per_trigger: int | None = None,
-                    after: Callable[[int, list], None] | None = None) -> StreamingQuery:
+                    grain: str = "day", after: Callable[[int, list], None] | None = None) -> StreamingQuery:
     """Start a stream that takes in the files that have landed since the last run, then ends
-    (``awaitTermination`` it). ``after(batch, dates)`` is called behind every batch."""
+    (``awaitTermination`` it). ``after(batch, parts)`` is called behind every batch."""
     ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/landing-refresh"
     reader = spark.readStream.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    tables = DatedTables(spark, base, params)
+    tables = DatedTables(spark, base, params, grain)
 
     def take(raw: DataFrame, batch: int) -> None:
-        dates = refresh_batch(tables, raw, batch)
-        if dates:
+        parts = refresh_batch(tables, raw, batch)
+        if parts:
             write_undated(tables)
         if after:
-            after(batch, dates)
+            after(batch, parts)
 
     return (reader.csv(landing_dir).writeStream.foreachBatch(take).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())

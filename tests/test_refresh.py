@@ -63,8 +63,8 @@ def test_late_files_give_the_tables_of_a_full_rebuild(spark, landed):
 
 def test_only_touched_dates_are_rewritten(landed):
     _, _, seen, snapshots = landed
-    dates = {f"visit_date={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in seen[2][1]}
-    assert dates == {"visit_date=2024-03-01", "visit_date=2024-02-20"}
+    dates = {f"part={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in seen[2][1]}
+    assert dates == {"part=2024-03-01", "part=2024-02-20"}
     for table, after in snapshots[2].items():
         before = snapshots[1][table]
         kept = {p: t for p, t in before.items() if p.split("/")[1] not in dates}
@@ -107,6 +107,18 @@ def test_a_batch_that_failed_half_way_is_completed_by_its_replay(spark, landed,
     assert contents(refreshed_warehouse(spark, str(tmp_path / "wh"))) == contents(full)
 
 
+def test_months_as_partitions(spark, landed, tmp_path):
+    landing = landed[0]
+    tables = DatedTables(spark, str(tmp_path / "wh"), grain="month")
+    assert len(refresh_batch(tables, read_raw_visits(spark, str(landing / "a.csv")), 0)) == 1
+    refresh_batch(tables, read_raw_visits(spark, str(landing / "b.csv")), 1)
+    assert {str(d) for d in refresh_batch(tables, read_raw_visits(spark, str(landing / "late.csv")), 2)} == {
+        "2024-02-01", "2024-03-01"}
+    write_undated(tables)
+    full = build_warehouse(spark, read_raw_visits(spark, str(landing)), strict_dates=False)
+    assert contents(refreshed_warehouse(spark, str(tmp_path / "wh"))) == contents(full)
+
+
 def test_an_empty_batch_writes_nothing(spark, tmp_path):
     tables = DatedTables(spark, str(tmp_path / "wh"))
     none = read_raw_visits(spark, str(DATA / "edge_visits.csv")).limit(0)
