@@ -14,6 +14,9 @@ shorter pieces). The library encodes each distinct segment; as no piece crosses
 does. Ranks 2 to n are the other segmentations with the largest sums, so rank 1 can have a
 smaller score than they.
 
+Prose repeats its words, so solved segments are kept from slice to slice, up to ``STORE_BYTES``:
+their best ids, scores, losses, the library's ids, and whether these spell the segment.
+
 Scores are sums of the model's piece scores; a character without a piece costs the least piece
 score less ten and is spelled in byte pieces if the model has them, else as the unknown id.
 
@@ -39,6 +42,7 @@ from sentencepiece import sentencepiece_model_pb2
 from careflow.llm.common import RangeHash, ragged, slices
 
 SLICE_CHARS = 1 << 21
+STORE_BYTES = 48 << 20  # of solved segments kept for later slices
 SHORT = 40          # segments up to this length share the array passes
 _TOP = np.uint64(46)  # the hash bits that index the 2**18 flags of a table
 MARK = "▁"     # fixed value: the word mark
@@ -306,52 +310,165 @@ def merged(lists: list[list[tuple[float, list[int]]]], n_best: int) -> list[tupl
     return out
 
 
-def segmentations(lattice: PieceLattice, texts: list[str], n_best: int,
-                  library: bool = False) -> list[list[tuple[float, np.ndarray]]]:
-    """Per normalised text its n best (score, ids); with ``library``, the library's encoding and
-    the n - 1 best others."""
+class SegmentStore:
+    """Solved segments by fingerprint, kept from slice to slice: prose repeats its words. What a
+    store may hold is bounded (``STORE_BYTES``); a fuller one is emptied before the next slice."""
+
+    def __init__(self, lattice: PieceLattice, library: bool):
+        self.lattice, self.library = lattice, library
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.slots, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        self.loss, self.best, self.lib_score = (np.zeros(0) for _ in range(3))
+        self.count, self.at, self.lib_count, self.lib_at = (np.zeros(0, np.int64) for _ in range(4))
+        self.whole, self.lib_whole = np.zeros(0, bool), np.zeros(0, bool)
+        self.ids, self.lib_ids = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.paths: dict[int, list[tuple[float, list[int], bool]]] = {}
+
+    def make_room(self) -> None:
+        if 100 * self.n + 8 * (len(self.ids) + len(self.lib_ids)) + 600 * len(self.paths) > STORE_BYTES:
+            self.clear()
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The places of segments, -1 where they are not solved yet."""
+        if not self.n:
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), self.n - 1)
+        return np.where(self.keys[at] == keys, self.slots[at], -1)
+
+    def add(self, keys: np.ndarray, cp: np.ndarray, lens: np.ndarray) -> None:
+        seg = Segments(self.lattice, cp, lens)
+        raw = self._raw(cp, lens)
+
+        def grow(name: str, more: np.ndarray) -> None:
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate([old, more.astype(old.dtype)]))
+
+        grow("loss", seg.loss)
+        grow("best", seg.best)
+        grow("count", seg.n_ids)
+        grow("at", seg.id_at + len(self.ids))
+        grow("whole", self._spells(seg.ids, seg.n_ids, *raw))
+        grow("ids", seg.ids)
+        if self.library:
+            count, at, ids, score = seg.library()
+            grow("lib_count", count)
+            grow("lib_at", at + len(self.lib_ids))
+            grow("lib_whole", self._spells(ids, count, *raw))
+            grow("lib_ids", ids)
+            grow("lib_score", score)
+        keys = np.concatenate([self.keys, keys])
+        slots = np.concatenate([self.slots, np.arange(self.n, self.n + len(lens))])
+        order = np.argsort(keys)
+        self.keys, self.slots, self.n = keys[order], slots[order], self.n + len(lens)
+
+    @staticmethod
+    def _raw(cp: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of segments with word marks as blanks, and each one's number of bytes."""
+        cp = np.where(cp == ord(MARK), 32, cp)
+        size = 1 + (cp > 0x7F).astype(np.int64) + (cp > 0x7FF) + (cp > 0xFFFF)
+        text = cp.astype("<u4").tobytes().decode("utf-32-le")
+        return np.frombuffer(text.encode(), np.uint8), np.add.reduceat(size, np.cumsum(lens) - lens)
+
+    def _spells(self, ids: np.ndarray, count: np.ndarray, raw: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the ids of each segment decode to its bytes."""
+        tool = self.lattice
+        length = tool.raw_len[ids]
+        made = tool.raw[ragged(tool.raw_at[ids], length)]
+        owner = np.repeat(np.arange(len(count)), count)
+        fits = np.bincount(owner, length, len(count)).astype(np.int64) == size
+        if fits.all():
+            wrong = np.flatnonzero(made != raw)
+            fits[np.searchsorted(np.cumsum(size), wrong, "right")] = False
+            return fits
+        into, out = np.cumsum(size) - size, np.cumsum(np.bincount(owner, length, len(count)).astype(np.int64))
+        begin = out - np.bincount(owner, length, len(count)).astype(np.int64)
+        for k in np.flatnonzero(fits).tolist():
+            fits[k] = np.array_equal(made[begin[k]:out[k]], raw[into[k]:into[k] + size[k]])
+        return fits
+
+    def search(self, slots: np.ndarray, cp: np.ndarray, lens: np.ndarray, n_best: int) -> None:
+        """The n best paths of solved segments."""
+        seg = Segments(self.lattice, cp, lens)
+        raw, size = self._raw(cp, lens)
+        into = np.cumsum(size) - size
+        for k, slot in enumerate(slots.tolist()):
+            plain = raw[into[k]:into[k] + size[k]].tobytes()
+            found = seg.paths(k, n_best)
+            self.paths[slot] = [(score, ids, self._bytes(ids) == plain) for score, ids in found]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        tool, ids = self.lattice, np.array(ids, np.int64)
+        return tool.raw[ragged(tool.raw_at[ids], tool.raw_len[ids])].tobytes()
+
+
+def solved(store: SegmentStore, texts: list[str], n_best: int) -> list[list[tuple[float, np.ndarray, bool]]]:
+    """Per normalised text its n best (score, ids, whether they decode to the text); with a store
+    of library encodings, the library's and the n - 1 best others."""
+    tool = store.lattice
     size = np.fromiter(map(len, texts), np.int64, len(texts))
-    out: list[list[tuple[float, np.ndarray]]] = [[(0.0, np.zeros(0, np.int64))] for _ in texts]
+    out: list[list[tuple[float, np.ndarray, bool]]] = [[(0.0, np.zeros(0, np.int64), True)] for _ in texts]
     cp = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     if not len(cp):
         return out
+    store.make_room()
     begin = np.cumsum(size) - size
     first = np.zeros(len(cp), bool)
     first[begin[size > 0]] = True
-    starts = lattice.cuts(cp, first)
+    starts = tool.cuts(cp, first)
     ends = np.append(starts[1:], len(cp))
-    _, at, which = np.unique(RangeHash(cp)(starts, ends), return_index=True, return_inverse=True)
+    keys, at, which = np.unique(RangeHash(cp)(starts, ends), return_index=True, return_inverse=True)
     lens = ends[at] - starts[at]
-    seg = Segments(lattice, cp[ragged(starts[at], lens)], lens)
-    if library:
-        lib_count, lib_at, lib_ids, lib_score = seg.library()
+    slots = store.find(keys)
+    new = np.flatnonzero(slots < 0)
+    if len(new):
+        store.add(keys[new], cp[ragged(starts[at[new]], lens[new])], lens[new])
+        slots = store.find(keys)
+    owned = slots[which]
     bound = np.searchsorted(starts, np.append(begin, len(cp)))
+    close: dict[int, list[int]] = {}
     for k in np.flatnonzero(size).tolist():
-        own = which[bound[k]:bound[k + 1]]
-        count = seg.n_ids[own]
-        best = seg.ids[ragged(seg.id_at[own], count)]
-        total = float(seg.best[own].sum())
-        loss = seg.loss[own]
-        few = min(n_best - 1, len(own))
-        near = np.lexsort((np.arange(len(own)), loss))[:few] if len(own) < 64 else _smallest(loss, few)
-        near = [x for x in near.tolist() if loss[x] < np.inf]
-        lists = [seg.paths(int(own[x]), n_best) for x in near]
-        rows = []
+        loss = store.loss[owned[bound[k]:bound[k + 1]]]
+        few = min(n_best - 1, len(loss))
+        near = np.lexsort((np.arange(len(loss)), loss))[:few] if len(loss) < 64 else _smallest(loss, few)
+        close[k] = [x for x in near.tolist() if loss[x] < np.inf]
+    wanted = {int(which[bound[k] + x]) for k, near in close.items() for x in near}
+    wanted = np.array(sorted(x for x in wanted if int(slots[x]) not in store.paths), np.int64)
+    if len(wanted):
+        store.search(slots[wanted], cp[ragged(starts[at[wanted]], lens[wanted])], lens[wanted], n_best)
+    for k, near in close.items():
+        own = owned[bound[k]:bound[k + 1]]
+        count = store.count[own]
+        best = store.ids[ragged(store.at[own], count)]
+        total, whole = float(store.best[own].sum()), store.whole[own]
+        lists = [store.paths[int(own[x])] for x in near]
         place = np.cumsum(count) - count
+        rows = []
         for lost, pick in merged(lists, n_best):
-            ids = best
+            ids, fits = best, whole
             for x, entries, c in sorted(zip(near, lists, pick), key=lambda y: -y[0]):
                 if c:  # from the back, so that earlier places stay
                     ids = np.concatenate([ids[:place[x]], entries[c][1], ids[place[x] + count[x]:]])
-            rows.append((total - lost, ids.astype(np.int64)))
-        if library:
-            ids = lattice.runs(lib_ids[ragged(lib_at[own], lib_count[own])])
-            others = [x for x in rows if not np.array_equal(lattice.runs(x[1]), ids)]
-            rows = [(float(lib_score[own].sum()), ids), *others][:n_best]
+                    fits = fits.copy()
+                    fits[x] = entries[c][2]
+            rows.append((total - lost, ids.astype(np.int64), bool(fits.all())))
+        if store.library:
+            ids = tool.runs(store.lib_ids[ragged(store.lib_at[own], store.lib_count[own])].astype(np.int64))
+            others = [x for x in rows if not np.array_equal(tool.runs(x[1]), ids)]
+            rows = [(float(store.lib_score[own].sum()), ids, bool(store.lib_whole[own].all())), *others][:n_best]
         out[k] = rows
     return out
 
 
+def segmentations(lattice: PieceLattice, texts: list[str], n_best: int,
+                  library: bool = False) -> list[list[tuple[float, np.ndarray]]]:
+    """Per normalised text its n best (score, ids); with ``library``, the library's encoding and
+    the n - 1 best others."""
+    found = solved(SegmentStore(lattice, library), texts, n_best)
+    return [[(score, ids) for score, ids, _ in rows] for rows in found]
+
+
 def _smallest(loss: np.ndarray, few: int) -> np.ndarray:
     if few < 1:
         return np.zeros(0, np.int64)
@@ -374,16 +491,15 @@ def n_best(docs: DataFrame, path: str, n: int = 3, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = lattice(path)
+        store = SegmentStore(tool, library=True)
         for batch in batches:
             texts = [tool.normalize(t) for t in batch["t"].to_pylist()]
             for lo, hi in slices(map(len, texts), SLICE_CHARS):
                 rows, cols = [], []
-                for k, found in enumerate(segmentations(tool, texts[lo:hi], n, library=True), lo):
-                    plain = texts[k].replace(MARK, " ")
-                    for rank, (score, ids) in enumerate(found, 1):
+                for k, found in enumerate(solved(store, texts[lo:hi], n), lo):
+                    for rank, (score, ids, decodes) in enumerate(found, 1):
                         rows.append(k)
-                        cols.append((rank, score, len(ids), zlib.crc32(ids.astype("<u4").tobytes()),
-                                     tool.decode(ids) == plain))
+                        cols.append((rank, score, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), decodes))
                 kinds = (pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [batch["i"].take(pa.array(rows, pa.int64())), *map(pa.array, zip(*cols), kinds)], names=names)
