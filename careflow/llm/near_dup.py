@@ -1,11 +1,12 @@
-"""MinHash near-duplicates by an LSH forest.
-
-Every distinct shingle set gets one signature order per tree: ``depth`` minima of independent
-hash functions. Sorted by a tree's order, neighbours whose common prefix reaches the depth are
-candidates; runs of such neighbours over all trees join into regions (connected components of
-stars, in Spark). The number of trees follows from the wanted similarity so that a pair at the
-threshold is missed with probability below ``miss``. Regions above ``dense`` sets descend: they
-are ordered again, with a longer prefix and as many more trees, which parts chance neighbours.
+"""MinHash near-duplicates by LSH bands of two depths, in the place of an LSH forest.
+
+Every distinct shingle set gets one key per tree, folded from ``depth`` minima of independent hash
+functions. Sets that share a key are candidates; they join into regions over all trees (connected
+components of stars, in Spark). The number of trees follows from the wanted similarity so that a
+pair at the threshold is missed with probability below ``miss``. Regions above ``dense`` sets are
+keyed once more with ``deeper`` minima and as many more trees, which parts chance neighbours. The
+minima are not kept in order and no longest common prefixes are compared: two fixed depths stand in
+for the forest's adaptive one.
 
 Within a region every link is decided on the full sets, by postings inside a task; only one row
 per set leaves the task, never its pairs. A region too large for one task is dealt in blocks,
