@@ -1,12 +1,16 @@
-"""MinHash near-duplicates by LSH bands of two depths, in the place of an LSH forest.
+"""MinHash near-duplicates by an LSH forest: sorted signature orders and their neighbours.
 
-Every distinct shingle set gets one key per tree, folded from ``depth`` minima of independent hash
-functions. Sets that share a key are candidates; they join into regions over all trees (connected
-components of stars, in Spark). The number of trees follows from the wanted similarity so that a
-pair at the threshold is missed with probability below ``miss``. Regions above ``dense`` sets are
-keyed once more with ``deeper`` minima and as many more trees, which parts chance neighbours. The
-minima are not kept in order and no longest common prefixes are compared: two fixed depths stand in
-for the forest's adaptive one.
+Every tree of the forest is one order of the distinct shingle sets: by their signature, the minima
+of independent hash functions one after the other, a byte each. Neighbours in that order whose
+longest common prefix reaches the depth are candidates, and candidates of all trees join into
+regions (connected components, in Spark). The number of trees follows from the depth and the
+wanted similarity so that a pair at the threshold is missed with probability below ``miss``.
+
+The depth adapts to the region. All start at ``depth``; a region of more than ``dense`` sets
+descends by a third of its depth at a time, with the more trees that the greater depth takes, until
+it is small or ``deeper`` minima are used, while the others stay as they are. Orders are kept
+from one depth to the next as long as their signatures reach it; only sets of dense regions get
+further trees or longer signatures.
 
 Within a region every link is decided on the full sets, by postings inside a task; only one row
 per set leaves the task, never its pairs. A region too large for one task is dealt in blocks,
@@ -23,6 +27,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,7 +38,8 @@ from pyspark.sql import functions as F
 from careflow.llm.common import RangeHash, by_key, maybe_in, mix64, ragged, slices, stage, unstage
 
 SLICE_BYTES = 1 << 21
-BLOCK_SETS = 2000
+BLOCK_SETS = 1000
+MINIMA = 16  # hash functions of a tree; a signature holds the first 8 or all of them
 BLOCK_SHINGLES = 1_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -48,7 +54,7 @@ class Params:
     words: int = 5
     percent: int = 80
     depth: int = 6
-    deeper: int = 9
+    deeper: int = MINIMA
     dense: int = 4000
     miss: float = 1e-6
     seed: int = 20
@@ -56,6 +62,10 @@ class Params:
     def trees(self, depth: int) -> int:
         return math.ceil(math.log(self.miss) / math.log(1 - (self.percent / 100) ** depth))
 
+    def below(self, depth: int) -> int:
+        """The depth a dense region descends to."""
+        return min(depth + max(depth // 3, 1), self.deeper)
+
 
 def shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct 64-bit shingles of each text, flat and sorted per text, and their numbers."""
@@ -90,28 +100,40 @@ def shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     return total[keep], np.bincount(owner[keep], minlength=len(texts))
 
 
-def region_keys(sets: np.ndarray, n: np.ndarray, depth: int, trees: int, seed: int) -> np.ndarray:
-    """One 64-bit key per (non-empty) set and tree: the tree's first ``depth`` minima."""
-    rng = np.random.default_rng(seed)
-    a = rng.integers(0, 2**32, depth * trees, dtype=np.uint32) | np.uint32(1)
-    b = rng.integers(0, 2**32, depth * trees, dtype=np.uint32)
-    c = rng.integers(0, 2**63, depth * trees, dtype=np.uint64) | np.uint64(1)
-    out = np.zeros((len(n), trees), np.uint64)
+def signatures(sets: np.ndarray, n: np.ndarray, first: int, last: int, longs: int, seed: int) -> np.ndarray:
+    """(non-empty set, tree, long): the signatures in the trees ``first`` to ``last``, a byte of
+    each of the first ``8 * longs`` minima, the first minimum in the highest byte."""
+    out = np.zeros((len(n), last - first, longs), np.uint64)
+    draws = [np.random.default_rng([seed, t]).integers(0, 2**32, (3, MINIMA), dtype=np.uint32) | np.uint32(1)
+             for t in range(first, last)]
     x = (sets >> np.uint64(32)).astype(np.uint32)
     ends = np.cumsum(n)
     for lo, hi in slices(n.tolist(), 1 << 16):
         part = x[ends[lo] - n[lo]:ends[hi - 1]]
         offs = (ends - n)[lo:hi] - (ends[lo] - n[lo])
-        for k in range(depth * trees):
-            low = np.minimum.reduceat(part * a[k] + b[k], offs)
-            out[lo:hi, k // depth] += (low + np.uint64(1)) * c[k]
-    return mix64(out)
+        for t, (a, b, c) in enumerate(draws):
+            for k in range(8 * longs):
+                low = np.minimum.reduceat(part * a[k] + b[k], offs)
+                byte = (low * c[k] >> np.uint32(24)).astype(np.uint64)
+                out[lo:hi, t, k // 8] |= byte << np.uint64(56 - 8 * (k % 8))
+    return out
+
+
+def common_prefix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Leading minima that signatures (row, long) have in common."""
+    differ = (x ^ y).view(np.uint64)
+    out = np.zeros(len(differ), np.int64)
+    for part in range(differ.shape[1]):
+        so_far = out == 8 * part
+        for k in range(1, 9):
+            out += so_far & (differ[:, part] >> np.uint64(64 - 8 * k) == 0)
+    return out
 
 
-def _signed(df: DataFrame, p: Params, depth: int, seed: int) -> DataFrame:
-    """(id, n, h1, h2, keys): set size, 128-bit digest of the set, region keys (NULL for an
-    empty set) of the rows (id, t)."""
-    trees = p.trees(depth)
+def _signed(df: DataFrame, p: Params, first: int, last: int, longs: int) -> DataFrame:
+    """(id, n, h1, h2, keys): set size, 128-bit digest of the set, signatures in the trees
+    ``first`` to ``last`` (none for an empty set) of the rows (id, t)."""
+    width = (last - first) * longs
     ident = pa.int64()
     schema = pa.schema([("id", ident), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
                         ("keys", pa.list_(pa.int64()))])
@@ -124,12 +146,12 @@ def _signed(df: DataFrame, p: Params, depth: int, seed: int) -> DataFrame:
                 some = n > 0
                 offs = (np.cumsum(n) - n)[some]
                 h = np.zeros((2, hi - lo), np.uint64)
-                keys = np.zeros((0, trees), np.uint64)
+                keys = np.zeros(0, np.uint64)
                 if len(offs):
                     h[0, some] = np.add.reduceat(mix64(sets ^ np.uint64(0x51)), offs)
                     h[1, some] = np.add.reduceat(mix64(sets ^ np.uint64(0xA7)), offs)
-                    keys = region_keys(sets, n[some], depth, trees, seed)
-                ends = np.concatenate([[0], np.cumsum(some * trees)]).astype(np.int32)
+                    keys = signatures(sets, n[some], first, last, longs, p.seed)
+                ends = np.concatenate([[0], np.cumsum(some * width)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch["id"][lo:hi], pa.array(n), pa.array(h[0].view(np.int64)),
@@ -138,56 +160,94 @@ def _signed(df: DataFrame, p: Params, depth: int, seed: int) -> DataFrame:
     return df.select("id", "t").mapInArrow(run, "id long, n long, h1 long, h2 long, keys array<long>")
 
 
-def _runs(key: np.ndarray, ident: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows sorted by key: where a run of equal keys starts, and each row's run start."""
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    return new, ident[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+def _runs(tree: np.ndarray, sig: np.ndarray, ident: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows in the order of their tree and signature: where a run of neighbours with a common
+    prefix of ``depth`` minima starts, and each row's run start."""
+    new = np.ones(len(tree), bool)
+    new[1:] = (tree[1:] != tree[:-1]) | (common_prefix(sig[1:], sig[:-1]) < depth)
+    return new, ident[np.maximum.accumulate(np.where(new, np.arange(len(tree)), 0))]
 
 
-def _neighbours(reps: DataFrame) -> DataFrame:
-    """Star edges (u, v) between sets (id, keys) that share a region key. Equal keys of one
-    batch are joined before the shuffle, so a crowded region sends a row per batch and tree."""
-    edge = "kind int, u long, v long"
-    schema = pa.schema([("kind", pa.int32()), ("u", pa.int64()), ("v", pa.int64())])
+def _neighbours(sets: DataFrame, depth: int, first: int, longs: int) -> DataFrame:
+    """Star edges (u, v) between sets (id, keys) that are neighbours in the order of a tree, the
+    first of which is tree ``first``. Neighbours within one batch are joined before the shuffle,
+    so a crowded region sends a row per batch and tree."""
+    parts = [f"s{k}" for k in range(longs)]
+    node = ", ".join(["kind int", "tree int", *(f"{x} long" for x in parts), "u long", "v long"])
+    schema = pa.schema([("kind", pa.int32()), ("tree", pa.int32()), *((x, pa.int64()) for x in parts),
+                        ("u", pa.int64()), ("v", pa.int64())])
 
-    def rows(kind: int, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    def rows(kind: int, tree: np.ndarray, sig: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(u), kind, np.int32)), pa.array(u), pa.array(v)], schema=schema)
+            [pa.array(np.full(len(u), kind, np.int32)), pa.array(tree.astype(np.int32)),
+             *(pa.array(np.ascontiguousarray(sig[:, k])) for k in range(longs)), pa.array(u), pa.array(v)], schema=schema)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch["keys"]
-            flat = keys.flatten().to_numpy(zero_copy_only=False)
-            ident = np.repeat(batch["id"].to_numpy(zero_copy_only=False), keys.value_lengths().to_numpy(zero_copy_only=False))
-            order = np.lexsort((ident, flat))
-            flat, ident = flat[order], ident[order]
-            new, head = _runs(flat, ident)
-            yield rows(0, flat[new], ident[new])
-            yield rows(1, ident[~new], head[~new])
+            sig = batch["keys"].flatten().to_numpy(zero_copy_only=False).reshape(-1, longs)
+            trees = len(sig) // max(batch.num_rows, 1)
+            ident = np.repeat(batch["id"].to_numpy(zero_copy_only=False), trees)
+            tree = np.tile(np.arange(first, first + trees), batch.num_rows)
+            order = np.lexsort((ident, *sig.T[::-1], tree))
+            tree, sig, ident = tree[order], sig[order], ident[order]
+            new, head = _runs(tree, sig, ident, depth)
+            yield rows(0, tree[new], sig[new], ident[new], ident[new])
+            yield rows(1, tree[~new], sig[~new], ident[~new], head[~new])
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int] | None = None
+        last: tuple[int, np.ndarray, int] | None = None
         for batch in batches:
-            key = batch["u"].to_numpy(zero_copy_only=False)
-            ident = batch["v"].to_numpy(zero_copy_only=False)
-            if not len(key):
+            if not batch.num_rows:
                 continue
-            new, head = _runs(key, ident)
-            if last is not None and key[0] == last[0]:
-                same = key == key[0]
-                head = np.where(same, last[1], head)
+            tree, ident = (batch[x].to_numpy(zero_copy_only=False) for x in ("tree", "u"))
+            sig = np.stack([batch[x].to_numpy(zero_copy_only=False) for x in parts], axis=1)
+            new, head = _runs(tree, sig, ident, depth)
+            if last is not None and tree[0] == last[0] and common_prefix(sig[:1], last[1])[0] >= depth:
+                head[:np.append(np.flatnonzero(new), len(new))[1]] = last[2]
                 new[0] = False
-            last = int(key[-1]), int(head[-1])
-            yield rows(1, ident[~new], head[~new])
+            last = int(tree[-1]), sig[-1:].copy(), int(head[-1])
+            yield rows(1, tree[~new], sig[~new], ident[~new], head[~new])
 
-    found = reps.mapInArrow(local, edge)
+    found = sets.select("id", "keys").mapInArrow(local, node)
     inside = found.where("kind = 1").select("u", "v")
-    between = (found.where("kind = 0").repartition("u").sortWithinPartitions("u", "v")
-               .mapInArrow(across, edge).select("u", "v"))
+    # rows with a common prefix of the depth meet in one partition, in the order of their tree
+    whole = depth // 8
+    prefix = [F.col(x) for x in parts[:whole]]
+    if depth % 8:
+        prefix.append(F.shiftrightunsigned(parts[whole], 64 - 8 * (depth % 8)))
+    between = (found.where("kind = 0").repartition("tree", *prefix)
+               .sortWithinPartitions("tree", *parts, "u").mapInArrow(across, node).select("u", "v"))
     return inside.unionByName(between).where("u <> v").distinct()
 
 
+def _forest(rows: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """(u, root): the regions of the sets (id, keys), whose keys are signatures of one long in the
+    trees of the least depth; ``rows`` (id, t) give the sets of dense regions further ones."""
+    depth, longs, grown = p.depth, 1, p.trees(p.depth)
+    orders = [(sets.select("id", "keys"), 0)]
+    found = components(_neighbours(sets, depth, 0, longs))
+    settled = []
+    while depth < p.deeper:
+        size = found.groupBy("root").agg((F.count("*") + 1).alias("sets"))
+        dense = stage(size.where(F.col("sets") > p.dense).select("root"), "dense")
+        if not dense.take(1):
+            break
+        settled.append(found.join(dense, "root", "left_anti").select("u", "root"))
+        inside = stage(_members(found).join(dense, "root", "left_semi").select("id"), "inside")
+        depth = p.below(depth)
+        if depth > 8 * longs:
+            longs, grown, orders = -(-depth // 8), 0, []
+        else:
+            orders = [(x.join(inside, "id", "left_semi"), first) for x, first in orders]
+        if p.trees(depth) > grown:
+            fresh = _signed(rows.join(inside, "id", "left_semi"), p, grown, p.trees(depth), longs)
+            orders.append((stage(fresh.dropDuplicates(["id"]).select("id", "keys"), "orders"), grown))
+            grown = p.trees(depth)
+        edges = [_neighbours(x, depth, first, longs) for x, first in orders]
+        found = components(reduce(DataFrame.unionByName, edges))
+    return reduce(DataFrame.unionByName, [found, *settled])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(u, root) of every node of undirected ``edges`` (u, v): the smallest node reachable.
     Alternating large-star and small-star steps; each is one aggregation and one join, staged."""
@@ -279,22 +339,12 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
                     text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable over links), kept."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    signed = stage(_signed(rows, p, p.depth, p.seed), "signed")
+    signed = stage(_signed(rows, p, 0, p.trees(p.depth), 1), "signed")
     usable = signed.where("n > 0 and id is not null")
     # one node per distinct set; the copies collapse before the shuffle
     reps = stage(usable.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "keys")).alias("r"))
                  .select("h1", "h2", "r.id", "r.n", "r.keys"), "sets")
-    regions = components(_neighbours(reps.select("id", "keys")))
-
-    size = regions.groupBy("root").agg((F.count("*") + 1).alias("sets"))
-    dense = stage(size.where(F.col("sets") > p.dense).select("root"), "dense")
-    if dense.take(1):
-        inside = _members(regions).join(dense, "root", "left_semi").select("id")
-        again = stage(_signed(rows.join(inside, "id", "left_semi"), p, p.deeper, p.seed + 1), "deeper")
-        again_reps = again.join(reps.select("id"), "id", "left_semi").dropDuplicates(["id"])
-        deeper = components(_neighbours(again_reps.select("id", "keys")))
-        regions = stage(regions.join(dense, "root", "left_anti").unionByName(
-            deeper.select(*regions.columns)), "regions")
+    regions = stage(_forest(rows, reps, p), "regions")
 
     members = _members(regions).join(reps.select("id", "n"), "id")
     blocks = members.groupBy("root").agg(

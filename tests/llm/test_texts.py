@@ -110,7 +110,7 @@ def copies(seed):
 
 @pytest.mark.parametrize("params", [
     near_dup.Params(words=3, percent=85), near_dup.Params(),
-    near_dup.Params(words=3, percent=85, dense=3, deeper=7)])
+    near_dup.Params(words=3, percent=85, dense=3, deeper=7), near_dup.Params(words=3, percent=85, dense=3)])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, params):
     rows = copies(params.words)
     df = spark.createDataFrame([(i, t, 1, True) for i, t in rows], "doc_id long, text string, n long, kept boolean")
@@ -131,6 +131,40 @@ def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(df).count() == 0 and near_dup.keep(df).count() == 0
 
 
+def test_common_prefix_counts_leading_bytes():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2, (500, 16)).astype(np.uint8)
+    y = x.copy()
+    for row, at in zip(y, rng.integers(0, 17, 500)):
+        row[at:] = rng.integers(0, 2, 16 - at)
+    want = [next((k for k in range(16) if a[k] != b[k]), 16) for a, b in zip(x, y)]
+    longs = [np.ascontiguousarray(z).view(">u8").astype(np.int64) for z in (x, y)]
+    assert near_dup.common_prefix(*longs).tolist() == want
+
+
+def test_signatures_are_prefixes_and_agree_as_sets_do():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 100, dtype=np.uint64)
+    near = np.concatenate([base[:90], rng.integers(0, 2**63, 10, dtype=np.uint64)])
+    flat, n = np.concatenate([np.sort(base), np.sort(near)]), np.array([100, 100])
+    short, long = (near_dup.signatures(flat, n, 0, 400, longs, 20) for longs in (1, 2))
+    assert (short[:, :, 0] == long[:, :, 0]).all()
+    assert (near_dup.signatures(flat, n, 7, 9, 1, 20) == short[:, 7:9]).all()
+    same = near_dup.common_prefix(short[0], short[1])
+    assert abs((same >= 1).mean() - 90 / 110) < 0.08 and abs((same >= 6).mean() - (90 / 110) ** 6) < 0.08
+
+
+def test_near_duplicates_of_very_long_texts(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60_000)]
+    near = words[:-2000] + [f"x{k}" for k in range(2000)]
+    far = words[:30_000] + [f"y{k}" for k in range(30_000)]
+    df = spark.createDataFrame([(2**53 + 1, " ".join(words)), (None, " ".join(words)), (2**53 + 3, " ".join(near)), (7, " ".join(far))],
+                               "doc_id long, text string")
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_dup.near_duplicates(df).collect()}
+    assert got == {2**53 + 1: (2**53 + 1, True), 2**53 + 3: (2**53 + 1, False), 7: (7, True), None: (None, True)}
+
+
 def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (203, 201), (300, 300)]
     got = dict(near_dup.components(spark.createDataFrame(chain, "u long, v long")).collect())
@@ -159,6 +193,23 @@ def test_language_edge_rows(spark):
     assert alone.count() == 4
 
 
+def test_language_ties_repeats_and_slack(spark):
+    same = "one text of both languages"
+    data = [(1, same, "xx"), (2, same, "aa"), (3, same, "xx"), (3, same, "xx"), (2**53 + 1, same, None), (None, same, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = language_id.learn(df)
+    assert model.langs == ("xx", "aa")  # more rows first: the tie goes to it
+    rows = language_id.predict(df, model).collect()
+    assert len(rows) == len(data) and len({(r["lang_pred"], r["score"], r["margin"], r["accepted"]) for r in rows}) == 1
+    assert rows[0]["lang_pred"] == "xx" and not rows[0]["accepted"]
+    assert {r["doc_id"] for r in rows} == {1, 2, 3, 2**53 + 1, None}
+    rng = random.Random(9)
+    parts = [" ".join(rng.choice(["the", "cat", "sat", "on", "a", "mat"]) for _ in range(20)) for _ in range(80)]
+    few, many = (dict(language_id._bound(parts[:k], 2000)) for k in (4, 80))
+    assert few and many and max(few.values()) > max(many.values())
+    assert language_id._bound(parts[:1], 2000) == ()
+
+
 def test_language_rejects_what_was_not_learned(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.learn(docs, usable=fold("doc_id", 5) != 0)
