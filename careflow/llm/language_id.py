@@ -9,9 +9,9 @@ texts keep using the dictionary and not their own past.
 
 A text is accepted if the runner-up is larger by more than ``reject_margin`` and the text takes no
 more bytes per letter than ``HELD_SHARE`` of its language's held-out sample rows cut to the same
-number of letters: random letters and unlearned languages fit no dictionary. Held out are the
-sampled parts that no longer fit in the dictionary, or else every second part against the others;
-with fewer than ``LEAST_HELD`` of them there is no bound.
+number of letters: random letters and unlearned languages fit no dictionary. Held out is every
+second sampled row, against a dictionary of the others. The quantile of n rows is widened by the
+share ``HELD_SLACK`` / n, so few rows bind loosely and none not at all, by one rule at every size.
 
 Defined cases: NULL text or text without letters is ``und`` with score 0; ties go to the
 language with more learning rows, then by name; with nothing learned every text is ``und``;
@@ -39,7 +39,7 @@ LEVEL = 5
 FRAME = 9           # bytes of a compressed piece besides its content
 REJECT_MARGIN = 0.02
 HELD_SHARE = 0.995
-LEAST_HELD = 20
+HELD_SLACK = 2.0
 CUTS = (16, 32, 64, 128, 256, 600)  # characters at which the held-out rows are measured
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -77,14 +77,7 @@ def _bytes_per_letter(size: int, raw_bytes: int, n_letters: int) -> float:
 
 def _bound(parts: list[str], dict_bytes: int) -> tuple[tuple[float, float], ...]:
     """The bytes per letter that the share HELD_SHARE of held-out parts stays within, by length."""
-    fits = np.cumsum([len(letters(x).encode()) + 1 for x in parts]) <= dict_bytes
-    held = [x for x, fit in zip(parts, fits) if not fit]
-    book = "\n".join(map(letters, parts)).encode()[:dict_bytes]
-    held = held[1:]  # the first may be partly in the dictionary
-    if len(held) < LEAST_HELD:
-        held, book = parts[1::2], "\n".join(map(letters, parts[::2])).encode()[:dict_bytes]
-    if len(held) < LEAST_HELD:
-        return ()
+    held, book = parts[1::2], "\n".join(map(letters, parts[::2])).encode()[:dict_bytes]
     tool = Classifier(LanguageModel(("",), (book,)))
     out = []
     for cut in CUTS:
@@ -94,9 +87,9 @@ def _bound(parts: list[str], dict_bytes: int) -> tuple[tuple[float, float], ...]
             if n:
                 raw = len(letters(text).encode())
                 rows.append((n, _bytes_per_letter(int(tool.sizes(text)[0]), raw, n)))
-        if len(rows) >= LEAST_HELD:
+        if rows:
             n, rate = np.array(rows).T
-            out.append((float(np.median(n)), float(np.quantile(rate, HELD_SHARE))))
+            out.append((float(np.median(n)), float(np.quantile(rate, HELD_SHARE)) * (1 + HELD_SLACK / len(rows))))
     return tuple(sorted(dict(out).items()))
 
 
