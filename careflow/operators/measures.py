@@ -40,7 +40,7 @@ _SUMS = ("visits", "within_target_visits", "admissions", "satisfaction_responses
 
 
 def calendar(wh) -> DataFrame:
-    d = wh.dim_date
+    d = wh.with_cells().dim_date
     return d.withColumns({"month_start": F.trunc("date_day", "month"), _ALL: F.lit(1)})
 
 
