@@ -7,6 +7,7 @@ folder, followed by a scan of it; nothing passes through the driver.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +22,17 @@ from careflow.sources.sinks import export_counted, export_csv
 from careflow.streaming.refresh import refresh_landing, refreshed_warehouse
 
 
+LANDED = 6  # files at least, so that every batch takes in several
+
+
 def _folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/careflow-round-trip/{uuid.uuid4().hex}"
 
 
 def write_raw_csv(raw: DataFrame, path: str) -> str:
-    """Raw visits as a landing folder: the source's header, blanks around values kept."""
-    (raw.select(*RAW_COLUMNS).toDF(*RAW_HEADER).write.option("header", True)
+    """Raw visits as a landing folder: the source's header, blanks around values kept; gzip files,
+    one of each task."""
+    (raw.select(*RAW_COLUMNS).toDF(*RAW_HEADER).write.option("header", True).option("compression", "gzip")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
@@ -49,7 +54,7 @@ def profile_of_csv(wh: Warehouse) -> DataFrame:
 def exported(wh: Warehouse) -> DataFrame:
     """The exported files of every mart against the mart."""
     marts = written_warehouse(wh).marts()
-    files = export_csv(marts, f"{_folder(wh.spark)}/exports")
+    files = export_csv(marts, f"{_folder(wh.spark)}/exports", compression="gzip")
     back = {name: wh.spark.read.option("header", True).csv(path) for name, path in files.items()}
     return quality.export_reconciliation(marts, back)
 
@@ -61,11 +66,14 @@ def export_report(wh: Warehouse) -> DataFrame:
 
 def refreshed(wh: Warehouse) -> Warehouse:
     """S6, incrementally: the raw visits landed as files whose dates overlap, taken in by a stream
-    two files at a time."""
+    a third of the files at a time (two of six, where the visits are few)."""
     folder = _folder(wh.spark)
-    write_raw_csv(wh.raw_visits.repartition(6), f"{folder}/landing")
-    refresh_landing(wh.spark, f"{folder}/landing", f"{folder}/warehouse", f"{folder}/checkpoint", wh.params,
-                    max_files_per_trigger=2, grain="year").awaitTermination()
+    landing = write_raw_csv(wh.raw_visits, f"{folder}/landing")
+    files = len(wh.spark.read.text(landing).inputFiles())
+    if files < LANDED:
+        files, landing = LANDED, write_raw_csv(wh.raw_visits.repartition(LANDED), f"{folder}/landing-few")
+    refresh_landing(wh.spark, landing, f"{folder}/warehouse", f"{folder}/checkpoint", wh.params,
+                    max_files_per_trigger=math.ceil(files / 3), grain="year").awaitTermination()
     return refreshed_warehouse(wh.spark, f"{folder}/warehouse")
 
 
