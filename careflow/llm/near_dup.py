@@ -37,7 +37,9 @@ from pyspark.sql import functions as F
 
 from careflow.llm.common import RangeHash, by_key, maybe_in, mix64, ragged, slices, stage, unstage
 
-SLICE_BYTES = 1 << 21
+# Texts at a time. The fingerprints' tables and sums take some 60 bytes a byte, which a worker keeps
+# for the stages after this one; with the blanks between texts they stay within 2**19 entries.
+SLICE_BYTES = (1 << 19) - (1 << 12)
 BLOCK_SETS = 1000
 MINIMA = 16  # hash functions of a tree; a signature holds the first 8 or all of them
 BLOCK_SHINGLES = 1_000_000

@@ -319,3 +319,18 @@ def test_page_rows(spark):
     assert [tuple(r) for r in got[:4]] == [(1, "T One < two.", 12), (2, "", 0), (3, "", 0), (3, "", 0)]
     assert got[4]["n_chars"] == 6 * 20000 - 1
     assert page_text.extract(df.where("false")).count() == 0
+
+
+def test_shingling_keeps_small_tables(monkeypatch):
+    """A worker lives through all stages of the pipeline: what it keeps of one must stay small."""
+    from careflow.llm import common, near_dup
+
+    monkeypatch.setattr(common, "_POWERS", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    texts = [b"abcdefg " * 250] * 2000
+    whole, n = [], []
+    for lo, hi in common.slices(map(len, texts), near_dup.SLICE_BYTES):
+        sets, size = near_dup.shingles(texts[lo:hi], 3)
+        whole.append(sets)
+        n.append(size)
+    assert np.concatenate(n).tolist() == [1] * len(texts) and len(set(np.concatenate(whole).tolist())) == 1
+    assert sum(x.nbytes for x in common._POWERS) <= 8 << 20
